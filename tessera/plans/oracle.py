@@ -282,4 +282,47 @@ SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey
     "assign_keys": """
 SELECT p_partkey, p_name, CAST(1000 + row_number() OVER (ORDER BY p_name, p_partkey) AS BIGINT) AS part_key
 FROM part""",
+
+    "ingest_csv_rescue": """
+SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_name AS product_name,
+       CASE WHEN p_size BETWEEN 39 AND 1000000000 THEN NULL ELSE p_type END AS category,
+       CASE WHEN p_size BETWEEN 26 AND 38 THEN '{"color":"' || p_brand || '"}' END AS _rescue
+FROM part""",
+
+    "ingest_json_rescue": f"""
+WITH {_CUSTOMERS[1:]},
+seg AS (SELECT c_custkey, c_mktsegment FROM customer)
+SELECT c.customer_id, c.name,
+       CASE WHEN c.k % 4 IN (0, 1) THEN c.email END AS email,
+       CASE WHEN c.k % 4 = 3 THEN NULL ELSE c.region END AS region,
+       CASE WHEN c.k % 4 = 1 THEN '{{"contact":{{"phone":"555-' || c.customer_id || '"}},"tier":"'
+                                  || s.c_mktsegment || '"}}'
+            WHEN c.k % 4 = 2 THEN '{{"contact":"oops"}}' END AS _rescue
+FROM cust c JOIN seg s ON c.k = s.c_custkey""",
+
+    "stream_append_once": """
+SELECT event_type, CAST(count(*) AS BIGINT) AS events, CAST(count(DISTINCT user_id) AS BIGINT) AS users,
+       CAST(sum(CAST(value AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS value_sum, CAST(3 AS BIGINT) AS batches
+FROM events GROUP BY event_type""",
+
+    "overwrite_append_table": f"""
+WITH {_SILVER_PRODUCTS[1:]}
+SELECT item_id, product_name, category FROM silver_products
+UNION ALL
+SELECT item_id, product_name, category FROM silver_products""",
+
+    "audit_after_writes": """
+SELECT 'silver.products' AS table_name, 'CREATE OR REPLACE TABLE' AS operation, 'SUCCESS' AS status,
+       CAST(1 AS BIGINT) AS writes, CAST(count(*) AS BIGINT) AS rows FROM part
+UNION ALL
+SELECT 'silver.products', 'WRITE', 'SUCCESS', CAST(1 AS BIGINT), CAST(count(*) AS BIGINT) FROM part
+UNION ALL
+SELECT 'gold.category_counts', 'CREATE OR REPLACE TABLE', 'SUCCESS', CAST(1 AS BIGINT),
+       CAST(count(DISTINCT p_type) AS BIGINT) FROM part""",
+
+    "latest_audit": """
+SELECT 'gold.category_counts' AS table_name, 'CREATE OR REPLACE TABLE' AS operation,
+       CAST(count(DISTINCT p_type) AS VARCHAR) AS numOutputRows FROM part""",
+
+    "pipeline_two_runs": f"{_FACT_UNKEYED}{_SUMMARY}",
 }

@@ -11,12 +11,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import dataclasses
+import uuid
+
 from tessera.functions import clean
 from tessera.operators import joins, keys, scd2
-from tessera.plans import retail
-from tessera.plans.gold import build_sales_summary
-from tessera.session import configure_session
+from tessera.plans import retail, scenarios
+from tessera.plans.pipeline import PipelineConfig, run_pipeline
+from tessera.plans.silver import build_products
+from tessera.schemas import CUSTOMERS_RAW, PRODUCTS_RAW
+from tessera.session import configure_session, scratch_dir
 from tessera.sources import feeds
+from tessera.sources.audit import audit_history, audited_write, latest_audit
+from tessera.sources.tables import append_table, create_layers, overwrite_table
+from tessera.streaming.ingest import FeedSpec, ingest, read_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -192,6 +200,96 @@ def q_assign_keys(spark, sf_dir):
     return keys.assign_keys(part, ["p_name", "p_partkey"], "part_key", base=1000)
 
 
+def _ingest_twice(spark, spec: FeedSpec) -> DataFrame:
+    """Drain the landing folder, then run again (no new file: nothing added)."""
+    ingest(spark, spec)
+    ingest(spark, spec)
+    return read_bronze(spark, spec.target_path)
+
+
+def q_ingest_csv_rescue(spark, sf_dir):
+    root = scratch_dir(spark, "csv")
+    scenarios.write_product_layouts(spark, sf_dir, f"{root}/landing")
+    spec = FeedSpec("products", f"{root}/landing", PRODUCTS_RAW, "csv", f"{root}/bronze",
+                    f"{root}/checkpoint")
+    return _ingest_twice(spark, spec).select("item_id", "product_name", "category", "_rescue")
+
+
+def q_ingest_json_rescue(spark, sf_dir):
+    root = scratch_dir(spark, "json")
+    scenarios.write_customer_variants(spark, sf_dir, f"{root}/landing")
+    spec = FeedSpec("customers", f"{root}/landing", CUSTOMERS_RAW, "json", f"{root}/bronze",
+                    f"{root}/checkpoint", options={"recursiveFileLookup": "true"})
+    bronze = _ingest_twice(spark, spec)
+    return bronze.select("customer_id", "name", F.col("contact.email").alias("email"), "region",
+                         "_rescue")
+
+
+def q_stream_append_once(spark, sf_dir):
+    root = scratch_dir(spark, "events")
+    scenarios.write_events_csv(spark, sf_dir, f"{root}/landing")
+    names = feeds.table(spark, sf_dir, "events").columns
+    from pyspark.sql.types import StringType, StructField, StructType
+    schema = StructType([StructField(n, StringType(), True) for n in names])
+    spec = FeedSpec("events", f"{root}/landing", schema, "csv", f"{root}/bronze", f"{root}/checkpoint",
+                    max_files_per_trigger=3)
+    bronze = _ingest_twice(spark, spec)
+    return bronze.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_distinct("user_id").alias("users"),
+        F.sum(F.col("value").try_cast("decimal(12,2)")).alias("value_sum"),
+        F.count_distinct("_batch_id").alias("batches"))
+
+
+def _product_writes(spark, sf_dir):
+    """Three audited writes: products overwrite, products append, category counts."""
+    root = scratch_dir(spark, "tables")
+    layer = create_layers(spark, root=f"{root}/warehouse", prefix=f"t{uuid.uuid4().hex[:8]}_")
+    audit = f"{root}/meta/history"
+    products = build_products(feeds.as_bronze(feeds.products_raw(spark, sf_dir), "products_raw.csv"))
+    table = f"{layer['silver']}.products"
+    audited_write(products, lambda d: overwrite_table(d, table), "silver.products",
+                  "CREATE OR REPLACE TABLE", audit)
+    audited_write(products, lambda d: append_table(d, table), "silver.products", "WRITE", audit)
+    counts_t = f"{layer['gold']}.category_counts"
+    counts = spark.table(table).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    audited_write(counts, lambda d: overwrite_table(d, counts_t), "gold.category_counts",
+                  "CREATE OR REPLACE TABLE", audit)
+    return table, audit
+
+
+def q_overwrite_append_table(spark, sf_dir):
+    table, _ = _product_writes(spark, sf_dir)
+    return spark.table(table).select("item_id", "product_name", "category")
+
+
+def q_audit_after_writes(spark, sf_dir):
+    _, audit = _product_writes(spark, sf_dir)
+    return audit_history(spark, audit).groupBy("table_name", "operation", "status").agg(
+        F.count(F.lit(1)).alias("writes"),
+        F.sum(F.col("numOutputRows").cast("bigint")).alias("rows"))
+
+
+def q_latest_audit(spark, sf_dir):
+    _, audit = _product_writes(spark, sf_dir)
+    return latest_audit(audit_history(spark, audit)).select("table_name", "operation", "numOutputRows")
+
+
+def q_pipeline_two_runs(spark, sf_dir):
+    """Files -> bronze -> silver -> SCD2 -> fact -> summary, run twice: the
+    second run lands a changed customer file only."""
+    root = scratch_dir(spark, "pipeline")
+    landing = f"{root}/landing"
+    scenarios.write_retail_landing(spark, sf_dir, landing, customers="nation")
+    cfg = PipelineConfig(root=f"{root}/lake", landing=landing, prefix=f"p{uuid.uuid4().hex[:8]}_",
+                         now=retail.FIRST_LOAD)
+    run_pipeline(spark, cfg)
+    scenarios.write_retail_landing(spark, sf_dir, landing, customers="nation", changed=True,
+                                   transactions=False, products=False)
+    run_pipeline(spark, dataclasses.replace(cfg, now=retail.NATION_CHANGE))
+    return spark.table(f"{cfg.prefix}gold.daily_sales_summary")
+
+
 QUERIES: dict[str, Query] = {
     "clean_title_case": q_clean_title_case,
     "clean_timestamp_utc": q_clean_timestamp_utc,
@@ -219,6 +317,13 @@ QUERIES: dict[str, Query] = {
     "latest_per_key": q_latest_per_key,
     "top1_latest": q_top1_latest,
     "assign_keys": q_assign_keys,
+    "ingest_csv_rescue": q_ingest_csv_rescue,
+    "ingest_json_rescue": q_ingest_json_rescue,
+    "stream_append_once": q_stream_append_once,
+    "overwrite_append_table": q_overwrite_append_table,
+    "audit_after_writes": q_audit_after_writes,
+    "latest_audit": q_latest_audit,
+    "pipeline_two_runs": q_pipeline_two_runs,
 }
 
 
