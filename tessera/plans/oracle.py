@@ -263,6 +263,7 @@ SELECT customer_key, region, product_category, CAST(count(*) AS BIGINT) AS fact_
 FROM fact GROUP BY customer_key, region, product_category""",
 
     "sales_summary": f"{_FACT_UNKEYED}{_SUMMARY}",
+    "sales_summary_via_fact": f"{_FACT_UNKEYED}{_SUMMARY}",
 
     "sales_fact_keyed": f"""{_FACT_KEYED}
 SELECT {_FACT_COLS} FROM fact""",

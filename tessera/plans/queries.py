@@ -177,6 +177,10 @@ def q_sales_summary(spark, sf_dir):
     return retail.sales_summary(spark, sf_dir)
 
 
+def q_sales_summary_via_fact(spark, sf_dir):
+    return retail.sales_summary_via_fact(spark, sf_dir)
+
+
 def q_sales_fact_keyed(spark, sf_dir):
     return retail.sales_fact(spark, sf_dir, keyed=True)
 
@@ -312,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "lookup_product": q_lookup_product,
     "sales_fact": q_sales_fact,
     "sales_summary": q_sales_summary,
+    "sales_summary_via_fact": q_sales_summary_via_fact,
     "sales_fact_keyed": q_sales_fact_keyed,
     "sales_summary_keyed": q_sales_summary_keyed,
     "latest_per_key": q_latest_per_key,

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.scd2 import empty_dimension, scd2_merge, stage_customers
-from tessera.plans.gold import build_sales_fact, build_sales_summary
+from tessera.plans.gold import build_sales_fact, build_sales_summary, build_sales_summary_direct
 from tessera.plans.silver import build_products, build_transactions
 from tessera.sources import feeds
 
@@ -67,4 +67,15 @@ def sales_fact(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFra
 
 
 def sales_summary(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
-    return build_sales_summary(sales_fact(spark, sf_dir, keyed))
+    """Daily summary without materialising the fact (eager aggregation)."""
+    if keyed:
+        return build_sales_summary_direct(silver_transactions(spark, sf_dir, with_customer=True),
+                                          customer_dimension(spark, sf_dir),
+                                          silver_products(spark, sf_dir), customer_on=["customer_id"])
+    return build_sales_summary_direct(silver_transactions(spark, sf_dir), nation_dimension(spark, sf_dir),
+                                      silver_products(spark, sf_dir))
+
+
+def sales_summary_via_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily summary aggregated from the full (unkeyed) fact."""
+    return build_sales_summary(sales_fact(spark, sf_dir))

@@ -81,3 +81,16 @@ def test_unkeyed_plan_is_nested_loop_with_broadcast(spark, tx, versions):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" in plan
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_direct_summary_equals_fact_summary(spark, tx, versions, products, keyed):
+    from tessera.plans.gold import build_sales_summary_direct
+    dup_products = products.unionByName(products).unionByName(
+        spark.createDataFrame([("i9", "Cup", "Home")], products.schema))
+    t = tx.withColumn("customer_id", F.lit("c1")) if keyed else tx
+    on = ["customer_id"] if keyed else None
+    for prods in (products, dup_products):
+        via_fact = build_sales_summary(build_sales_fact(t, versions, prods, customer_on=on)).collect()
+        direct = build_sales_summary_direct(t, versions, prods, customer_on=on).collect()
+        assert via_fact == direct
