@@ -121,7 +121,7 @@ def q_join_left_staged(spark, sf_dir):
 
 
 def _orders_ts(spark, sf_dir):
-    return feeds.table(spark, sf_dir, "orders").select(
+    return feeds.table(spark, sf_dir, "orders", spread=True).select(
         "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("order_ts"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("total_price"))
 
@@ -190,7 +190,8 @@ def q_sales_summary_keyed(spark, sf_dir):
 
 
 def q_latest_per_key(spark, sf_dir):
-    return keys.latest_per_key(feeds.table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
+    return keys.latest_per_key(feeds.table(spark, sf_dir, "events", spread=True), ["user_id"],
+                               ["ts", "event_id"])
 
 
 def q_top1_latest(spark, sf_dir):

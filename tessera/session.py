@@ -43,7 +43,10 @@ def build_session(master: str = "local[8]", app: str = "tessera",
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", "8g")
+               # Small local inputs: let AQE keep enough post-shuffle partitions
+               # to use every core (clusters keep their own settings).
+               .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k"))
     for key, value in {**RUNTIME_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -24,7 +24,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import broadcast_if_small
 from tessera.schemas import INGEST_TS_COL, RESCUE_COL, SOURCE_FILE_COL
 
 # Zones cycled by o_orderkey % 6, in this order.
@@ -33,8 +32,18 @@ FEED_ZONES = ["PST", "PDT", "EST", "EDT", "Z", "CST"]
 FEED_INGEST_TS = "2024-01-01 00:00:00"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One testdata table.  ``spread``: the driver writes each table as a
+    single parquet file with one row group, which Spark reads in one task;
+    for the large tables, round-robin the rows over the default parallelism
+    when there are fewer files than that (a no-op for inputs that already
+    come in many files)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if len(df.inputFiles()) < target:
+            df = df.repartition(target)
+    return df
 
 
 def _line_no() -> F.Column:
@@ -53,14 +62,14 @@ def order_timestamp_text(orderkey: str = "o_orderkey", orderdate: str = "o_order
 
 def order_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order: order_id and its zoned timestamp text."""
-    od = table(spark, sf_dir, "orders")
+    od = table(spark, sf_dir, "orders", spread=True)
     return od.select(F.col("o_orderkey").cast("string").alias("order_id"),
                      order_timestamp_text().alias("order_timestamp"))
 
 
 def transactions_raw(spark: SparkSession, sf_dir: str, with_customer: bool = False,
                      with_line: bool = False) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem", spread=True).select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
@@ -97,16 +106,18 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation -> region name (25 x 5 rows by the TPC-H definition; size-checked anyway)."""
+    """nation -> region name.  Both tables have a fixed size whatever the
+    scale factor (25 and 5 rows by the TPC-H definition), which is the bound
+    that makes broadcasting them safe."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey) \
+    return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey) \
                  .select("n_nationkey", "n_name", "r_regionkey", "r_name")
 
 
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    c = c.join(broadcast_if_small(customer_regions(spark, sf_dir)),
+    c = c.join(F.broadcast(customer_regions(spark, sf_dir)),
                c.c_nationkey == F.col("n_nationkey"), "left")
     email = F.concat(F.lower("c_name"), F.lit("@example.com"))
     return c.select(
@@ -149,7 +160,7 @@ def nation_customers(spark: SparkSession, sf_dir: str, changed: bool = False) ->
     region_name = F.col("r_name")
     if changed:
         nxt = region.select(F.col("r_regionkey").alias("_rk"), F.col("r_name").alias("_next"))
-        n = n.join(broadcast_if_small(nxt), (F.col("r_regionkey") + 1) % 5 == F.col("_rk"), "left")
+        n = n.join(F.broadcast(nxt), (F.col("r_regionkey") + 1) % 5 == F.col("_rk"), "left")
         name = F.concat(name, F.lit(" II"))
         region_name = F.when(F.col("n_nationkey") % 2 == 0, F.col("_next")).otherwise(region_name)
     return n.select(
