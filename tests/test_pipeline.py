@@ -1,0 +1,78 @@
+"""End-to-end pipeline: two runs, idempotent reruns, failure and retry of a batch."""
+
+import dataclasses
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.plans import retail, scenarios
+from tessera.plans.pipeline import PipelineConfig, run_pipeline
+from tessera.schemas import PRODUCTS_RAW
+from tessera.streaming.ingest import FeedSpec, ingest, read_bronze
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="testdata not present")
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_two_runs_then_rerun_is_stable(spark, workdir):
+    landing = f"{workdir}/landing"
+    scenarios.write_retail_landing(spark, SF, landing, customers="nation")
+    cfg = PipelineConfig(root=f"{workdir}/lake", landing=landing, prefix=f"p{uuid.uuid4().hex[:6]}_",
+                         now=retail.FIRST_LOAD)
+    first = run_pipeline(spark, cfg)
+    assert first[f"{cfg.prefix}bronze.customers"] == 25
+    scenarios.write_retail_landing(spark, SF, landing, customers="nation", changed=True,
+                                   transactions=False, products=False)
+    second = run_pipeline(spark, dataclasses.replace(cfg, now=retail.NATION_CHANGE))
+    assert second[f"{cfg.prefix}bronze.transactions"] == 0  # no new transaction file
+    summary = _rows(spark.table(f"{cfg.prefix}gold.daily_sales_summary"))
+    assert summary == _rows(retail.sales_summary(spark, SF))
+    dim = spark.table(f"{cfg.prefix}silver.customers_scd2")
+    assert dim.count() == 50 and dim.filter("is_current").count() == 25
+    # a third run with no new file changes nothing
+    third = run_pipeline(spark, dataclasses.replace(cfg, now="2001-01-01 00:00:00"))
+    assert f"{cfg.prefix}silver.customers_scd2" not in third
+    assert _rows(spark.table(f"{cfg.prefix}gold.daily_sales_summary")) == summary
+    hist = spark.read.parquet(cfg.audit_path)
+    assert hist.filter(F.col("status") != "SUCCESS").count() == 0
+    assert hist.filter(F.col("operation") == "MERGE").count() == 2
+
+
+def test_fact_append_mode_duplicates_like_the_original(spark, workdir):
+    landing = f"{workdir}/landing"
+    scenarios.write_retail_landing(spark, SF, landing, customers="nation")
+    cfg = PipelineConfig(root=f"{workdir}/lake", landing=landing, prefix=f"a{uuid.uuid4().hex[:6]}_",
+                         now=retail.FIRST_LOAD, fact_mode="append")
+    run_pipeline(spark, cfg)
+    n = spark.table(f"{cfg.prefix}gold.daily_sales_fact").count()
+    run_pipeline(spark, cfg)
+    assert spark.table(f"{cfg.prefix}gold.daily_sales_fact").count() == 2 * n
+
+
+def test_failed_batch_is_retried_without_duplicates(spark, workdir):
+    landing = f"{workdir}/landing"
+    os.makedirs(landing)
+    for i in range(3):
+        with open(f"{landing}/p{i}.csv", "w") as fh:
+            fh.write(f"item_id,product_name,category\n{i},n{i},c\n")
+    spec = FeedSpec("products", landing, PRODUCTS_RAW, "csv", f"{workdir}/bronze", f"{workdir}/ckpt",
+                    max_files_per_trigger=1)
+    calls = []
+
+    def crash_once(spec_, batch_id, rows):
+        calls.append(batch_id)
+        if batch_id == 1 and calls.count(1) == 1:
+            raise RuntimeError("simulated failure after the batch was written")
+
+    with pytest.raises(Exception):
+        ingest(spark, spec, on_batch=crash_once)
+    ingest(spark, spec, on_batch=crash_once)  # restarts from the checkpoint, redoes batch 1
+    bronze = read_bronze(spark, spec.target_path)
+    assert sorted(r.item_id for r in bronze.collect()) == ["0", "1", "2"]
+    assert calls.count(1) == 2
