@@ -33,13 +33,17 @@ def assign_keys(df: DataFrame, order_by: Sequence[str], key_col: str, base: int
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` = base + 1-based position of the row in ``order_by`` order.
 
-    Ties in ``order_by`` get distinct keys in an unspecified order; make the
-    order columns unique for reproducible keys.
+    Ties in ``order_by`` are ordered by a hash of the whole row (identical
+    rows in any order), which also spreads a hot order value over several
+    partitions.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_by)
-              .sortWithinPartitions(*order_by)
+    # A hash of the whole row breaks ties deterministically, so a value shared
+    # by many rows is spread over several range partitions instead of one.
+    order = [F.col(c) for c in order_by] + [F.xxhash64(*[F.col(c) for c in df.columns])]
+    ranged = (df.repartitionByRange(n, *order)
+              .sortWithinPartitions(*order)
               .checkpoint(eager=True))
     placed = ranged.select("*", F.spark_partition_id().alias(_PID),
                            F.monotonically_increasing_id().alias(_MID))

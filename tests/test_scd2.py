@@ -120,3 +120,16 @@ def test_scd2_properties(spark, sequence):
             assert current[cid] == h
     again = scd2_merge(dim, staged(spark, sequence[-1], T[8]), T[8])
     assert table(again) == table(dim)  # replaying the last load changes nothing
+
+
+def test_assign_keys_spreads_a_hot_value(spark):
+    # a third of the rows share one order value
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("v"),
+                                  F.col("id"))
+    out = assign_keys(df, ["v"], "k", num_partitions=6)
+    rows = out.collect()
+    assert sorted(r.k for r in rows) == list(range(1, 3001))
+    by_key = sorted(rows, key=lambda r: r.k)
+    assert [r.v for r in by_key] == sorted(r.v for r in rows)  # keys follow the order column
+    sizes = out.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 1000  # the 1,000 rows with v=7 are not in one task
