@@ -9,9 +9,14 @@ parquet tables do not do on their own are built from ordinary writes:
   a table it is reading, so the new contents go to ``<name>__next`` first,
   then the old table is dropped and the new one renamed.  The swap is not
   atomic; a single writer per table is assumed.
-* ``write_clustered``: the fact table's clustering keys become a range
-  partitioning plus a sort within partitions, so parquet min/max statistics
-  skip files on those keys.
+* Layout of the fact table's clustering keys, two ways:
+  ``write_partitioned``: one folder per value of the
+  leading key (the order date), rows sorted by the other keys inside each
+  file.  A ``rebalance`` hint lets AQE split a hot date into several files
+  and merge small ones; no sampling pass, and date filters prune folders.
+  ``write_clustered`` (pipeline default): a range partitioning over all keys
+  plus a sort, so min/max statistics skip files on every key, and a hot date
+  is split by the following keys; costs a sampling pass over the input.
 """
 
 from __future__ import annotations
@@ -64,9 +69,17 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").saveAsTable(name)
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    """Append, columns matched by name."""
-    df.write.format(fmt).mode("append").saveAsTable(name)
+    """Append, columns matched by name, into the table's own partitioning."""
+    writer = df.write.format(fmt).mode("append")
+    parts = partition_columns(df.sparkSession, name)
+    if parts:
+        writer = writer.partitionBy(*parts)
+    writer.saveAsTable(name)
 
 
 def write_clustered(df: DataFrame, name: str, keys: Sequence[str], mode: str = "overwrite",
@@ -74,13 +87,36 @@ def write_clustered(df: DataFrame, name: str, keys: Sequence[str], mode: str = "
     cluster_layout(df, keys).write.format(fmt).mode(mode).saveAsTable(name)
 
 
+def partition_layout(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
+    """Rebalance on the partition columns (AQE splits skewed and merges small
+    partitions), then sort each file by partition and sort keys."""
+    return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
+
+
+def write_partitioned(df: DataFrame, name: str, partition_by: Sequence[str],
+                      sort_by: Sequence[str] = (), mode: str = "overwrite",
+                      fmt: str = "parquet") -> None:
+    (partition_layout(df, partition_by, sort_by).write.format(fmt).mode(mode)
+     .partitionBy(*partition_by).saveAsTable(name))
+
+
 def create_or_append(df: DataFrame, name: str, cluster_by: Sequence[str] = (),
-                     fmt: str = "parquet") -> str:
-    """Create the table from ``df`` when missing, else append; returns the operation."""
+                     fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
+    """Create the table from ``df`` when missing, else append (by name);
+    returns the operation.  ``partition_by`` folders the table by those
+    columns (sorted by the rest of ``cluster_by``); otherwise ``cluster_by``
+    is a range layout."""
     spark = df.sparkSession
-    out = cluster_layout(df, cluster_by) if cluster_by else df
+    rest = [c for c in cluster_by if c not in partition_by]
+    if partition_by:
+        out = partition_layout(df, partition_by, rest)
+    else:
+        out = cluster_layout(df, cluster_by) if cluster_by else df
     if not table_exists(spark, name):
-        out.write.format(fmt).saveAsTable(name)
+        writer = out.write.format(fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.saveAsTable(name)
         return "CREATE TABLE AS SELECT"
     append_table(out.select(*spark.table(name).columns), name, fmt)
     return "WRITE"
