@@ -325,5 +325,5 @@ SELECT 'gold.category_counts', 'CREATE OR REPLACE TABLE', 'SUCCESS', CAST(1 AS B
 SELECT 'gold.category_counts' AS table_name, 'CREATE OR REPLACE TABLE' AS operation,
        CAST(count(DISTINCT p_type) AS VARCHAR) AS numOutputRows FROM part""",
 
-    "pipeline_two_runs": f"{_FACT_UNKEYED}{_SUMMARY}",
+    "medallion_two_runs": f"{_FACT_UNKEYED}{_SUMMARY}",
 }

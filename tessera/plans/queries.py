@@ -17,7 +17,7 @@ import uuid
 from tessera.functions import clean
 from tessera.operators import joins, keys, scd2
 from tessera.plans import retail, scenarios
-from tessera.plans.pipeline import PipelineConfig, run_pipeline
+from tessera.plans.runner import PipelineConfig, run_pipeline
 from tessera.plans.silver import build_products
 from tessera.schemas import CUSTOMERS_RAW, PRODUCTS_RAW
 from tessera.session import configure_session, scratch_dir
@@ -280,7 +280,7 @@ def q_latest_audit(spark, sf_dir):
     return latest_audit(audit_history(spark, audit)).select("table_name", "operation", "numOutputRows")
 
 
-def q_pipeline_two_runs(spark, sf_dir):
+def q_medallion_two_runs(spark, sf_dir):
     """Files -> bronze -> silver -> SCD2 -> fact -> summary, run twice: the
     second run lands a changed customer file only."""
     root = scratch_dir(spark, "pipeline")
@@ -329,7 +329,7 @@ QUERIES: dict[str, Query] = {
     "overwrite_append_table": q_overwrite_append_table,
     "audit_after_writes": q_audit_after_writes,
     "latest_audit": q_latest_audit,
-    "pipeline_two_runs": q_pipeline_two_runs,
+    "medallion_two_runs": q_medallion_two_runs,
 }
 
 
