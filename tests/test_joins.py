@@ -94,3 +94,30 @@ def test_direct_summary_equals_fact_summary(spark, tx, versions, products, keyed
         via_fact = build_sales_summary(build_sales_fact(t, versions, prods, customer_on=on)).collect()
         direct = build_sales_summary_direct(t, versions, prods, customer_on=on).collect()
         assert via_fact == direct
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_day = st.integers(min_value=0, max_value=60)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(facts=st.lists(st.one_of(st.none(), _day), min_size=1, max_size=12),
+       versions=st.lists(st.tuples(_day, st.one_of(st.none(), st.integers(1, 30))), max_size=6),
+       width=st.sampled_from([1, 3, 7, 40]))
+def test_temporal_join_strategies_match_brute_force(spark, facts, versions, width):
+    base = dt.datetime(2024, 1, 1)
+    f_rows = [(i, None if d is None else base + dt.timedelta(days=d, hours=5)) for i, d in enumerate(facts)]
+    v_rows = [(k, base + dt.timedelta(days=s), None if n is None else base + dt.timedelta(days=s + n))
+              for k, (s, n) in enumerate(versions)]
+    f = spark.createDataFrame(f_rows, "id int, ts timestamp")
+    v = spark.createDataFrame(v_rows, "k int, s timestamp, e timestamp")
+    expect = []
+    for i, ts in f_rows:
+        hits = [k for k, s, e in v_rows if ts is not None and s <= ts and (e is None or ts < e)]
+        expect += [(i, k) for k in hits] or [(i, None)]
+    for strategy in ("broadcast", "bucket"):
+        out = temporal_join(f, v, "ts", "s", "e", strategy=strategy, bucket_seconds=86_400 * width)
+        got = sorted(((r.id, r.k) for r in out.collect()), key=str)
+        assert got == sorted(expect, key=str), strategy
