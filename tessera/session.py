@@ -41,6 +41,7 @@ def build_session(master: str = "local[8]", app: str = "tessera",
     """Session for tests and local runs (the UI stays off)."""
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g")
                # Small local inputs: let AQE keep enough post-shuffle partitions
