@@ -45,6 +45,10 @@ def create_layers(spark: SparkSession, root: str | None = None, prefix: str = ""
     return names
 
 
+def current_catalog(spark: SparkSession) -> str:
+    return spark.catalog.currentCatalog()
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
@@ -82,6 +86,12 @@ def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     writer.saveAsTable(name)
 
 
+def insert_into(df: DataFrame, name: str, overwrite: bool = False) -> None:
+    """``INSERT INTO name SELECT ...``: columns bound by *position*, as in SQL.
+    Prefer ``append_table`` (by name) unless the positional form is intended."""
+    df.write.insertInto(name, overwrite=overwrite)
+
+
 def write_clustered(df: DataFrame, name: str, keys: Sequence[str], mode: str = "overwrite",
                     fmt: str = "parquet") -> None:
     cluster_layout(df, keys).write.format(fmt).mode(mode).saveAsTable(name)

@@ -73,3 +73,12 @@ def test_create_or_append_partitioned(spark, layers):
     assert create_or_append(df, name, ["g", "k"], partition_by=["g"]) == "CREATE TABLE AS SELECT"
     assert create_or_append(df, name, ["g", "k"], partition_by=["g"]) == "WRITE"
     assert spark.table(name).count() == 12
+
+
+def test_insert_into_is_positional(spark, layers):
+    from tessera.sources.tables import current_catalog, insert_into
+    name = f"{layers['silver']}.pos"
+    spark.createDataFrame([("a", "b")], "x string, y string").write.saveAsTable(name)
+    insert_into(spark.createDataFrame([("c", "d")], "y string, x string"), name)
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == [("a", "b"), ("c", "d")]
+    assert current_catalog(spark) == "spark_catalog"
