@@ -121,3 +121,34 @@ def test_temporal_join_strategies_match_brute_force(spark, facts, versions, widt
         out = temporal_join(f, v, "ts", "s", "e", strategy=strategy, bucket_seconds=86_400 * width)
         got = sorted(((r.id, r.k) for r in out.collect()), key=str)
         assert got == sorted(expect, key=str), strategy
+
+
+def test_hot_key_is_split_by_aqe_in_keyed_temporal_join(spark):
+    """A customer holding a third of the facts: with the broadcast disabled the
+    keyed join is a sort-merge join, and AQE splits the hot partition."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("id") % 500).cast("string"))).alias("cid"),
+            F.lit(dt.datetime(2024, 6, 1)).alias("ts"), "id")
+        vers = spark.range(501).select(
+            F.when(F.col("id") == 500, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id").cast("string"))).alias("customer_id"),
+            F.lit(dt.datetime(2024, 1, 1)).alias("s"), F.lit(None).cast("timestamp").alias("e"), F.col("id").alias("k"))
+        out = temporal_join(facts, vers, "ts", "s", "e", on=[("cid", "customer_id")], max_broadcast_rows=0)
+        assert len(out.collect()) == 30000
+        plan = out._jdf.queryExecution().executedPlan().toString()  # final adaptive plan
+        assert "SortMergeJoin(skew=true)" in plan, plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
