@@ -53,7 +53,9 @@ cust AS (
 cust2 AS (
   SELECT k, customer_id, CASE WHEN k % 7 = 3 THEN name || ' Jr' ELSE name END AS name, email, region FROM cust
   UNION ALL
-  SELECT k, 'N' || customer_id, name || ' (new)', email, region FROM cust WHERE k % 50 = 7),
+  SELECT s.s_suppkey, 'N' || CAST(s.s_suppkey AS VARCHAR), s.s_name, lower(s.s_name) || '@example.com', r.r_name
+  FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+       LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
 staged1 AS (
   SELECT customer_id, name, email, region, sha256(concat_ws('|', name, email, region)) AS hash_value FROM cust),
 staged2 AS (

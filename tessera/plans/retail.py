@@ -7,7 +7,7 @@ uses, with fixed load times so results are reproducible:
   renamed (even nations also moved region) at 1998-01-01 -> 50 versions.
   Used for the unkeyed temporal join: every transaction meets 25 versions.
 * customer dimension: every customer loaded at 1990-01-01, a changed feed
-  (1 in 7 renamed, 1 in 50 new ids) loaded at 1998-06-01.
+  (1 in 7 renamed, every supplier as a new id) loaded at 1998-06-01.
 """
 
 from __future__ import annotations

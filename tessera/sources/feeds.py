@@ -131,14 +131,18 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customers_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A later customer feed: every customer re-sent, 1 in 7 with a new name,
-    and 1 in 50 with an additional new customer 'N<custkey>'."""
+    plus every supplier arriving as a new customer 'N<suppkey>'."""
     base = customers_raw(spark, sf_dir).withColumn("_k", F.col("customer_id").cast("long"))
     resent = base.withColumn("name", F.when(F.col("_k") % 7 == 3, F.concat("name", F.lit(" Jr")))
-                             .otherwise(F.col("name")))
-    new = (base.filter(F.col("_k") % 50 == 7)
-           .withColumn("customer_id", F.concat(F.lit("N"), F.col("customer_id")))
-           .withColumn("name", F.concat("name", F.lit(" (new)"))))
-    return resent.unionByName(new).drop("_k")
+                             .otherwise(F.col("name"))).drop("_k")
+    s = table(spark, sf_dir, "supplier")
+    s = s.join(F.broadcast(customer_regions(spark, sf_dir)), s.s_nationkey == F.col("n_nationkey"), "left")
+    new = s.select(
+        F.concat(F.lit("N"), F.col("s_suppkey").cast("string")).alias("customer_id"),
+        F.col("s_name").alias("name"),
+        F.struct(F.concat(F.lower("s_name"), F.lit("@example.com")).alias("email")).alias("contact"),
+        F.col("r_name").alias("region"))
+    return resent.unionByName(new)
 
 
 def as_bronze(raw: DataFrame, source_file: str, ingest_ts: str = FEED_INGEST_TS) -> DataFrame:
