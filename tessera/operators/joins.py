@@ -10,10 +10,12 @@ Strategies for the unkeyed form:
 * ``broadcast``: nested-loop join with the version side broadcast.  Chosen only
   after a bounded row count proves the side small (``max_broadcast_rows``).
 * ``bucket``: time-bucket equi join.  The fact side gets
-  ``floor(epoch / width)``; each version is exploded over the buckets its
-  interval covers, clipped to the fact side's time range, so open intervals
-  do not explode without bound.  The join is then an ordinary shuffle join on
-  the bucket plus the residual test; AQE splits a hot bucket.
+  ``floor(epoch / width)``, clamped to the range the versions span; each
+  version is exploded over the buckets its interval covers within that range,
+  so open intervals end at the last bucket instead of exploding without
+  bound.  The range comes from one aggregate over the versions, never from a
+  pass over the facts.  The join is then an ordinary shuffle join on the
+  bucket plus the residual test; AQE splits a hot bucket.
 
 Dimension look-ups (``lookup_join``) broadcast the dimension only behind the
 same row-count check, otherwise they leave the choice to AQE, which switches
@@ -92,28 +94,34 @@ def temporal_join(facts: DataFrame, versions: DataFrame, ts: str, start: str, en
 def _bucket_temporal_join(facts: DataFrame, versions: DataFrame, ts: str, start: str,
                           end: str, how: str, width: int) -> DataFrame:
     bucket_col = "_tj_bucket"
-    # One-row aggregate over the fact timestamps bounds the bucket range.
-    lo, hi = facts.agg(F.min(F.unix_seconds(F.col(ts).cast("timestamp"))),
-                       F.max(F.unix_seconds(F.col(ts).cast("timestamp")))).first()
-    if lo is None:  # no fact has a timestamp: nothing can match
-        lo = hi = 0
-    lo_b, hi_b = lo // width, hi // width
 
-    def bucket_of(c: Column) -> Column:
-        return F.floor(F.unix_seconds(c.cast("timestamp")) / F.lit(width)).cast("long")
+    def seconds(c: Column) -> Column:
+        return F.unix_seconds(c.cast("timestamp"))
 
-    first = F.greatest(bucket_of(F.col(start)), F.lit(lo_b))
-    # Exclusive end: the bucket holding end-1 second is the last one touched.
-    last_closed = F.floor((F.unix_seconds(F.col(end).cast("timestamp")) - 1) / F.lit(width)).cast("long")
-    last = F.least(F.coalesce(last_closed, F.lit(hi_b)), F.lit(hi_b))
+    def bucket_of(c: Column) -> Column:
+        return F.floor(seconds(c) / F.lit(width)).cast("long")
+
+    # Bucket range from the version side only (no pass over the facts):
+    # from the earliest start to the latest start or end.  Fact timestamps are
+    # clamped into it: earlier facts match nothing anyway, later facts share
+    # the last bucket with every version still open there (AQE splits that
+    # bucket if it is hot).
+    lo_b, hi_b = versions.agg(
+        F.min(bucket_of(F.col(start))),
+        F.max(F.greatest(bucket_of(F.col(start)),
+                         F.floor((seconds(F.col(end)) - 1) / F.lit(width)).cast("long")))).first()
+    if lo_b is None:  # no version has a start: nothing can match
+        lo_b = hi_b = 0
+    last_closed = F.floor((seconds(F.col(end)) - 1) / F.lit(width)).cast("long")
     spread = (versions
               .filter(F.col(start).isNotNull())
-              .withColumn("_tj_first", first)
-              .withColumn("_tj_last", last)
+              .withColumn("_tj_first", F.greatest(bucket_of(F.col(start)), F.lit(lo_b)))
+              .withColumn("_tj_last", F.least(F.coalesce(last_closed, F.lit(hi_b)), F.lit(hi_b)))
               .filter(F.col("_tj_last") >= F.col("_tj_first"))
               .withColumn(bucket_col, F.explode(F.sequence("_tj_first", "_tj_last")))
               .drop("_tj_first", "_tj_last"))
-    f = facts.withColumn(bucket_col, bucket_of(F.col(ts))).alias("_f")
+    clamped = F.least(F.greatest(bucket_of(F.col(ts)), F.lit(lo_b)), F.lit(hi_b))
+    f = facts.withColumn(bucket_col, clamped).alias("_f")
     v = spread.alias("_v")
     cond = ((F.col(f"_f.{bucket_col}") == F.col(f"_v.{bucket_col}"))
             & interval_contains(F.col(f"_f.{ts}"), F.col(f"_v.{start}"), F.col(f"_v.{end}")))
