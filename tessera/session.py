@@ -44,8 +44,6 @@ def build_session(master: str = "local[8]", app: str = "tessera",
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g")
-               # Remove reliable-checkpoint files once their DataFrames are gone.
-               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                # Small local inputs: let AQE keep enough post-shuffle partitions
                # to use every core (clusters keep their own settings).
                .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k"))
