@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.functions.clean import (ZONE_OFFSETS, digits_only, is_not_corrupt,
                                      parse_zoned_timestamp, strip_currency, title_case,
