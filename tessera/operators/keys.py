@@ -37,14 +37,13 @@ def assign_keys(df: DataFrame, order_by: Sequence[str], key_col: str, base: int
     rows in any order), which also spreads a hot order value over several
     partitions.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A hash of the whole row breaks ties deterministically, so a value shared
     # by many rows is spread over several range partitions instead of one.
     order = [F.col(c) for c in order_by] + [F.xxhash64(*[F.col(c) for c in df.columns])]
-    ranged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .checkpoint(eager=True))
+    # Without an explicit count AQE sizes the range partitions (it only merges
+    # neighbouring ranges, so the order across partitions is kept).
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     placed = ranged.select("*", F.spark_partition_id().alias(_PID),
                            F.monotonically_increasing_id().alias(_MID))
     counts = placed.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))

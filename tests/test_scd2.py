@@ -133,3 +133,9 @@ def test_assign_keys_spreads_a_hot_value(spark):
     assert [r.v for r in by_key] == sorted(r.v for r in rows)  # keys follow the order column
     sizes = out.groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) < 1000  # the 1,000 rows with v=7 are not in one task
+
+
+def test_assign_keys_default_partitioning_keeps_order(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v")).repartition(9)
+    out = assign_keys(df, ["v"], "k", base=3).collect()
+    assert sorted((r.v, r.k) for r in out) == [(v, v + 4) for v in range(5000)]
