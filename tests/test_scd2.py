@@ -139,3 +139,13 @@ def test_assign_keys_default_partitioning_keeps_order(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v")).repartition(9)
     out = assign_keys(df, ["v"], "k", base=3).collect()
     assert sorted((r.v, r.k) for r in out) == [(v, v + 4) for v in range(5000)]
+
+
+def test_null_ids_are_rejected_not_merged(spark):
+    from tessera.operators.scd2 import rejected_customers
+    bronze = as_bronze(spark.createDataFrame(
+        [("c1", "A", ("a@x",), "EU"), (None, "Z", ("z@x",), "US")], CUSTOMERS_RAW), "f.json")
+    staged_rows = stage_customers(bronze, now="2024-01-01 00:00:00")
+    dim = scd2_merge(empty_dimension(spark), staged_rows)
+    assert [r.customer_id for r in dim.collect()] == ["c1"]
+    assert [r.name for r in rejected_customers(bronze).collect()] == ["Z"]
