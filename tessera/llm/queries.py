@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from tessera.llm.fingerprint import op3_fingerprints
 from tessera.llm.mixing import op10_mixing
 from tessera.llm.packing import op4_packing
 from tessera.llm.quality import op7_quality_rules
+from tessera.llm.secrets import op9_secret_scans
 from tessera.llm.sharding import op6_kd_shards
 from tessera.llm.url_filter import OP8_SQL, op8_url_filters
 from tessera.llm.warc import OP1_SQL, op1_warc_revisits
 
 QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
+    "op3_fingerprints": op3_fingerprints,
     "op4_packing": op4_packing,
     "op6_kd_shards": op6_kd_shards,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filters": op8_url_filters,
+    "op9_secret_scans": op9_secret_scans,
     "op10_mixing": op10_mixing,
 }
 
