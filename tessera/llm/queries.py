@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm.fingerprint import op3_fingerprints
+from tessera.llm.jaccard_join import OP2_SQL, op2_token_group_join
 from tessera.llm.mixing import op10_mixing
 from tessera.llm.packing import op4_packing
 from tessera.llm.quality import op7_quality_rules
@@ -13,6 +14,7 @@ from tessera.llm.warc import OP1_SQL, op1_warc_revisits
 
 QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
+    "op2_token_group_join": op2_token_group_join,
     "op3_fingerprints": op3_fingerprints,
     "op4_packing": op4_packing,
     "op6_kd_shards": op6_kd_shards,
@@ -24,5 +26,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_warc_revisits": OP1_SQL,
+    "op2_token_group_join": OP2_SQL,
     "op8_url_filters": OP8_SQL,
 }
