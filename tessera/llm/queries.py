@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tessera.llm.fingerprint import op3_fingerprints
 from tessera.llm.jaccard_join import OP2_SQL, op2_token_group_join
+from tessera.llm.line_dedup import OP5_SQL, op5_line_dedup
 from tessera.llm.mixing import op10_mixing
 from tessera.llm.packing import op4_packing
 from tessera.llm.quality import op7_quality_rules
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_token_group_join": op2_token_group_join,
     "op3_fingerprints": op3_fingerprints,
     "op4_packing": op4_packing,
+    "op5_line_dedup": op5_line_dedup,
     "op6_kd_shards": op6_kd_shards,
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filters": op8_url_filters,
@@ -27,5 +29,6 @@ QUERIES = {
 ORACLE = {
     "op1_warc_revisits": OP1_SQL,
     "op2_token_group_join": OP2_SQL,
+    "op5_line_dedup": OP5_SQL,
     "op8_url_filters": OP8_SQL,
 }

@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import stored
-from tessera.llm.words import Slice, mixed, overlap, shingle_runs
+from tessera.llm.words import Slice, mixed, overlap, shingle_runs, slices
 
-BUCKET_POSTINGS = 1 << 20
+BUCKET_POSTINGS = 1 << 18
+FLUSH_POSTINGS = 1 << 18  # postings that a task gathers before it deals them
+TEXT_ROWS, BLOB_ROWS = 1000, 256  # rows of an Arrow batch of texts, of sets or postings
 _U = np.uint64
 
 
@@ -157,6 +159,26 @@ def dealt(tokens: np.ndarray, owners: np.ndarray, extra: np.ndarray, buckets: in
         yield int(b), tokens[a:z].tobytes(), owners[a:z].tobytes(), extra[a:z].astype("<u2").tobytes()
 
 
+class Dealer:
+    """Gathers postings of a task and deals them in batches of bounded size."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.parts, self.held = buckets, [], 0
+
+    def add(self, tokens: np.ndarray, owners: np.ndarray, extra: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(tokens):
+            self.parts.append((tokens, owners, extra))
+            self.held += len(tokens)
+        if self.held >= FLUSH_POSTINGS:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            columns = [np.concatenate(x) for x in zip(*self.parts)]
+            self.parts, self.held = [], 0
+            yield posting_batch(list(dealt(*columns, self.buckets)))
+
+
 POSTINGS = "bucket int, tokens binary, owners binary, extra binary"
 
 
@@ -209,6 +231,13 @@ def unpacked(column: pa.Array) -> list[str | None]:
     return [None if x.as_py() is None else unpress.decompress(x.as_py()).decode() for x in column]
 
 
+def unpacked_slices(column: pa.Array, rows: int = 512) -> Iterator[tuple[int, Slice]]:
+    """Slices of packed texts, each with the row at which its part begins."""
+    for at in range(0, len(column), rows):
+        for s in slices(pa.array(unpacked(column.slice(at, rows)), pa.large_string())):
+            yield at, s
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sets are similar. ``sets``: id, tokens (sorted, little-endian 64-bit).
 
@@ -232,4 +261,4 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                                              names=["a", "b"])
 
     joined = pairs.select("a", "b").distinct().join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return stored(joined.mapInArrow(run, "a long, b long"), "links")
+    return stored(joined.mapInArrow(run, "a long, b long"), "links", BLOB_ROWS)
