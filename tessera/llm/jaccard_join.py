@@ -6,14 +6,15 @@ threshold that falls with the set's size. If Q and S are similar, S lacks at mos
 Q's shingles, so of Q's shingles in the region at least (their number less that) are in S too,
 whatever the region is. Nothing is lost, and only about a quarter of all shingles travel.
 
-1. Coarse bound: a set stays only if enough of its region's shingles occur in any other set.
-   Few sets of a corpus do.
-2. Groups: those sets are partitioned by their smallest hashes; each is compared with the first
-   set of its partition (a pair per set, not all pairs), and verified links join groups.
-3. Token-group matrix: (shingle, group) for the union of each group's regions. A set's overlap with
-   a foreign group's union bounds its overlap with each member; groups below the bound stay shut.
-4. Open groups: the member of nearest size first; where that joins the two groups the rest need no
-   look. Remaining members are verified one by one.
+1. Coarse bound: a set stays only if enough of its region's shingles occur in any other set, then,
+   of these, only if four fifths of all its shingles occur in others. Few sets of a corpus do. How
+   many do also bounds what two sets can have in common.
+2. Groups: those sets are partitioned by their smallest hashes; each is compared with the leader
+   of its partition (a pair per set, not all pairs), and verified links join groups.
+3. Token-group matrix: (shingle, group) for the union of each group. A set's overlap with a foreign
+   group's union bounds its overlap with each member; groups below the bound stay shut.
+4. Open groups: three likely members first; where those join the two groups the rest need no look.
+   Remaining members are verified one by one.
 
 Links that steps 2 and 4 skip lie within a group that is already connected, so components, the
 result, are exact. Shingles that many sets hold are a list of bounded length and count as shared
@@ -36,14 +37,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import components, stored, table, unused
-from tessera.llm.tokensets import (POSTINGS, Frequency, Sets, buckets_for, compatible, dealt, frequent, gathered, is_in,
-                                   missing, packed_texts, posting_batch, shared_by_sets, signed, text_sets, unpacked,
-                                   verified)
+from tessera.llm.tokensets import (BLOB_ROWS, POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for, can_overlap, frequent, gathered,
+                                   is_in, missing, packed_texts, posting_batch, shared_by_sets, signed, text_sets,
+                                   unpacked_slices, verified, with_common)
 from tessera.llm.words import mixed, slices
 
 _U = np.uint64
 _OWN_SPACE = _U(0x5851F42D4C957F2D)
-_PROFILE = ("doc_id long, key struct<doc_id:bigint,hash:bigint>, id long, n long, low1 long, low2 long, "
+_PROFILE = ("doc_id long, key struct<doc_id:bigint,hash:bigint>, id long, n long, low1 long, low2 long, low3 long, "
             "needed long, region long, tokens binary, counts binary")
 
 
@@ -89,10 +90,11 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = text_sets(s)
             regions = Regions(sets)
             often.add(sets.tokens[regions.held], len(sets))
-            low = [sets.folded(sets.tokens, np.minimum), sets.folded(mixed(sets.tokens ^ _OWN_SPACE), np.minimum)]
+            low = [sets.folded(x, np.minimum) for x in (sets.tokens, mixed(sets.tokens ^ _OWN_SPACE),
+                                                        mixed(sets.tokens + _OWN_SPACE))]
             part = batch.slice(s.first, len(s))
-            rows.append([part.column(0), part.column(1), signed(sets.ids()), pa.array(sets.sizes), signed(low[0]),
-                         signed(low[1]), pa.array(regions.needed),
+            rows.append([part.column(0), part.column(1), signed(sets.ids()), pa.array(sets.sizes),
+                         *map(signed, low), pa.array(regions.needed),
                          pa.array(np.bincount(sets.owner[regions.held], minlength=len(sets))
                                   + np.where(regions.odd, sets.sizes, 0))])
         tokens, counts = often.found()
@@ -112,7 +114,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def profile(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One narrow row per document; stored."""
-    return stored(keyed(docs, doc_id, text).mapInArrow(_profile, _PROFILE), "profile")
+    return stored(keyed(docs, doc_id, text).mapInArrow(_profile, _PROFILE), "profile", TEXT_ROWS)
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -130,24 +132,20 @@ def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, buckets: int) -> D
     """Ids of the sets that share enough of their region with any others."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealer = Dealer(buckets)
         for batch in batches:
-            parts, counted = [], []
             for s in slices(batch.column(0)):
                 found = text_sets(s)
                 regions, ids = Regions(found), found.ids()
                 often = is_in(found.tokens, hot)
                 tokens, owner, asks = regions.postings(~often)
-                parts.append((tokens, ids[owner], asks))
+                yield from dealer.add(tokens, ids[owner], asks)
                 asked = often & regions.asked & ~regions.odd[found.owner]
-                if asked.any():
-                    n = np.bincount(found.owner[asked], minlength=len(found))
-                    counted.append((ids[n > 0], n[n > 0]))
-            if parts:
-                columns = [np.concatenate(x) for x in zip(*parts)]
-                yield posting_batch(list(dealt(*columns, buckets)))
-            if counted:  # shared for certain: counts by set, each batch a bucket of its own
-                ids, n = (np.concatenate(x) for x in zip(*counted))
-                yield posting_batch([(-1 - int(ids[0] % _U(1 << 30)), n.astype("<u8").tobytes(), ids.tobytes(), b"")])
+                if asked.any():  # shared for certain: counts by set, each slice a bucket of its own
+                    n = np.bincount(found.owner[asked], minlength=len(found)).astype("<u8")
+                    own, n = ids[n > 0], n[n > 0]
+                    yield posting_batch([(-1 - int(own[0] % _U(1 << 30)), n.tobytes(), own.tobytes(), b"")])
+        yield from dealer.rest()
 
     def meet(group: pa.Table) -> pa.Table:
         if group.column("bucket")[0].as_py() < 0:
@@ -165,7 +163,8 @@ def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, buckets: int) -> D
     sums = found.groupBy("id").agg(F.sum(F.when(~F.col("often"), F.col("n"))).alias("n"),
                                    F.max(F.when(F.col("often"), F.col("n"))).alias("m"))
     total = F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))
-    return stored(sums.join(sets.select("id", "needed"), "id").where(total >= F.col("needed")).select("id"), "coarse")
+    return stored(sums.join(sets.select("id", "needed"), "id").where(total >= F.col("needed")).select("id"), "coarse",
+                  TEXT_ROWS)
 
 
 def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -173,8 +172,7 @@ def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array(unpacked(batch.column(0)), pa.large_string())
-            for s in slices(texts):
+            for _, s in unpacked_slices(batch.column(0)):
                 found = text_sets(s)
                 yield pa.RecordBatch.from_arrays(
                     [signed(found.ids()), pa.array(found.sizes),
@@ -185,65 +183,70 @@ def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     sets = texts.select("text").mapInArrow(run, "id long, n long, tokens binary")
     sets = sets.join(wanted.select("id"), "id", "left_semi").groupBy("id").agg(
         F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    return stored(sets, "sets")
+    return stored(sets, "sets", TEXT_ROWS)
 
 
 def star_pairs(sets: DataFrame) -> DataFrame:
-    """Each set with the first set of its partition, for two partitions by smallest hash."""
+    """Each set with the leader of its partition, for three partitions by smallest hash.
+
+    The leader is the set that shares the largest part of its shingles with others: in a family
+    of edited copies the original, whose shingles all occur in some copy.
+    """
     out = None
-    for low in ("low1", "low2"):
-        first = sets.groupBy(low).agg(F.min(F.struct("id", "n")).alias("f"), F.count(F.lit(1)).alias("c")).where("c > 1")
-        pairs = (sets.join(first.select(low, F.col("f.id").alias("b"), F.col("f.n").alias("m")), low)
-                 .where(f"id <> b and {compatible('n', 'm')}").select(F.col("id").alias("a"), "b"))
+    for low in ("low1", "low2", "low3"):
+        leader = sets.groupBy(low).agg(F.max(F.struct(F.col("common") / F.col("n"), "id", "n", "common")).alias("f"),
+                                       F.count(F.lit(1)).alias("c")).where("c > 1")
+        leader = leader.select(low, F.col("f.id").alias("b"), F.col("f.n").alias("m"), F.col("f.common").alias("d"))
+        pairs = (sets.join(leader, low).where(f"id <> b and {can_overlap('common', 'n', 'd', 'm')}")
+                 .select(F.col("id").alias("a"), "b"))
         out = pairs if out is None else out.union(pairs)
     return out
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Region postings of stored sets as rows: token, id, asks."""
+    """Shingles of stored sets as rows: token, id."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            arrays = [np.frombuffer(x.as_py(), "<u8") for x in batch.column(1).slice(at, 512)]
-            ids = batch.column(0).slice(at, 512).to_numpy(zero_copy_only=False)
-            bounds = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int64)
-            found = Sets(np.concatenate(arrays), bounds)
-            tokens, owner, asks = Regions(found).postings()
-            yield pa.RecordBatch.from_arrays([signed(tokens), pa.array(ids[owner]), pa.array(asks == 1)],
-                                             names=["token", "id", "asks"])
+        arrays = [np.frombuffer(x.as_py(), "<i8") for x in batch.column(1)]
+        ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(a) for a in arrays])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(arrays)), pa.array(ids)], names=["token", "id"])
 
 
 def _grouped(ids: DataFrame, links: DataFrame) -> DataFrame:
-    """id, grp: the smallest id that each id reaches over the links."""
+    """``ids`` with grp: the smallest id that each id reaches over the links."""
     found = components(links)
-    return ids.join(found, "id", "left").select("id", F.coalesce("component", "id").alias("grp"))
+    return ids.join(found, "id", "left").select(*ids.columns, F.coalesce("component", "id").alias("grp"))
 
 
-def matrix_links(sets: DataFrame, needs: DataFrame, links: DataFrame) -> DataFrame:
-    """Links between sets of different groups (steps 3 and 4), groups being the components of ``links``."""
-    groups = stored(_grouped(sets.select("id"), links).join(needs, "id"), "groups")
-    rows = stored(sets.select("id", "tokens").mapInArrow(_exploded, "token long, id long, asks boolean")
-                  .join(groups.select("id", "grp"), "id"), "postings")
+def matrix_groups(sets: DataFrame, links: DataFrame) -> DataFrame:
+    """id, grp of all sets: the components of ``links`` joined by steps 3 and 4."""
+    groups = stored(_grouped(sets.select("id", "n", "common"), links), "groups")
+    rows = (sets.select("id", "tokens").mapInArrow(_exploded, "token long, id long")
+            .join(groups.select("id", "grp"), "id"))
+    rows = stored(rows, "postings", BLOB_ROWS)
     matrix = rows.select("token", "grp").distinct()
     wide = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     matrix = stored(matrix.join(wide, "token"), "matrix").withColumnRenamed("grp", "other")
-    asked = rows.where("asks").select("token", "id", "grp")
-    # The bound: how many of a set's asked shingles the union of a foreign group holds.
-    opened = (asked.join(matrix, "token").where("grp <> other").groupBy("id", "other").agg(F.count(F.lit(1)).alias("c"))
-              .join(needs.select("id", "needed", "n"), "id").where("c >= needed").select("id", "n", "other"))
+    # The bound: how many of a set's shingles the union of a foreign group holds.
+    opened = (rows.join(matrix, "token").where("grp <> other").groupBy("id", "other").agg(F.count(F.lit(1)).alias("c"))
+              .join(groups.select("id", "n", "common"), "id").where("5 * c >= 4 * n")
+              .select("id", "n", F.least("c", "common").alias("common"), "other"))
     opened = stored(opened, "opened")
-    members = groups.select(F.col("id").alias("member"), F.col("n").alias("m"), F.col("grp").alias("other"))
-    # A member of the nearest size: the largest at or below the set's and the smallest above it.
-    nearest = opened.join(members.groupBy("other").agg(F.min_by("member", "m").alias("x"), F.max_by("member", "m").alias("y"),
-                                                        F.min("member").alias("z")), "other")
-    first = nearest.select(F.col("id").alias("a"), F.explode(F.array("x", "y", "z")).alias("b")).where("a <> b")
+    members = groups.select(F.col("id").alias("member"), F.col("n").alias("m"), F.col("common").alias("d"),
+                            F.col("grp").alias("other"))
+    # First the member that shares most with others and those of the smallest and largest size.
+    likely = members.groupBy("other").agg(F.max_by("member", F.col("d") / F.col("m")).alias("x"),
+                                          F.min_by("member", "m").alias("y"), F.max_by("member", "m").alias("z"))
+    first = opened.join(likely, "other").select(F.col("id").alias("a"), F.explode(F.array("x", "y", "z")).alias("b"))
     found = verified(first, sets)
-    now = stored(_grouped(sets.select("id"), links.unionByName(found)), "groups")
+    ids = sets.select("id")
+    now = stored(_grouped(ids, links.unionByName(found)), "groups")
     apart = (opened.join(now.withColumnRenamed("grp", "mine"), "id")
-             .join(members, "other").where(compatible("n", "m"))
+             .join(members, "other").where(can_overlap("common", "n", "d", "m"))
              .join(now.select(F.col("id").alias("member"), F.col("grp").alias("theirs")), "member")
              .where("mine <> theirs")
              .select(F.least("id", "member").alias("a"), F.greatest("id", "member").alias("b")))
-    return links.unionByName(found).unionByName(verified(apart, sets))
+    last = verified(apart, sets)
+    return now if last.isEmpty() else _grouped(ids, links.unionByName(found).unionByName(last))
 
 
 def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -251,18 +254,19 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     rows = profile(docs, doc_id, text)
     known = rows.where("n > 0").groupBy("id").agg(
         F.min("doc_id").alias("smallest"), F.min("key").alias("key"),
-        *[F.first(c).alias(c) for c in ("n", "low1", "low2", "needed", "region")])
+        *[F.first(c).alias(c) for c in ("n", "low1", "low2", "low3", "needed", "region")])
     known = stored(known, "known")
     size = known.agg(F.sum("region").alias("postings"), F.count(F.lit(1)).alias("sets")).first()
     blobs = rows.where("tokens is not null").select("tokens", "counts")
     hot = frequent(blobs.mapInArrow(_counted, "token long, n long"), size["sets"])
     texts = keyed(docs, doc_id, text)
-    left = known.join(coarse(texts, known, hot, buckets_for(size["postings"] or 0)), "id", "left_semi")
+    left = known.join(coarse(texts, known, hot, buckets_for(size["postings"] or 0)), "id")
     left = stored(left, "left")
-    sets = fetched(texts, left.select("id", "key"))
-    links = verified(star_pairs(left), sets)
-    links = matrix_links(sets, left.select("id", "needed", "n"), links)
-    groups = components(links)
+    sets = with_common(fetched(texts, left.select("id", "key")), hot, "common")
+    links = verified(star_pairs(sets.select("id", "n", "common").join(
+        left.select("id", "low1", "low2", "low3"), "id")), sets)
+    groups = stored(matrix_groups(sets, links), "groups")
+    groups = groups.withColumnRenamed("grp", "component")
     named = groups.join(known.select("id", "smallest"), "id").groupBy("component").agg(F.min("smallest").alias("name"))
     of_set = known.select("id", "smallest").join(groups, "id", "left").join(named, "component", "left").select(
         "id", F.coalesce("name", "smallest").alias("name"))
