@@ -11,7 +11,8 @@ floor(n / 5) + 1 of them are looked up: similar lines share one of those. Length
 filters drop candidates, the rest are verified on whole sets.
 
 Equal lines are one set from the start. Candidates come in two rounds: each line against the
-earliest line that shares a rare shingle (a pair per line and shingle), then, only for lines that
+earliest line that shares a rare shingle and against the line of that shingle that shares most of
+its prefix with others (two pairs per line and shingle), then, only for lines that
 this did not decide, against the other earlier ones. A family of near copies is thus decided by
 pairs with its first member, not by all pairs.
 
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.shared import stored, table, unused
-from tessera.llm.tokensets import (POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for, compatible,
-                                   frequent, gathered, is_in, line_bounds, missing, packed_texts, posting_batch,
-                                   shared_by_sets, signed, unpacked, unpacked_slices, verified)
+from tessera.llm.tokensets import (POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for, can_overlap,
+                                   compatible, frequent, gathered, is_in, line_bounds, missing, packed_texts, posting_batch,
+                                   shared_by_sets, signed, unpacked, unpacked_slices, verified, with_common)
 from tessera.llm.words import shingle_runs, slices
 
 _U = np.uint64
@@ -54,7 +55,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, rows = Frequency(), []
         for s in slices(batch.column(2)):
             text, line, sets = _line_sets(s)
-            often.add(sets.tokens, len(sets))
+            often.add(sets.tokens[sets.rank() <= missing(sets.sizes)[sets.owner]], len(sets))
             at = pa.array(text + s.first)
             rows.append([batch.column(0).take(at), batch.column(1).take(at), pa.array(line.astype(np.int32)),
                          signed(sets.ids()), pa.array(sets.sizes.astype(np.int32))])
@@ -121,7 +122,7 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, tokens of the wanted lines, from the texts that hold them first; stored."""
+    """id, n, tokens of the wanted lines, from the texts that hold them first; stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,14 +133,14 @@ def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 here = np.concatenate([np.asarray(asked[at + s.first + i].as_py(), np.int64) for i in range(len(s))])
                 use = np.flatnonzero(np.isin(ids, here))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[use]), pa.array([sets[i].tobytes() for i in use], pa.binary())],
-                    names=["id", "tokens"])
+                    [pa.array(ids[use]), pa.array(sets.sizes[use]),
+                     pa.array([sets[i].tobytes() for i in use], pa.binary())], names=["id", "n", "tokens"])
 
     by_text = wanted.groupBy("doc_id", "hash").agg(F.collect_set("id").alias("ids"))
     texts = packed_texts(docs, "text").alias("t").join(
         by_text.alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.hash") == F.col("w.hash")))
-    found = texts.select("t.text", "w.ids").mapInArrow(run, "id long, tokens binary")
-    return stored(found.groupBy("id").agg(F.first("tokens").alias("tokens")), "line-sets",
+    found = texts.select("t.text", "w.ids").mapInArrow(run, "id long, n long, tokens binary")
+    return stored(found.groupBy("id").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "line-sets",
                   TEXT_ROWS)
 
 
@@ -164,23 +165,33 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     hot = frequent(blobs.mapInArrow(_counted, "token long, n long"), size["sets"])
     found = shared_prefixes(texts, hot, buckets_for(size["postings"] or 0))
     found = stored(found.distinct().join(first.select("id", "n", "at"), "id"), "shared", TEXT_ROWS)
-    leader = found.groupBy("token").agg(F.min(F.struct("at", "id", "n", "place")).alias("l"), F.count(F.lit(1)).alias("c"))
-    leader = leader.where("c > 1").select("token", F.col("l.id").alias("b"), F.col("l.n").alias("m"),
-                                          F.col("l.place").alias("l_place"))
-    position = F.expr(_POSITION.replace("at)", "l_place)"))
-    pairs = (found.join(leader, "token").where((F.col("id") != F.col("b")) & F.expr(compatible("n", "m")) & position)
-             .select(F.col("id").alias("a"), "b").distinct())
+    # Two lines of a shingle stand for its others: the earliest one and the one that shares most of its prefix.
+    parts = found.groupBy("id").agg((F.count(F.lit(1)) / (F.floor(F.first("n") / 5) + 1)).alias("part"))
+    found = stored(found.join(parts, "id"), "shared")
+    line = F.struct("at", "id", "n", "place")
+    leaders = (found.groupBy("token").agg(F.min(line).alias("x"), F.max_by(line, F.struct("part", "id")).alias("y"),
+                                          F.count(F.lit(1)).alias("c")).where("c > 1")
+               .select("token", F.explode(F.array("x", "y")).alias("l"))
+               .select("token", F.col("l.id").alias("b"), F.col("l.at").alias("b_at"), F.col("l.n").alias("m"),
+                       F.col("l.place").alias("b_place")))
+    possible = (F.col("b_at") < F.col("at")) & F.expr(compatible("n", "m")) & F.expr(
+        _POSITION.replace("at)", "b_place)"))
+    pairs = found.join(leaders, "token").where(possible).select(F.col("id").alias("a"), "b").distinct()
     pairs = stored(pairs, "pairs")
     # Lines that take part in any later look-up: with a length-compatible partner in a shared shingle.
     wanted = found.select("id", F.col("at.doc_id").alias("doc_id"), F.col("at.hash").alias("hash")).distinct()
-    sets = _fetched(texts, wanted)
-    decided = verified(pairs, sets).select("a").distinct()
+    sets = with_common(_fetched(texts, wanted), hot, "common")
+    # What other lines hold of two lines bounds what they have in common.
+    counts = sets.select("id", "n", "common")
+    of_b = counts.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("common").alias("d"))
+    able = F.expr(can_overlap("common", "n", "d", "m"))
+    likely = pairs.join(counts.withColumnRenamed("id", "a"), "a").join(of_b, "b").where(able).select("a", "b")
+    decided = verified(likely, sets).select("a").distinct()
+    found = found.join(counts.select("id", "common"), "id")
     open_ = found.join(decided.withColumnRenamed("a", "id"), "id", "left_anti")
     earlier = found.select("token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("at").alias("b_at"),
-                           F.col("place").alias("b_place"))
-    rest = (open_.join(earlier, "token")
-            .where((F.col("b_at") < F.col("at")) & F.expr(compatible("n", "m"))
-                   & F.expr(_POSITION.replace("at)", "b_place)")))
+                           F.col("place").alias("b_place"), F.col("common").alias("d"))
+    rest = (open_.join(earlier, "token").where(possible & able)
             .select(F.col("id").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti"))
     near = decided.union(verified(rest, sets).select("a")).distinct().withColumnRenamed("a", "id")
     marks = first.join(near.withColumn("near", F.lit(True)), "id", "left").where("c > 1 or near")

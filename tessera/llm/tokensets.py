@@ -50,6 +50,8 @@ class Sets:
             hashes = hashes.copy()
             for a, b in zip(bounds[:-1], bounds[1:]):
                 hashes[a:b].sort()
+        elif len(n) < 1 << 20:  # the owner and the leading bits of the hash in one sort key
+            hashes = hashes[np.argsort((owner.astype(_U) << _U(44)) | (hashes >> _U(20)))]
         else:
             hashes = hashes[np.lexsort((hashes, owner))]
         fresh = np.ones(len(hashes), bool)
@@ -238,6 +240,45 @@ def unpacked_slices(column: pa.Array, rows: int = 512) -> Iterator[tuple[int, Sl
             yield at, s
 
 
+def with_common(sets: DataFrame, hot: np.ndarray, name: str) -> DataFrame:
+    """Stored sets (id, n, tokens) with ``common``: how many of a set's shingles any other set holds.
+
+    Only sets for which that is four fifths of their size or more; the others are like none.
+    """
+    postings = sets.agg(F.sum("n")).first()[0] or 0
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealer = Dealer(buckets_for(postings))
+        for batch in batches:
+            for i, blob in zip(batch.column(0), batch.column(1)):
+                tokens = np.frombuffer(blob.as_py(), "<u8")
+                own = _U(i.as_py() & 0xFFFFFFFFFFFFFFFF)
+                often = is_in(tokens, hot)
+                if often.any():  # held by others for certain: a count, in a bucket by set
+                    yield posting_batch([(-1 - int(own % _U(1 << 30)), np.array([often.sum()], "<u8").tobytes(),
+                                          np.array([own], "<u8").tobytes(), np.zeros(1, "<u2").tobytes())])
+                rest = tokens[~often]
+                yield from dealer.add(rest, np.full(len(rest), own), np.zeros(len(rest), np.uint16))
+        yield from dealer.rest()
+
+    def meet(group: pa.Table) -> pa.Table:
+        tokens, owners, _ = gathered(group)
+        if group.column("bucket")[0].as_py() < 0:
+            return pa.table({"id": signed(owners), "common": pa.array(tokens.astype(np.int64))})
+        fresh, shared = shared_by_sets(tokens, owners)
+        ids, counts = np.unique(owners[fresh & shared], return_counts=True)
+        return pa.table({"id": signed(ids), "common": pa.array(counts.astype(np.int64))})
+
+    found = (sets.select("id", "tokens").mapInArrow(emit, POSTINGS).groupBy("bucket")
+             .applyInArrow(meet, "id long, common long").groupBy("id").agg(F.sum("common").alias("common")))
+    return stored(sets.join(found.where("common > 0"), "id").where("5 * common >= 4 * n"), name, TEXT_ROWS)
+
+
+def can_overlap(c: str, n: str, d: str, m: str) -> str:
+    """SQL: sets of sizes n and m, c and d of whose shingles other sets hold, can be similar."""
+    return f"9 * least({c}, {d}) >= 4 * ({n} + {m})"
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sets are similar. ``sets``: id, tokens (sorted, little-endian 64-bit).
 
