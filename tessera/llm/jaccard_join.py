@@ -225,9 +225,12 @@ def matrix_groups(sets: DataFrame, links: DataFrame) -> DataFrame:
     rows = stored(rows, "postings", BLOB_ROWS)
     matrix = rows.select("token", "grp").distinct()
     wide = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    matrix = stored(matrix.join(wide, "token"), "matrix").withColumnRenamed("grp", "other")
-    # The bound: how many of a set's shingles the union of a foreign group holds.
-    opened = (rows.join(matrix, "token").where("grp <> other").groupBy("id", "other").agg(F.count(F.lit(1)).alias("c"))
+    best = groups.groupBy("grp").agg(F.max("common").alias("d"), F.min("n").alias("m"))
+    matrix = stored(matrix.join(wide, "token").join(best, "grp"), "matrix").withColumnRenamed("grp", "other")
+    rows = rows.join(groups.select("id", "n", "common"), "id")
+    # The bound: how many of a set's shingles the union of a foreign group holds; a group whose best
+    # member could not have enough in common with the set is left out of the count.
+    opened = (rows.join(matrix, "token").where(f"grp <> other and {can_overlap('common', 'n', 'd', 'm')}").groupBy("id", "other").agg(F.count(F.lit(1)).alias("c"))
               .join(groups.select("id", "n", "common"), "id").where("5 * c >= 4 * n")
               .select("id", "n", F.least("c", "common").alias("common"), "other"))
     opened = stored(opened, "opened")
