@@ -165,29 +165,34 @@ def base_failed(names: dict[str, str]) -> F.Column:
     return (n < 10) | (100 * F.col(names["n_repeat_words"]) > 20 * n)
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tolerance: float = 1e-9
+#: What is expected of a rule beforehand: it is right on nearly all good documents, but sees only
+#: some of the bad ones; each is bad in its own way. It counts as much as so many documents seen.
+RIGHT_ON_GOOD, RIGHT_ON_BAD, GOOD_SHARE = 0.97, 0.3, 0.9
+PRIOR_ROWS, PRIOR_SHARE = 10, 0.02
+
+
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 300, tolerance: float = 1e-9
         ) -> tuple[float, np.ndarray, np.ndarray]:
     """Expectation-maximisation over vote patterns (rows of -1, 0, 1) and their counts.
 
     Returns the share of good documents and, for each rule, the probability that its vote is
-    right on a good and on a bad document. An abstention says nothing. Starts from rules that
-    are mostly right and documents that are mostly good; each probability has a weak prior
-    (as if a few documents had been seen), so a rule that never votes stays defined.
+    right on a good and on a bad document. An abstention says nothing. The prior (PRIOR_ROWS
+    documents and PRIOR_SHARE of those counted) keeps the two classes what they are called: without
+    it the second class can settle on any split of the good documents, short ones say.
     """
     counts = counts.astype(float)
-    m = patterns.shape[1]
-    share, right = 0.9, np.tile([[0.95], [0.5]], (1, m))
+    prior = PRIOR_ROWS + PRIOR_SHARE * counts.sum()
+    expected = np.tile([[RIGHT_ON_GOOD], [RIGHT_ON_BAD]], (1, patterns.shape[1]))
+    share, right = GOOD_SHARE, expected.copy()
     for _ in range(rounds):
         good = posterior(patterns, share, right)
-        previous = share, right.copy()
+        before = share, right.copy()
         for k, weight in enumerate((good * counts, (1 - good) * counts)):
             said_good = ((patterns == 1) * weight[:, None]).sum(0)
             said_bad = ((patterns == -1) * weight[:, None]).sum(0)
-            hit = (said_good, said_bad)[k]
-            right[k] = (hit + (9.5, 5.0)[k]) / (said_good + said_bad + 10)
-        right = np.clip(right, 1e-6, 1 - 1e-6)
-        share = float(np.clip((good @ counts + 9) / (counts.sum() + 10), 1e-6, 1 - 1e-6))
-        if abs(share - previous[0]) + np.abs(right - previous[1]).max() < tolerance:
+            right[k] = ((said_good, said_bad)[k] + expected[k] * prior) / (said_good + said_bad + prior)
+        share = float((good @ counts + GOOD_SHARE * prior) / (counts.sum() + prior))
+        if abs(share - before[0]) + np.abs(right - before[1]).max() < tolerance:
             break
     return share, right, posterior(patterns, share, right)
 
