@@ -80,6 +80,7 @@ def merged(fingerprints: DataFrame, group: str, fingerprint: str = "fingerprint"
     each = held.select("group", F.explode(F.when(~F.col("sketch").startswith("="), pieces)).alias("hash")).distinct()
     found = each.unionByName(held.select("group", F.lit(None).cast("string").alias("hash")).distinct())
     union = F.base64(F.unhex(F.array_join(F.sort_array(F.collect_list("hash")), "")))
+    union = F.translate(union, "\r\n", "")  # Spark breaks base64 into lines
     return found.groupBy("group").agg(F.when(F.count("hash") > 0, union).otherwise("=").alias("fingerprint")).select(
         F.col("group").alias(group), "fingerprint")
 

@@ -38,6 +38,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = "[A-Za-z0-9+/_=-]{%d,}"
 TRAIN_RUN, MIN_RUN = 14, 20          # shortest run that trains the model of identifiers, that is judged
 RANDOM_SAMPLES = 5000                # generated random strings of each form
+BACKOFF = 8.0                        # pseudo-counts of a character's overall frequency
 LEAST_TOTAL, LEAST_MEAN = 12.0, 0.6  # log-likelihood ratio: of the run, per pair of characters
 
 
@@ -87,7 +88,7 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def random_strings(spark, samples: int = RANDOM_SAMPLES) -> DataFrame:
     """Generated labelled samples of the random class: base64, hex and upper-case base-36 like."""
     seed = F.sha2(F.concat(F.lit("sample"), F.col("id").cast("string")), 512)
-    b64 = F.base64(F.unhex(seed))
+    b64 = F.translate(F.base64(F.unhex(seed)), "\r\n", "")
     return spark.range(samples).select(F.explode(F.array(
         b64, F.substring(seed, 1, 64), F.translate(F.upper(b64), "+/=", ""))).alias("value"))
 
@@ -101,17 +102,24 @@ def pair_counts(values: DataFrame) -> dict[tuple[str, str], int]:
     return {(r["a"], r["b"]): r["count"] for r in found.collect()}
 
 
-def ratios(random: dict[tuple[str, str], int], ordinary: dict[tuple[str, str], int]) -> list[float]:
-    """log P(b | a) under the random model less that under the ordinary one, for all pairs of ALPHABET."""
-    out = []
+def _conditional(pairs: dict[tuple[str, str], int]) -> dict[tuple[str, str], float]:
+    """P(b | a): pair counts, backed off to how often b occurs at all (BACKOFF pseudo-counts)."""
+    follows = {b: sum(pairs.get((a, b), 0) for a in ALPHABET) + 0.5 for b in ALPHABET}
+    every = sum(follows.values())
+    out = {}
     for a in ALPHABET:
-        totals = [sum(m.get((a, c), 0) for c in ALPHABET) for m in (random, ordinary)]
+        total = sum(pairs.get((a, b), 0) for b in ALPHABET)
         for b in ALPHABET:
-            p, q = [(m.get((a, b), 0) + 0.5) / (t + 0.5 * len(ALPHABET)) for m, t in zip((random, ordinary), totals)]
-            out.append(round(math.log(p) - math.log(q), 4))
+            out[a, b] = (pairs.get((a, b), 0) + BACKOFF * follows[b] / every) / (total + BACKOFF)
     return out
 
 
+def ratios(random: dict[tuple[str, str], int], ordinary: dict[tuple[str, str], int]) -> list[float]:
+    """log P(b | a) under the random model less that under the ordinary one, for all pairs of ALPHABET."""
+    p, q = _conditional(random), _conditional(ordinary)
+    return [round(math.log(p[a, b]) - math.log(q[a, b]), 4) for a in ALPHABET for b in ALPHABET]
+
+
 def train(spans: DataFrame) -> list[float]:
     """The log-likelihood ratios of character pairs, from all spans and the generated samples."""
     spark = spans.sparkSession
