@@ -23,6 +23,7 @@ splits hot ids.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -37,6 +38,11 @@ SCD2_COLUMNS = [f.name for f in CUSTOMERS_SCD2.fields]
 HASH_COLUMNS = ("name", "email", "region")
 
 
+def load_time() -> str:
+    """The present instant as a timestamp literal with its zone."""
+    return _dt.datetime.now(_dt.timezone.utc).isoformat(sep=" ")
+
+
 def _ts(value) -> F.Column:
     if isinstance(value, F.Column):
         return value.cast("timestamp")
@@ -47,17 +53,19 @@ def stage_customers(bronze: DataFrame, now=None, hash_columns: Sequence[str] = H
                     dedupe: bool = True, null_token: str | None = None) -> DataFrame:
     """Bronze customers -> staged rows (one per id, hash, interval columns).
 
-    ``now``: start of the staged versions (default ``current_timestamp()``).
+    ``now``: start of the staged versions (default: the time of this call, as
+    a literal, so a version that ends and the one that follows it share it
+    however often the plan runs).
     Rows with a NULL customer_id are dropped (see ``rejected_customers``).
     """
+    now = load_time() if now is None else now
     flat = (bronze.filter(F.col("customer_id").isNotNull())
             .select("customer_id", "name", F.col("contact.email").alias("email"), "region",
                     INGEST_TS_COL, SOURCE_FILE_COL))
     if dedupe:
         flat = latest_per_key(flat, ["customer_id"], [INGEST_TS_COL, SOURCE_FILE_COL])
-    start = F.current_timestamp() if now is None else _ts(now)
     return (flat.withColumn("hash_value", change_hash(list(hash_columns), null_token))
-            .withColumn("start_date", start)
+            .withColumn("start_date", _ts(now))
             .withColumn("end_date", F.lit(None).cast("timestamp"))
             .withColumn("is_current", F.lit(True)))
 

@@ -57,17 +57,23 @@ def build_session(master: str = "local[8]", app: str = "tessera",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and working tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (tests,
-    local runs) creates one under the system temp folder and sets it.
+    Uses ``spark.checkpoint.dir`` when the cluster sets it, else the folder set
+    on the context; only a local master gets one under the system temp folder.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
+    already = spark.sparkContext.getCheckpointDir()
+    if already and _LOCAL_CHECKPOINT["dir"] is None:
+        return already.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _LOCAL_CHECKPOINT["dir"] is None:
         _LOCAL_CHECKPOINT["dir"] = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
+    if not already:
         spark.sparkContext.setCheckpointDir(_LOCAL_CHECKPOINT["dir"])
     return _LOCAL_CHECKPOINT["dir"]
 

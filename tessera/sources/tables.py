@@ -55,7 +55,10 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 def create_table_if_missing(spark: SparkSession, name: str, schema: StructType,
                             fmt: str = "parquet") -> bool:
-    """Create an empty table with ``schema`` unless it exists; True if created."""
+    """Create an empty table with ``schema`` unless it exists; True if created.
+
+    A table whose ``publish`` was interrupted counts as existing."""
+    finish_publish(spark, name)
     if table_exists(spark, name):
         return False
     spark.createDataFrame([], schema).write.format(fmt).saveAsTable(name)
@@ -142,6 +145,20 @@ def publish(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     spark.sql("ALTER TABLE IDENTIFIER(:s) RENAME TO IDENTIFIER(:t)", args={"s": staging, "t": name})
 
 
+def finish_publish(spark: SparkSession, name: str) -> bool:
+    """Complete a ``publish`` that ended between its drop and its rename.
+
+    A lone ``<name>__next`` is a whole table (the catalog names it only after
+    its write has committed, and the old table goes only after that), so it is
+    the table; True if it was renamed.
+    """
+    staging = f"{name}__next"
+    if table_exists(spark, name) or not table_exists(spark, staging):
+        return False
+    spark.sql("ALTER TABLE IDENTIFIER(:s) RENAME TO IDENTIFIER(:t)", args={"s": staging, "t": name})
+    return True
+
+
 def register_path_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
     """(Re)register an external table over a folder written outside the catalog,
     picking up new batch folders and merged schemas."""
