@@ -38,6 +38,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = "[A-Za-z0-9+/_=-]{%d,}"
 TRAIN_RUN, MIN_RUN = 14, 20          # shortest run that trains the model of identifiers, that is judged
 RANDOM_SAMPLES = 5000                # generated random strings of each form
+DISCOUNT = 2                         # taken off each count of ordinary pairs: what a lone secret would add
 BACKOFF = 8.0                        # pseudo-counts of a character's overall frequency
 LEAST_TOTAL, LEAST_MEAN = 12.0, 0.6  # log-likelihood ratio: of the run, per pair of characters
 
@@ -124,8 +125,10 @@ def train(spans: DataFrame) -> list[float]:
     """The log-likelihood ratios of character pairs, from all spans and the generated samples."""
     spark = spans.sparkSession
     known = spans.where("kind <> 'run'").select("value")
-    ordinary = spans.where("kind = 'run' and not covered").select("value")
-    return ratios(pair_counts(known.union(random_strings(spark))), pair_counts(ordinary))
+    # Each value once, so that a secret among them gains nothing from copies of its document.
+    ordinary = pair_counts(spans.where("kind = 'run' and not covered").select("value").distinct())
+    ordinary = {pair: n - DISCOUNT for pair, n in ordinary.items() if n > DISCOUNT}
+    return ratios(pair_counts(known.union(random_strings(spark))), ordinary)
 
 
 def score(value: Column, model: list[float]) -> Column:
