@@ -12,7 +12,10 @@ whatever the region is. Nothing is lost, and only about a quarter of all shingle
 2. Groups: those sets are partitioned by their smallest hashes; each is compared with the leader
    of its partition (a pair per set, not all pairs), and verified links join groups.
 3. Token-group matrix: (shingle, group) for the union of each group. A set's overlap with a foreign
-   group's union bounds its overlap with each member; groups below the bound stay shut.
+   group's union bounds its overlap with each member; groups below the bound stay shut. Groups of one
+   family (sets with the same leader) differ in few shingles: there only shingles that the leader
+   lacks are looked up, the rest is bounded by what each set shares with the leader. Other families
+   are bounded by the union of the family first.
 4. Open groups: three likely members first; where those join the two groups the rest need no look.
    Remaining members are verified one by one.
 
@@ -203,12 +206,24 @@ def star_pairs(sets: DataFrame) -> DataFrame:
     return out
 
 
+def families(sets: DataFrame) -> DataFrame:
+    """id, leader: of the leaders of a set's three partitions, itself included, the one ``star_pairs`` ranks first."""
+    rank = F.struct((F.col("common") / F.col("n")).alias("part"), "id")
+    out = sets.select("id", "low1", "low2", "low3")
+    for low in ("low1", "low2", "low3"):
+        out = out.join(sets.groupBy(low).agg(F.max(rank).alias(f"best_{low}")), low)
+    return out.select("id", F.greatest("best_low1", "best_low2", "best_low3")["id"].alias("leader"))
+
+
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles of stored sets as rows: token, id."""
+    """Shingles of stored sets (id, leader, tokens, the leader's tokens) as rows: token, id, leader, core."""
     for batch in batches:
-        arrays = [np.frombuffer(x.as_py(), "<i8") for x in batch.column(1)]
-        ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(a) for a in arrays])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(arrays)), pa.array(ids)], names=["token", "id"])
+        arrays = [np.frombuffer(x.as_py(), "<u8") for x in batch.column(2)]
+        core = [is_in(x, np.frombuffer(y.as_py(), "<u8")) for x, y in zip(arrays, batch.column(3))]
+        sizes = [len(x) for x in arrays]
+        own, leader = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), sizes) for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([signed(np.concatenate(arrays)), pa.array(own), pa.array(leader),
+                                          pa.array(np.concatenate(core))], names=["token", "id", "leader", "core"])
 
 
 def _grouped(ids: DataFrame, links: DataFrame) -> DataFrame:
@@ -217,23 +232,62 @@ def _grouped(ids: DataFrame, links: DataFrame) -> DataFrame:
     return ids.join(found, "id", "left").select(*ids.columns, F.coalesce("component", "id").alias("grp"))
 
 
-def matrix_groups(sets: DataFrame, links: DataFrame) -> DataFrame:
-    """id, grp of all sets: the components of ``links`` joined by steps 3 and 4."""
+def opened_groups(rows: DataFrame, info: DataFrame) -> DataFrame:
+    """id, other, n, common: the foreign groups that may hold a set similar to ``id``, and a bound of the overlap.
+
+    ``rows``: token, id, leader, core (the leader holds the token). ``info``: id, n, common, grp, leader, l (the
+    leader's size), k (core shingles of the set).
+
+    Within a family (one leader) |Q & S| <= shared non-core shingles + min(k of Q, k of S), so only non-core
+    shingles, which few sets hold, are joined. Two sets of different groups without a shared non-core shingle are
+    similar only if one of them, not similar to the leader, meets one smaller than the leader: those alone are
+    counted on all shingles. Other families are bounded by the family's union first, then by that of each group.
+    """
+    full = rows.join(info.drop("leader"), "id")
+    whole = info.select("id", "n", "common")
+    # Same family, through non-core shingles.
+    some = full.where("not core")
+    union = some.groupBy("leader", "token", F.col("grp").alias("other")).agg(F.max("k").alias("d"), F.min("n").alias("m"))
+    best = info.groupBy("leader", F.col("grp").alias("other")).agg(F.max("k").alias("d"), F.min("n").alias("m"))
+    inner = (some.select("id", "leader", "token", "grp").join(union.select("leader", "token", "other"), ["leader", "token"])
+             .where("grp <> other").groupBy("id", "leader", "other").agg(F.count(F.lit(1)).alias("c"))
+             .join(info.select("id", "n", "common", "k"), "id").join(best, ["leader", "other"])
+             .withColumn("c", F.col("c") + F.least("k", "d"))
+             .where("9 * c >= 4 * (n + m) and 5 * c >= 4 * n").select("id", "other", "c"))
+    # Same family, without one.
+    apart = full.where("5 * k >= 4 * n and 9 * k < 4 * (n + l)").select("id", "leader", "token", "grp", "k", "n")
+    small = (full.where("5 * k >= 4 * n and n < l")
+             .groupBy("leader", "token", F.col("grp").alias("other")).agg(F.max("k").alias("d"), F.min("n").alias("m")))
+    short = (apart.join(small, ["leader", "token"]).where("grp <> other and 9 * least(k, d) >= 4 * (n + m)")
+             .groupBy("id", "other").agg(F.count(F.lit(1)).alias("c")))
+    # Other families: the union of all their sets, then of their groups.
+    best = info.groupBy(F.col("leader").alias("family")).agg(F.max("common").alias("d"), F.min("n").alias("m"))
+    matrix = rows.select("token", F.col("leader").alias("family")).distinct()
+    wide = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    matrix = stored(matrix.join(wide, "token").join(best, "family"), "matrix")
+    far = (rows.select("token", "id", "leader").join(whole, "id").join(matrix, "token")
+           .where(f"leader <> family and {can_overlap('common', 'n', 'd', 'm')}")
+           .groupBy("id", "family").agg(F.count(F.lit(1)).alias("c")).join(whole, "id").where("5 * c >= 4 * n"))
+    far = stored(far.select("id", "family"), "families")
+    union = (full.join(far.select(F.col("family").alias("leader")).distinct(), "leader", "left_semi")
+             .select("token", F.col("leader").alias("family"), F.col("grp").alias("other")).distinct())
+    outer = (full.select("token", "id", "grp").join(far, "id").join(union, ["token", "family"]).where("grp <> other")
+             .groupBy("id", "family", "other").agg(F.count(F.lit(1)).alias("c")).select("id", "other", "c"))
+    found = inner.unionByName(short).unionByName(outer).groupBy("id", "other").agg(F.max("c").alias("c"))
+    return found.join(whole, "id").where("5 * c >= 4 * n").select(
+        "id", "n", F.least("c", "common").alias("common"), "other")
+
+
+def matrix_groups(sets: DataFrame, leaders: DataFrame, links: DataFrame) -> DataFrame:
+    """id, grp of all sets: the components of ``links`` joined by steps 3 and 4. ``leaders``: id, leader."""
     groups = stored(_grouped(sets.select("id", "n", "common"), links), "groups")
-    rows = (sets.select("id", "tokens").mapInArrow(_exploded, "token long, id long")
-            .join(groups.select("id", "grp"), "id"))
+    lead = sets.select(F.col("id").alias("leader"), F.col("n").alias("l"), F.col("tokens").alias("core"))
+    rows = (sets.select("id", "tokens").join(leaders, "id").join(lead, "leader").select("id", "leader", "tokens", "core")
+            .mapInArrow(_exploded, "token long, id long, leader long, core boolean"))
     rows = stored(rows, "postings", BLOB_ROWS)
-    matrix = rows.select("token", "grp").distinct()
-    wide = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    best = groups.groupBy("grp").agg(F.max("common").alias("d"), F.min("n").alias("m"))
-    matrix = stored(matrix.join(wide, "token").join(best, "grp"), "matrix").withColumnRenamed("grp", "other")
-    rows = rows.join(groups.select("id", "n", "common"), "id")
-    # The bound: how many of a set's shingles the union of a foreign group holds; a group whose best
-    # member could not have enough in common with the set is left out of the count.
-    opened = (rows.join(matrix, "token").where(f"grp <> other and {can_overlap('common', 'n', 'd', 'm')}").groupBy("id", "other").agg(F.count(F.lit(1)).alias("c"))
-              .join(groups.select("id", "n", "common"), "id").where("5 * c >= 4 * n")
-              .select("id", "n", F.least("c", "common").alias("common"), "other"))
-    opened = stored(opened, "opened")
+    held = rows.groupBy("id", "leader").agg(F.sum(F.col("core").cast("long")).alias("k"))
+    info = stored(groups.join(held, "id").join(lead.select("leader", "l"), "leader"), "info")
+    opened = stored(opened_groups(rows, info), "opened")
     members = groups.select(F.col("id").alias("member"), F.col("n").alias("m"), F.col("common").alias("d"),
                             F.col("grp").alias("other"))
     # First the member that shares most with others and those of the smallest and largest size.
@@ -266,9 +320,9 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     left = known.join(coarse(texts, known, hot, buckets_for(size["postings"] or 0)), "id")
     left = stored(left, "left")
     sets = with_common(fetched(texts, left.select("id", "key")), hot, "common")
-    links = verified(star_pairs(sets.select("id", "n", "common").join(
-        left.select("id", "low1", "low2", "low3"), "id")), sets)
-    groups = stored(matrix_groups(sets, links), "groups")
+    ranked = stored(sets.select("id", "n", "common").join(left.select("id", "low1", "low2", "low3"), "id"), "ranked")
+    links = verified(star_pairs(ranked), sets)
+    groups = stored(matrix_groups(sets, stored(families(ranked), "leaders"), links), "groups")
     groups = groups.withColumnRenamed("grp", "component")
     named = groups.join(known.select("id", "smallest"), "id").groupBy("component").agg(F.min("smallest").alias("name"))
     of_set = known.select("id", "smallest").join(groups, "id", "left").join(named, "component", "left").select(

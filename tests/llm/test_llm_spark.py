@@ -141,6 +141,38 @@ def test_jaccard_join_against_brute_force(spark, odd_rows):
     assert kept.count() == len(groups) + len(empty)
 
 
+def test_jaccard_join_within_families(spark):
+    """Copies of one original, most below 0.8 of it: cut short, with edits that several share, longer than it."""
+    rng = random.Random(5)
+    word = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(3000)]
+    rows, n = [], 0
+    for size, with_original in ((60, True), (90, False), (150, True)):
+        base = rng.choices(word, k=size)
+        edits = [(rng.randrange(size), rng.choice(word)) for _ in range(6)]
+        texts = [base] if with_original else []
+        for _ in range(45):
+            w = list(base)
+            for at, x in rng.sample(edits, rng.randint(0, 4)) + [(rng.randrange(size), rng.choice(word))] * rng.randint(0, 2):
+                w[at] = x
+            cut = rng.randint(0, size // 5)
+            texts.append(rng.choice([w, w[cut:], w[:size - cut], w + rng.choices(word, k=cut), w[cut // 2:size - cut // 2]]))
+        for w in texts:
+            rows.append((n, " ".join(w), "a"))
+            n += 1
+    sets = brute_sets(rows)
+    name = list(range(n))
+    for i in range(n):
+        for j in range(i):
+            if similar(sets[i], sets[j]):
+                name = [name[j] if x == name[i] else x for x in name]
+    first = {}
+    for i, k in enumerate(name):
+        first.setdefault(k, i)
+    assert len(first) > 12
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.linked(docs_of(spark, rows)).collect()}
+    assert got == {i: first[k] for i, k in enumerate(name)}
+
+
 def test_line_dedup_against_brute_force(spark, odd_rows):
     lines = sorted({(i is None, i, (t or ""), k, x) for i, t, _ in odd_rows for k, x in enumerate((t or "").split("\n"))},
                    key=lambda r: (r[0], r[1] or 0, r[3]))
