@@ -207,12 +207,18 @@ def star_pairs(sets: DataFrame) -> DataFrame:
 
 
 def families(sets: DataFrame) -> DataFrame:
-    """id, leader: of the leaders of a set's three partitions, itself included, the one ``star_pairs`` ranks first."""
+    """id, leader: of the leaders of a set's three partitions, itself included, the one ``star_pairs`` ranks first.
+
+    Leaders are followed to their own leaders, so that the partitions of one family meet.
+    """
     rank = F.struct((F.col("common") / F.col("n")).alias("part"), "id")
     out = sets.select("id", "low1", "low2", "low3")
     for low in ("low1", "low2", "low3"):
         out = out.join(sets.groupBy(low).agg(F.max(rank).alias(f"best_{low}")), low)
-    return out.select("id", F.greatest("best_low1", "best_low2", "best_low3")["id"].alias("leader"))
+    out = stored(out.select("id", F.greatest("best_low1", "best_low2", "best_low3")["id"].alias("leader")), "leaders")
+    up = out.select(F.col("id").alias("leader"), F.col("leader").alias("up"))
+    twice = out.join(up, "leader").select("id", F.col("up").alias("leader"))
+    return stored(twice.join(up, "leader").select("id", F.col("up").alias("leader")), "leaders")
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,8 +327,10 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     left = stored(left, "left")
     sets = with_common(fetched(texts, left.select("id", "key")), hot, "common")
     ranked = stored(sets.select("id", "n", "common").join(left.select("id", "low1", "low2", "low3"), "id"), "ranked")
-    links = verified(star_pairs(ranked), sets)
-    groups = stored(matrix_groups(sets, stored(families(ranked), "leaders"), links), "groups")
+    leaders = families(ranked)
+    own = leaders.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))
+    links = verified(star_pairs(ranked).union(own), sets)
+    groups = stored(matrix_groups(sets, leaders, links), "groups")
     groups = groups.withColumnRenamed("grp", "component")
     named = groups.join(known.select("id", "smallest"), "id").groupBy("component").agg(F.min("smallest").alias("name"))
     of_set = known.select("id", "smallest").join(groups, "id", "left").join(named, "component", "left").select(
