@@ -8,13 +8,17 @@ depend on the order of work. Lines without words stay.
 The join is the prefix filter: a line's shingles are ordered by rarity (those that many lines
 hold come last, by the bounded list of frequent shingles; the rest by hash) and only the first
 floor(n / 5) + 1 of them are looked up: similar lines share one of those. Length and positional
-filters drop candidates, the rest are verified on whole sets.
+filters drop candidates, the rest are verified on whole sets. The length filter works where a
+shingle's lines meet: in the order of their sizes, a line without a near enough neighbour has no
+partner there.
 
 Equal lines are one set from the start. Candidates come in two rounds: each line against the
 earliest line that shares a rare shingle and against the line of that shingle that shares most of
 its prefix with others (two pairs per line and shingle), then, only for lines that
 this did not decide, against the other earlier ones. A family of near copies is thus decided by
-pairs with its first member, not by all pairs.
+pairs with its first member, not by all pairs. In the second round two lines of one family are
+compared by what sets each apart from the shingles that most of the family hold
+(``family_repeats``); only pairs of other lines are looked up by prefix.
 
 Defined results: a null text stays null, a text without line breaks is one line. Rows of equal id
 and text have the same lines kept. Null ids come last. In ``drop_repeated_lines`` a document all
@@ -27,12 +31,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.shared import stored, table, unused
-from tessera.llm.tokensets import (POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for, can_overlap,
+from tessera.llm.tokensets import (BLOB_ROWS, POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for, can_overlap,
                                    compatible, frequent, gathered, is_in, line_bounds, missing, packed_texts, posting_batch,
                                    shared_by_sets, signed, unpacked, unpacked_slices, verified, with_common)
 from tessera.llm.words import shingle_runs, slices
@@ -41,6 +45,8 @@ _U = np.uint64
 _LINES = "doc_id long, hash long, line int, id long, n int, tokens binary, counts binary"
 #: Positions that a posting's two bytes can hold; a later one counts as this (the filter then says less).
 _LAST_POSITION = 65535
+#: A posting's position stands above its line's size, which counts as this at most: larger ones are all alike.
+_LAST_SIZE = 65535
 
 
 def _line_sets(s) -> tuple[np.ndarray, np.ndarray, Sets]:
@@ -92,8 +98,22 @@ def prefixes(sets: Sets, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return tokens[use], owner[use], place[use], often[use]
 
 
+def has_partner(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which postings, of different lines, have one of the same token whose line is of a size that can be similar."""
+    order = np.lexsort((sizes, tokens))
+    t, n = tokens[order], sizes[order].astype(np.int64)
+    near = (t[1:] == t[:-1]) & (5 * n[:-1] >= 4 * n[1:])
+    out = np.zeros(len(tokens), bool)
+    out[order[1:]] = near
+    out[order[:-1]] |= near
+    return out
+
+
 def shared_prefixes(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """token, id, place: prefix postings of shingles that the prefixes of two or more lines hold."""
+    """token, id, place: prefix postings of shingles that prefixes of two or more lines of near sizes hold.
+
+    Postings of frequent shingles come as they are, once per slice that holds them.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = Dealer(buckets)
@@ -102,20 +122,25 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame
                 sets = _line_sets(s)[2]
                 ids = sets.ids()
                 tokens, owner, place, often = prefixes(sets, hot)
-                place = np.minimum(place, _LAST_POSITION).astype(np.uint16)
-                yield from dealer.add(tokens[~often], ids[owner[~often]], place[~often])
+                extra = (np.minimum(place, _LAST_POSITION) << 16) | np.minimum(sets.sizes, _LAST_SIZE)[owner]
+                extra = extra.astype("<u4")
+                yield from dealer.add(tokens[~often], ids[owner[~often]], extra[~often])
                 if often.any():  # held by many lines for certain: each slice a bucket of its own
                     own = ids[owner[often]]
                     yield posting_batch([(-1 - int(own[0] % _U(1 << 30)), tokens[often].tobytes(), own.tobytes(),
-                                          place[often].astype("<u2").tobytes())])
+                                          extra[often].tobytes())])
         yield from dealer.rest()
 
     def meet(group: pa.Table) -> pa.Table:
-        tokens, owners, place = gathered(group)
+        tokens, owners, extra = gathered(group, "<u4")
         fresh, shared = shared_by_sets(tokens, owners)
-        use = fresh & (shared if group.column("bucket")[0].as_py() >= 0 else True)
-        return pa.table({"token": signed(tokens[use]), "id": signed(owners[use]),
-                         "place": pa.array(place[use].astype(np.int32))})
+        met = group.column("bucket")[0].as_py() >= 0  # all postings of these tokens are here
+        use = fresh & shared if met else fresh
+        tokens, owners, extra = tokens[use], owners[use], extra[use]
+        if met:
+            use = has_partner(tokens, extra & 0xFFFF)
+            tokens, owners, extra = tokens[use], owners[use], extra[use]
+        return pa.table({"token": signed(tokens), "id": signed(owners), "place": pa.array((extra >> 16).astype(np.int32))})
 
     return (docs.select("text").mapInArrow(emit, POSTINGS).groupBy("bucket")
             .applyInArrow(meet, "token long, id long, place int"))
@@ -154,6 +179,109 @@ def _order(prefix: str = "") -> Column:
 _POSITION = "9 * (1 + least(n - place, m - at) - 1) >= 4 * (n + m)"
 
 
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (leader, tokens): leader, token and how many rows of the batch hold it."""
+    for batch in batches:
+        sets = [np.frombuffer(x.as_py(), "<i8") for x in batch.column(1)]
+        leader = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in sets])
+        tokens = np.concatenate([np.zeros(0, np.int64), *sets])
+        order = np.lexsort((tokens, leader))
+        leader, tokens = leader[order], tokens[order]
+        new = np.ones(len(tokens), bool)
+        new[1:] = (leader[1:] != leader[:-1]) | (tokens[1:] != tokens[:-1])
+        at = np.flatnonzero(new)
+        yield pa.RecordBatch.from_arrays([pa.array(leader[at]), pa.array(tokens[at]),
+                                          pa.array(np.diff(np.append(at, len(tokens))))], names=["leader", "token", "c"])
+
+
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (id, leader, tokens, core): the core's size l, k in common, and the shingles that only one of them holds."""
+    for batch in batches:
+        size, common, differ = [], [], []
+        for x, y in zip(batch.column(2), batch.column(3)):
+            u, v = np.frombuffer(x.as_py(), "<u8"), np.sort(np.asarray(y.as_py(), np.int64).view(_U))
+            both = is_in(u, v)
+            size.append(len(v))
+            common.append(int(both.sum()))
+            near = len(u) + len(v) - 2 * common[-1] <= len(u) // 2
+            differ.append(np.concatenate([u[~both], v[~is_in(v, u)]]).tobytes() if near else None)
+        use = pa.array([x is not None for x in differ], pa.bool_())
+        columns = [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(common, pa.int64()),
+                   pa.array(differ, pa.binary())]
+        yield pa.RecordBatch.from_arrays([c.filter(use) for c in columns], names=["id", "leader", "l", "k", "differ"])
+
+
+def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per shingle of (id, differ)."""
+    for batch in batches:
+        arrays = [np.frombuffer(x.as_py(), "<i8") for x in batch.column(1)]
+        ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in arrays])
+        tokens = np.concatenate([np.zeros(0, np.int64), *arrays])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(tokens)], names=["id", "token"])
+
+
+def near_families(found: DataFrame, open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """id, leader, l, k, differ of the lines of families in which an open line has an earlier one; stored.
+
+    A line's leader, which names its family, is the line of a shared prefix shingle that has the largest part in
+    common with others, followed to its own leaders. The family's core are the l shingles that more than half of its
+    lines hold; a line holds k of them and differs from the core in the shingles ``differ``. Only lines that differ
+    in half as many shingles as they have, or fewer.
+    """
+    rank = F.struct((F.col("common") / F.col("n")).alias("part"), "id")
+    best = found.groupBy("token").agg(F.max(rank).alias("best"))
+    lead = found.select("token", "id", "at").join(best, "token").groupBy("id").agg(
+        F.max("best")["id"].alias("leader"), F.first("at").alias("at"))
+    lead = stored(lead, "leaders")
+    up = lead.select(F.col("id").alias("leader"), F.col("leader").alias("up"))
+    for _ in range(2):
+        lead = lead.join(up, "leader").select("id", "at", F.col("up").alias("leader"))
+    lead = stored(lead, "leaders")
+    known = lead.groupBy("leader").agg(F.min("at").alias("from"), F.count(F.lit(1)).alias("lines"))
+    live = (lead.join(open_.select("id").distinct(), "id").join(known, "leader").where(F.col("at") > F.col("from"))
+            .select("leader", "lines").distinct())
+    members = stored(sets.select("id", "tokens").join(lead.select("id", "leader"), "id").join(live, "leader"), "members",
+                     BLOB_ROWS)
+    held = members.select("leader", "tokens").mapInArrow(_held, "leader long, token long, c long")
+    core = (held.groupBy("leader", "token").agg(F.sum("c").alias("c")).join(live, "leader").where("2 * c > lines")
+            .groupBy("leader").agg(F.collect_list("token").alias("core")))
+    rows = members.join(core, "leader").select("id", "leader", "tokens", "core")
+    return stored(rows.mapInArrow(_apart, "id long, leader long, l long, k long, differ binary"), "families", BLOB_ROWS)
+
+
+def family_repeats(open_: DataFrame, family: DataFrame, sets: DataFrame) -> DataFrame:
+    """id: the open lines that are similar to an earlier line of their family.
+
+    ``family``: as of ``near_families``, with n and at. Lines Q and S that hold k and j shingles of a core of l have
+    k + j - l shingles in common and besides one for each shingle in which both differ from the core. Where
+    k + j - l suffice, the earliest line of each closeness to the core decides. Otherwise so many differing shingles
+    are shared that, in the order of their rarity, the first shared one has enough behind it in both lines.
+    """
+    # 9 * (k + j - l + shared) >= 4 * (n + m) with the parts of each line gathered: short + b_short - l <= 9 * shared.
+    family = family.withColumn("short", F.expr("5 * l - 9 * k + 4 * n"))
+    mine = family.join(open_.select("id").distinct(), "id", "left_semi")
+    steps = (family.where("short <= l").groupBy("leader", F.col("short").alias("b_short"))
+             .agg(F.min("at").alias("b_at")))
+    plain = stored(mine.where("short <= l").join(steps, "leader")
+                   .where((F.col("b_at") < F.col("at")) & F.expr("short + b_short <= l")).select("id").distinct(), "plain")
+    tokens = stored(family.select("id", "differ").mapInArrow(_differing, "id long, token long")
+                    .join(family.drop("differ"), "id"), "differing")
+    rarity = tokens.groupBy("leader", "token").agg(F.count(F.lit(1)).alias("c"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("c", "token"))
+    tokens = tokens.join(rarity, ["leader", "token"]).where("c > 1").withColumn(
+        "left", F.count(F.lit(1)).over(Window.partitionBy("id")) + 1 - place)
+    tokens = stored(tokens, "ordered")
+    mine = mine.join(plain, "id", "left_anti").select("id")
+    left = tokens.join(mine, "id", "left_semi").select("leader", "token", "id", "l", "n", "at", "short", "left")
+    right = tokens.select("leader", "token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("at").alias("b_at"),
+                          F.col("short").alias("b_short"), F.col("left").alias("b_left"))
+    pairs = (left.join(right, ["leader", "token"])
+             .where((F.col("b_at") < F.col("at")) & F.expr(compatible("n", "m"))
+                    & F.expr("short + b_short - l <= 9 * least(`left`, b_left)"))
+             .select(F.col("id").alias("a"), "b"))
+    return stored(plain.union(verified(pairs, sets).select("a")).distinct(), "repeats")
+
+
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, hash (of the text), line: the lines that go. One row per line and text."""
     texts = _keyed(docs, doc_id, text)
@@ -164,10 +292,11 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     blobs = rows.where("tokens is not null").select("tokens", "counts")
     hot = frequent(blobs.mapInArrow(_counted, "token long, n long"), size["sets"])
     found = shared_prefixes(texts, hot, buckets_for(size["postings"] or 0))
-    found = stored(found.distinct().join(first.select("id", "n", "at"), "id"), "shared", TEXT_ROWS)
+    # One shuffle by line: its size and place, its postings once, and the part of its prefix that others hold.
+    found = found.join(first.select("id", "n", "at"), "id").distinct()
+    part = F.count(F.lit(1)).over(Window.partitionBy("id")) / (F.floor(F.col("n") / 5) + 1)
+    found = stored(found.withColumn("part", part), "shared", TEXT_ROWS)
     # Two lines of a shingle stand for its others: the earliest one and the one that shares most of its prefix.
-    parts = found.groupBy("id").agg((F.count(F.lit(1)) / (F.floor(F.first("n") / 5) + 1)).alias("part"))
-    found = stored(found.join(parts, "id"), "shared")
     line = F.struct("at", "id", "n", "place")
     leaders = (found.groupBy("token").agg(F.min(line).alias("x"), F.max_by(line, F.struct("part", "id")).alias("y"),
                                           F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -187,13 +316,21 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     able = F.expr(can_overlap("common", "n", "d", "m"))
     likely = pairs.join(counts.withColumnRenamed("id", "a"), "a").join(of_b, "b").where(able).select("a", "b")
     decided = verified(likely, sets).select("a").distinct()
-    found = found.join(counts.select("id", "common"), "id")
+    found = stored(found.join(counts.select("id", "common"), "id"), "able")
     open_ = found.join(decided.withColumnRenamed("a", "id"), "id", "left_anti")
+    family = near_families(found, open_, sets)
+    placed = family.join(counts.select("id", "n"), "id").join(first.select("id", "at"), "id")
+    repeats = family_repeats(open_, placed, sets)
+    # Pairs that no family holds.
+    found = found.join(family.select("id", "leader"), "id", "left")
+    open_ = found.join(decided.withColumnRenamed("a", "id").union(repeats), "id", "left_anti")
     earlier = found.select("token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("at").alias("b_at"),
-                           F.col("place").alias("b_place"), F.col("common").alias("d"))
-    rest = (open_.join(earlier, "token").where(possible & able)
+                           F.col("place").alias("b_place"), F.col("common").alias("d"), F.col("leader").alias("of"))
+    rest = (open_.join(earlier, "token")
+            .where(possible & able & F.expr("leader is null or of is null or leader <> of"))
             .select(F.col("id").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti"))
-    near = decided.union(verified(rest, sets).select("a")).distinct().withColumnRenamed("a", "id")
+    near = (decided.withColumnRenamed("a", "id").union(repeats)
+            .union(verified(rest, sets).select(F.col("a").alias("id"))).distinct())
     marks = first.join(near.withColumn("near", F.lit(True)), "id", "left").where("c > 1 or near")
     gone = rows.select("doc_id", "hash", "line", "id").join(marks.select("id", "at", "near"), "id")
     return gone.where(F.coalesce("near", F.lit(False)) | (_order() != F.col("at"))).select(

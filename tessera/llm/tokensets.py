@@ -151,14 +151,14 @@ def buckets_for(postings: int) -> int:
 
 
 def dealt(tokens: np.ndarray, owners: np.ndarray, extra: np.ndarray, buckets: int) -> Iterator[tuple]:
-    """(bucket, tokens, owners, extra) blobs of one batch; ``extra`` is a small number per posting."""
+    """(bucket, tokens, owners, extra) blobs of one batch; ``extra`` is a small unsigned number per posting."""
     bucket = ((mixed(tokens) >> _U(32)) * _U(buckets)) >> _U(32)
     order = np.argsort(bucket, kind="stable")
     tokens, owners, extra, bucket = tokens[order], owners[order], extra[order], bucket[order]
     edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=_U))
     for b in np.flatnonzero(np.diff(edges)):
         a, z = edges[b], edges[b + 1]
-        yield int(b), tokens[a:z].tobytes(), owners[a:z].tobytes(), extra[a:z].astype("<u2").tobytes()
+        yield int(b), tokens[a:z].tobytes(), owners[a:z].tobytes(), extra[a:z].tobytes()
 
 
 class Dealer:
@@ -190,12 +190,12 @@ def posting_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
-def gathered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, owners and extras of a bucket, ordered by token and owner."""
+def gathered(table: pa.Table, extras: str = "<u2") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, owners and extras (numbers of this kind) of a bucket, ordered by token and owner."""
     def whole(name: str, kind: str) -> np.ndarray:
         return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
 
-    tokens, owners, extra = whole("tokens", "<u8"), whole("owners", "<u8"), whole("extra", "<u2")
+    tokens, owners, extra = whole("tokens", "<u8"), whole("owners", "<u8"), whole("extra", extras)
     order = np.lexsort((extra, owners, tokens))
     return tokens[order], owners[order], extra[order]
 
