@@ -193,6 +193,28 @@ def test_line_dedup_against_brute_force(spark, odd_rows):
     assert got == want
 
 
+def test_line_dedup_of_edited_families(spark):
+    """Lines edited in several words, the originals among the later ones: few are decided by a leader."""
+    rng, rows = random.Random(5), []
+    for size in (30, 46, 61):
+        word = [f"v{rng.randrange(10**6)}" for _ in range(300)]
+        base = rng.choices(word, k=size)
+        shared = [(rng.randrange(size), rng.choice(word)) for _ in range(3)]
+        for k in range(60):
+            w = list(base)
+            if k != 40:
+                for at, x in rng.sample(shared, rng.randint(0, 2)) + [(rng.randrange(size), rng.choice(word))] * rng.randint(0, 1):
+                    w[at] = x
+                w[rng.randrange(size)] = rng.choice(word)
+            rows.append((len(rows), " ".join(w), "a"))
+    sets, want = brute_sets(rows), set()
+    for i in range(len(rows)):
+        if any(similar(sets[i], sets[j]) for j in range(i)):
+            want.add(i)
+    assert 10 < len(want) < len(rows) - 10
+    assert {r["doc_id"] for r in line_dedup.removed_lines(docs_of(spark, rows)).collect()} == want
+
+
 def test_fingerprints(spark, odd_rows):
     rows = [r for r in odd_rows if r[0] is not None and r[0] != 8] + [(8, "same text of a few words more", "a")]
     got = {r["doc_id"]: r for r in fingerprint.neighbours(docs_of(spark, rows)).collect()}
