@@ -3,8 +3,10 @@
 Two first-order character models are trained from labelled samples: random strings (the values
 that the fixed patterns find in all documents, and RANDOM_SAMPLES generated strings each of
 base64, hex and upper-case digits) and ordinary identifiers (every long run of identifier
-characters in all documents that no pattern covers). A run of at least MIN_RUN characters is a
-secret if the random model explains it better by a margin, in total and per character.
+characters in all documents that no pattern covers, weighed by the chance that it is one: the
+model is refitted until the secrets among the runs have left it). A run of at least MIN_RUN
+characters is a secret if the random model explains it better by a margin, in total and per
+character.
 
 DataFrame functions only. A match's position is the running sum of the lengths of the gaps and
 matches before it (``split`` and ``regexp_extract_all`` walk the text alike); the sums run over a
@@ -38,7 +40,9 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = "[A-Za-z0-9+/_=-]{%d,}"
 TRAIN_RUN, MIN_RUN = 14, 20          # shortest run that trains the model of identifiers, that is judged
 RANDOM_SAMPLES = 5000                # generated random strings of each form
-DISCOUNT = 2                         # taken off each count of ordinary pairs: what a lone secret would add
+DISCOUNT = 2                         # taken off each count of ordinary pairs at least: what a lone secret would add
+ROUNDS, SETTLED = 30, 0.0005         # of refitting the ordinary model: at most, the share of runs that still moves
+WEIGHT = 1024                        # runs are weighed in steps of 1 / WEIGHT
 BACKOFF = 8.0                        # pseudo-counts of a character's overall frequency
 LEAST_TOTAL, LEAST_MEAN = 12.0, 0.6  # log-likelihood ratio: of the run, per pair of characters
 
@@ -121,23 +125,81 @@ def ratios(random: dict[tuple[str, str], int], ordinary: dict[tuple[str, str], i
     return [round(math.log(p[a, b]) - math.log(q[a, b]), 4) for a in ALPHABET for b in ALPHABET]
 
 
+def _steps(value: Column) -> Column:
+    """The pairs of neighbouring characters as places in the list that ``ratios`` returns, -1 for others."""
+    places = F.transform(F.split(value, ""), _place)
+    return F.zip_with(F.slice(places, F.lit(1), F.size(places) - 1), F.slice(places, F.lit(2), F.size(places) - 1),
+                      lambda a, b: F.when((a >= 0) & (b >= 0), a * len(ALPHABET) + b).otherwise(-1))
+
+
+def _gains(steps: Column, model: list[float]) -> Column:
+    """Log-likelihood ratio of each step."""
+    table_ = F.split(F.lit(" ".join(map(str, model))), " ").cast("array<double>")  # folded to a constant
+    return F.transform(steps, lambda x: F.when(x >= 0, F.get(table_, x)).otherwise(0.0))
+
+
+def _total(gains: Column) -> Column:
+    return F.aggregate(gains, F.lit(0.0), lambda total, x: total + x)
+
+
+def discounted(random: dict[tuple[str, str], int], ordinary: dict[tuple[str, str], float]) -> dict[tuple[str, str], float]:
+    """``ordinary`` less what random strings among its runs would add.
+
+    Their amount is read off the pairs that ordinary runs hardly use: the quarter of the random
+    model's mass that ``ordinary`` holds least of.
+    """
+    mass, upto, level = sum(random.values()), 0, 0.0
+    for level, n in sorted((ordinary.get(pair, 0) / n, n) for pair, n in random.items()):
+        upto += n
+        if 4 * upto >= mass:
+            break
+    out = {}
+    for pair, n in ordinary.items():
+        likely = level * random.get(pair, 0)
+        less = likely + 2 * math.sqrt(likely) + DISCOUNT
+        if n > less:
+            out[pair] = n - less
+    return out
+
+
 def train(spans: DataFrame) -> list[float]:
-    """The log-likelihood ratios of character pairs, from all spans and the generated samples."""
-    spark = spans.sparkSession
-    known = spans.where("kind <> 'run'").select("value")
+    """The log-likelihood ratios of character pairs, from all spans and the generated samples.
+
+    The uncovered runs are a mixture: mostly ordinary ones, and the secrets that no pattern finds.
+    Each round scores every distinct run and counts its pairs by the chance that it is ordinary
+    (expectation maximisation with the random model held), so secrets leave the ordinary model
+    however many they are.
+    """
+    random = pair_counts(spans.where("kind <> 'run'").select("value").union(random_strings(spans.sparkSession)))
     # Each value once, so that a secret among them gains nothing from copies of its document.
-    ordinary = pair_counts(spans.where("kind = 'run' and not covered").select("value").distinct())
-    ordinary = {pair: n - DISCOUNT for pair, n in ordinary.items() if n > DISCOUNT}
-    return ratios(pair_counts(known.union(random_strings(spark))), ordinary)
+    runs = spans.where("kind = 'run' and not covered").select("value").distinct()
+    runs = stored(runs.select(_steps(F.col("value")).alias("steps")), "runs")
+
+    def counted(weight: Column) -> tuple[float, dict[tuple[str, str], float]]:
+        """The weight of all runs, and of their pairs; whole numbers of 1 / WEIGHT, so any order gives the same sums."""
+        step = F.explode(F.concat(F.array(F.lit(-1)), "steps")).alias("step")
+        found = (runs.withColumn("w", weight).where("w > 0").select("w", step).groupBy("step")
+                 .agg(F.sum("w").alias("w")).collect())
+        by = {r["step"]: r["w"] / WEIGHT for r in found}
+        size = len(ALPHABET)
+        return by.pop(-1, 0.0), {(ALPHABET[x // size], ALPHABET[x % size]): w for x, w in by.items()}
+
+    every, pairs = counted(F.lit(WEIGHT).cast("long"))
+    held, prior = every, 0.0
+    for _ in range(ROUNDS):
+        model = ratios(random, discounted(random, pairs))
+        score_ = _total(_gains(F.col("steps"), model))
+        now, pairs = counted(F.floor(WEIGHT / (1.0 + F.exp(score_ + prior))))
+        moved, held = abs(now - held), now
+        prior = math.log((every - held + 1) / (held + 1))
+        if moved <= SETTLED * every:
+            break
+    return ratios(random, discounted(random, pairs))
 
 
 def score(value: Column, model: list[float]) -> Column:
     """Log-likelihood ratio of a string: random against ordinary."""
-    table_ = F.split(F.lit(" ".join(map(str, model))), " ").cast("array<double>")  # folded to a constant
-    places = F.transform(F.split(value, ""), _place)
-    steps = F.zip_with(F.slice(places, F.lit(1), F.size(places) - 1), F.slice(places, F.lit(2), F.size(places) - 1),
-                       lambda a, b: F.when((a >= 0) & (b >= 0), F.get(table_, a * len(ALPHABET) + b)).otherwise(0.0))
-    return F.aggregate(steps, F.lit(0.0), lambda total, x: total + x)
+    return _total(_gains(_steps(value), model))
 
 
 def _place(char: Column) -> Column:

@@ -348,6 +348,19 @@ def test_markov_span_among_identifiers(spark):
     assert got.pop(900) == f"markov:6:{6 + len(key)}" and set(got.values()) == {""}
 
 
+@pytest.mark.parametrize("n_ids, n_keys", [(1000, 500), (300, 900)])
+def test_markov_spans_of_many_secrets(spark, n_ids, n_keys):
+    """Unlabelled secrets, half as many as distinct identifiers or more, do not train the ordinary model."""
+    rng = random.Random(8)
+    parts = ["the", "ing", "re", "con", "tion", "_", "get", "value", "er", "an", "or", "count", "list", "Map", "Set"]
+    ids = ["".join(rng.choices(parts, k=8)) for _ in range(n_ids)]
+    keys = ["".join(rng.choices(secrets.ALPHABET[:62], k=40)) for _ in range(n_keys)]
+    rows = [(k, x, "a") for k, x in enumerate(ids + keys)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(docs_of(spark, rows)).collect()}
+    assert sum(got[k] == "" for k in range(n_ids)) >= 0.99 * n_ids
+    assert sum(got[n_ids + k] == "markov:0:40" for k in range(n_keys)) >= 0.98 * n_keys
+
+
 def test_mixing(spark, odd_rows):
     rows = odd_rows + [(2000 + k, " ".join(["w"] * (1 + k % 90)), "big" if k % 3 else f"s{k % 7}") for k in range(1500)]
     docs = docs_of(spark, rows)
