@@ -6,7 +6,8 @@ base64, hex and upper-case digits) and ordinary identifiers (every long run of i
 characters in all documents that no pattern covers, weighed by the chance that it is one: the
 model is refitted until the secrets among the runs have left it). A run of at least MIN_RUN
 characters is a secret if the random model explains it better by a margin, in total and per
-character.
+character; of other runs the stretches for which that holds are. Runs that touch a match of a
+pattern are judged by what the match leaves of them.
 
 DataFrame functions only. A match's position is the running sum of the lengths of the gaps and
 matches before it (``split`` and ``regexp_extract_all`` walk the text alike); the sums run over a
@@ -59,8 +60,8 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
 def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(row, doc_id) of each document, and its matches and runs with their positions.
 
-    Spans: row, kind (base kinds and ``run``), start, end (code points, end exclusive), value and
-    ``covered``: whether a run touches a base span.
+    Spans: row, kind (base kinds and ``run``), start, end (code points, end exclusive) and value.
+    Of a run that touches base spans what they leave of it is a run.
     """
     kinds = [*BASE, ("run", RUN % TRAIN_RUN, TRAIN_RUN, 0)]
     none = F.expr("array()").cast("array<struct<gap:int,hit:string,value:string>>")
@@ -87,7 +88,28 @@ def found_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         by_start.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     covered = ~is_base & (F.coalesce(before > F.col("start"), F.lit(False))
                           | F.coalesce(after < F.col("end"), F.lit(False)))
-    return held.select("row", "doc_id"), stored(rows.withColumn("covered", covered), "spans")
+    spans = stored(rows.withColumn("covered", covered), "spans")
+    whole = spans.where("not covered").drop("covered")
+    return held.select("row", "doc_id"), whole.unionByName(stored(remainders(spans), "remainders"))
+
+
+def remainders(spans: DataFrame) -> DataFrame:
+    """What base spans leave of covered runs: a sweep over the starts and ends of both in each row."""
+    spans = spans.where("kind <> 'run' or covered")
+    is_run = F.col("kind") == "run"
+    ends = F.explode(F.array(
+        F.struct(F.col("start").alias("at"), F.lit(1).alias("step"), F.when(is_run, F.struct("start", "value")).alias("run")),
+        F.struct(F.col("end").alias("at"), F.lit(-1).alias("step"), F.lit(None).alias("run"))))
+    events = spans.select("row", is_run.alias("is_run"), ends.alias("e")).select("row", "is_run", "e.*")
+    order = Window.partitionBy("row").orderBy("at")
+    sofar = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = events.select(
+        "row", "at", F.lead("at").over(order).alias("next"), F.last("run", ignorenulls=True).over(sofar).alias("run"),
+        F.sum(F.when(F.col("is_run"), F.col("step")).otherwise(0)).over(sofar).alias("runs"),
+        F.sum(F.when(F.col("is_run"), 0).otherwise(F.col("step"))).over(sofar).alias("bases"))
+    left = swept.where("runs = 1 and bases = 0").where(F.col("next") - F.col("at") >= TRAIN_RUN)
+    return left.select("row", F.lit("run").alias("kind"), F.col("at").alias("start"), F.col("next").alias("end"),
+                       F.expr("substring(run.value, int(at - run.start) + 1, int(next - at))").alias("value"))
 
 
 def random_strings(spark, samples: int = RANDOM_SAMPLES) -> DataFrame:
@@ -172,7 +194,7 @@ def train(spans: DataFrame) -> list[float]:
     """
     random = pair_counts(spans.where("kind <> 'run'").select("value").union(random_strings(spans.sparkSession)))
     # Each value once, so that a secret among them gains nothing from copies of its document.
-    runs = spans.where("kind = 'run' and not covered").select("value").distinct()
+    runs = spans.where("kind = 'run'").select("value").distinct()
     runs = stored(runs.select(_steps(F.col("value")).alias("steps")), "runs")
 
     def counted(weight: Column) -> tuple[float, dict[tuple[str, str], float]]:
@@ -207,13 +229,48 @@ def _place(char: Column) -> Column:
     return F.call_function("instr", F.lit(ALPHABET), char) - 1
 
 
+def _stretches(gains: Column) -> Column:
+    """Array of (first, last + 1) of the stretches of steps that gain most beyond LEAST_MEAN each.
+
+    One walk: a stretch begins where the sum is above 0 and ends at its highest sum, once the sum is 0 again
+    or LEAST_TOTAL below; nothing of a later stretch is lost, as what follows the highest sum is a loss.
+    """
+    none = F.expr("cast(array() as array<struct<first:int,last:int>>)")
+
+    def state(i, first, total, best, last, out):
+        return F.struct(i.alias("i"), first.alias("first"), total.alias("total"), best.alias("best"),
+                        last.alias("last"), out.alias("out"))
+
+    def closed(s):
+        found = F.array(F.struct(s["first"].alias("first"), s["last"].alias("last")))
+        return F.when(s["best"] >= LEAST_TOTAL, F.concat(s["out"], found)).otherwise(s["out"])
+
+    def step(s, x):
+        i, total = s["i"] + 1, s["total"] + x - LEAST_MEAN
+        over = (total <= 0) | (s["best"] - total >= LEAST_TOTAL)
+        return F.when(over, state(i, i, F.lit(0.0), F.lit(0.0), i, closed(s))).when(
+            total > s["best"], state(i, s["first"], total, total, i, s["out"])).otherwise(
+            state(i, s["first"], total, s["best"], s["last"], s["out"]))
+
+    zero = F.lit(0)
+    return F.aggregate(gains, state(zero, zero, F.lit(0.0), F.lit(0.0), zero, none), step, closed)
+
+
 def judged(spans: DataFrame, model: list[float]) -> DataFrame:
-    """Base spans and the uncovered runs that the models call random (kind ``markov``)."""
+    """Base spans and what the models call random (kind ``markov``): whole runs, or else stretches of them.
+
+    A stretch, the best of many, has to gain LEAST_TOTAL beyond LEAST_MEAN per pair.
+    """
     base = spans.where("kind <> 'run'").select("row", "kind", "start", "end")
-    runs = spans.where((F.col("kind") == "run") & ~F.col("covered") & (F.length("value") >= MIN_RUN))
-    runs = runs.withColumn("score", score(F.col("value"), model)).where(
-        (F.col("score") >= LEAST_TOTAL) & (F.col("score") >= LEAST_MEAN * (F.length("value") - 1)))
-    return base.unionByName(runs.select("row", F.lit("markov").alias("kind"), "start", "end"))
+    runs = spans.where((F.col("kind") == "run") & (F.length("value") >= MIN_RUN))
+    runs = runs.withColumn("gains", _gains(_steps(F.col("value")), model)).withColumn("score", _total(F.col("gains")))
+    whole = (F.col("score") >= LEAST_TOTAL) & (F.col("score") >= LEAST_MEAN * F.size("gains"))
+    every = F.array(F.struct(F.lit(0).alias("first"), F.size("gains").alias("last")))
+    parts = F.filter(_stretches(F.col("gains")), lambda p: p["last"] - p["first"] + 1 >= MIN_RUN)
+    found = runs.select("row", "start", F.explode(F.when(whole, every).otherwise(parts)).alias("p"))
+    return base.unionByName(found.select(
+        "row", F.lit("markov").alias("kind"), (F.col("start") + F.col("p.first")).alias("start"),
+        (F.col("start") + F.col("p.last") + 1).alias("end")))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

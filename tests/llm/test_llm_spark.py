@@ -361,6 +361,33 @@ def test_markov_spans_of_many_secrets(spark, n_ids, n_keys):
     assert sum(got[n_ids + k] == "markov:0:40" for k in range(n_keys)) >= 0.98 * n_keys
 
 
+def test_markov_stretches(spark):
+    """Keys inside long runs of ordinary characters, and joined to a match of a pattern."""
+    rng = random.Random(9)
+    parts = ["the", "ing", "re", "con", "tion", "_", "get", "value", "er", "an", "or", "count", "list", "Map", "Set", "/"]
+
+    def path(n):
+        return "".join(rng.choices(parts, k=n))[:n]
+
+    rows = [(k, " ".join(path(40) for _ in range(20)), "a") for k in range(150)]
+    want = {}
+    for k in range(200, 240):
+        x, y = ("".join(rng.choices(secrets.ALPHABET[:62], k=40)) for _ in range(2))
+        hex_ = "".join(rng.choices("0123456789abcdef", k=32))
+        a, b, c = path(150), path(150), path(90)
+        text, places = [(f"{a}/{x}/{b}", [len(a) + 1]), (f"{a}/{x}/{b}/{y}/{c}", [len(a) + 1, len(a) + len(b) + 43]),
+                        (f"é {x}/{hex_}-{y}", [2, 76]), (f"{x}/AKIA{'Z9' * 8}-{a}/{y}", [0, 63 + len(a)])][k % 4]
+        rows.append((k, text, "a"))
+        want[k] = places
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(docs_of(spark, rows)).collect()}
+    assert sum(got[k] != "" for k in range(150)) == 0
+    hits = 0
+    for k, places in want.items():
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[k].split(",") if x.startswith("markov")]
+        hits += sum(any(abs(p - a) <= 6 and abs(p + 40 - b) <= 6 for a, b in spans) for p in places)
+    assert hits >= 0.95 * sum(map(len, want.values()))
+
+
 def test_mixing(spark, odd_rows):
     rows = odd_rows + [(2000 + k, " ".join(["w"] * (1 + k % 90)), "big" if k % 3 else f"s{k % 7}") for k in range(1500)]
     docs = docs_of(spark, rows)
