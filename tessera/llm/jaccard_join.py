@@ -23,8 +23,8 @@ Links that steps 2 and 4 skip lie within a group that is already connected, so c
 result, are exact. Shingles that many sets hold are a list of bounded length and count as shared
 without being shuffled in step 1.
 
-Sets whose region is too small for the bound to say anything (a rare fluctuation) are compared
-among themselves on all their shingles, in a name space of their own.
+Sets whose region is too small for the bound to say anything (a rare fluctuation) all stay in
+step 1; others still count what those sets hold.
 
 Defined results: null and empty texts have no set and are their own component. A component is
 named by its smallest document id (null only if it has no other). Rows of equal id stay rows.
@@ -72,17 +72,14 @@ class Regions:
         self.held = (sets.tokens < _limits(smaller)[sets.owner]) | (smaller < 64)[sets.owner]
         asked = np.bincount(sets.owner[self.asked], minlength=len(n))
         self.odd = (n > 0) & (asked <= missing(n))
-        self.needed = np.where(self.odd, n - missing(n), asked - missing(n))
+        self.needed = asked - missing(n)  # 0 or less: odd, no count is asked for
 
     def postings(self, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(shingle, set number, 1 if asked for), with the odd sets' second name space."""
+        """(shingle, set number, 1 if asked for)."""
         s = self.sets
-        odd = self.odd[s.owner]
         use = self.held if keep is None else self.held & keep
-        tokens = np.concatenate([s.tokens[use], mixed(s.tokens[odd] ^ _OWN_SPACE)])
-        owner = np.concatenate([s.owner[use], s.owner[odd]])
-        asks = np.concatenate([(self.asked & ~odd)[use], np.ones(int(odd.sum()), bool)])
-        return tokens, owner, asks.astype(np.uint16)
+        asks = self.asked & ~self.odd[s.owner]
+        return s.tokens[use], s.owner[use], asks[use].astype(np.uint16)
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,8 +95,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(s.first, len(s))
             rows.append([part.column(0), part.column(1), signed(sets.ids()), pa.array(sets.sizes),
                          *map(signed, low), pa.array(regions.needed),
-                         pa.array(np.bincount(sets.owner[regions.held], minlength=len(sets))
-                                  + np.where(regions.odd, sets.sizes, 0))])
+                         pa.array(np.bincount(sets.owner[regions.held], minlength=len(sets)))])
         tokens, counts = often.found()
         for i, columns in enumerate(rows):
             blobs = [[None] * len(columns[0]) for _ in range(2)]
@@ -132,7 +128,7 @@ def row_key(docs: DataFrame, doc_id: str, text: str) -> Column:
 
 
 def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Ids of the sets that share enough of their region with any others."""
+    """Ids of the sets that share enough of their region with any others, and of all odd sets."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = Dealer(buckets)
@@ -166,8 +162,8 @@ def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, buckets: int) -> D
     sums = found.groupBy("id").agg(F.sum(F.when(~F.col("often"), F.col("n"))).alias("n"),
                                    F.max(F.when(F.col("often"), F.col("n"))).alias("m"))
     total = F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))
-    return stored(sums.join(sets.select("id", "needed"), "id").where(total >= F.col("needed")).select("id"), "coarse",
-                  TEXT_ROWS)
+    enough = sums.join(sets.where("needed > 0").select("id", "needed"), "id").where(total >= F.col("needed")).select("id")
+    return stored(enough.unionByName(sets.where("needed <= 0").select("id")), "coarse", TEXT_ROWS)
 
 
 def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:

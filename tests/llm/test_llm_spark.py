@@ -8,12 +8,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import (fingerprint, jaccard_join, line_dedup, mixing, packing, quality, secrets, sharding, url_filter,
-                         warc)
+from tessera.llm import (fingerprint, jaccard_join, line_dedup, mixing, packing, quality, secrets, sharding, tokensets,
+                         url_filter, warc, words)
 from tessera.llm.queries import ORACLE, QUERIES
 from tessera.llm.shared import components, scratch_path
 
@@ -173,6 +174,34 @@ def test_jaccard_join_within_families(spark):
     assert got == {i: first[k] for i, k in enumerate(name)}
 
 
+def test_jaccard_join_of_a_small_region(spark):
+    """A set with too few shingles in its region for a bound, similar to one with enough."""
+    rng = random.Random(3)
+
+    def hashed(texts):
+        return tokensets.text_sets(next(iter(words.slices(pa.array(texts)))))
+
+    def grown(text, low):
+        """``text`` with a word more; the new shingle's hash lies in the region or far from it."""
+        while True:
+            word = "".join(rng.choices("abcdefgh", k=9))
+            x = int(hashed([" ".join([*text[-4:], word])]).tokens[0]) / 2.0 ** 64
+            if x < 0.4 if low else x > 0.6:
+                return [*text, word]
+
+    small = ["w1", "w2", "w3", "w4"]
+    for k in range(70):
+        small = grown(small, k < 10)
+    large = small
+    for _ in range(14):
+        large = grown(large, True)
+    rows = [(1, " ".join(small), "a"), (2, " ".join(large), "a"), (3, "some other text of seven words", "a")]
+    regions = jaccard_join.Regions(hashed([t for _, t, _ in rows]))
+    assert regions.odd.tolist() == [True, False, False]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.linked(docs_of(spark, rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
 def test_line_dedup_against_brute_force(spark, odd_rows):
     lines = sorted({(i is None, i, (t or ""), k, x) for i, t, _ in odd_rows for k, x in enumerate((t or "").split("\n"))},
                    key=lambda r: (r[0], r[1] or 0, r[3]))
