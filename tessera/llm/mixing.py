@@ -1,18 +1,22 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Every source gets a target number of words; its documents get a target number of copies (the
-target over the source's size). The whole part of it is certain. For the rest the documents
-of a source are ranked by random odds over inclusion odds, (u / (1 - u)) / (p / (1 - p)), and
-taken in that order up to the remaining words; the one other document whose size is nearest
-to what is then left is taken as well if that brings the source closer to its target.
+target over the source's size). The whole part of it is certain. For the rest each document has
+an inclusion probability p in proportion to its size, capped at 1, so that p times size sums to
+the remaining words. Certain documents come first, the others by random odds over inclusion odds,
+(u / (1 - u)) / (p / (1 - p)); along that order every document that fits into what is left is
+taken. At the end none that is left out fits; the smallest of them is taken as well if that
+brings the source closer to its target.
 
 u is a hash of the row (its id, source and text with a seed): reruns and other partitionings
 agree, and a document's copies follow from its own row and one small row per source. Nothing
-sorts a source as a whole: words are summed by source and bin of u, a running sum over the
-bins finds the bin where the target falls, and only that bin's documents are ranked one by one.
+sorts a source as a whole: words are summed by source and bin of the odds, a running sum over the
+bins finds the bin where a document does not fit, and only that bin's documents are ranked one by
+one. The next round goes on behind it with the documents that still fit; what is left at least
+halves with the typical round, so a few rounds end it.
 
 Defined results: a null or empty text has size 0. A null source is a source, ordered last.
-Equal rows share their u and are taken together. Empty tables give empty results; a source
+Equal rows share their u and are taken together or not at all. Empty tables give empty results; a source
 without words has target 0.
 """
 
@@ -28,11 +32,16 @@ from pyspark.sql import types as T
 from tessera.llm.shared import WORD, stored, table, unused
 
 WEIGHTS, SHARE, MOST, SEED = (3.0, 1.0, 2.0), 1.5, 2.0, 20240
-BIN_ROWS = 4096  # documents of a bin on average
+BIN_ROWS = 4096  # documents of a bin, about
+FINE = 1 << 56   # steps of the rank per unit of the logarithm of the odds
+FIRST, LAST = -(1 << 63), (1 << 63) - 1
 _SOURCES = T.StructType([T.StructField(n, t) for n, t in (
     ("source", T.StringType()), ("source_size", T.LongType()), ("target", T.DoubleType()),
-    ("whole", T.IntegerType()), ("left", T.DoubleType()), ("bin", T.LongType()), ("before", T.LongType()),
-    ("cutoff", T.LongType()), ("deficit", T.DoubleType()), ("extra", T.LongType()))])
+    ("whole", T.IntegerType()), ("left", T.DoubleType()), ("scale", T.DoubleType()),
+    ("parts", T.ArrayType(T.StructType([T.StructField("after", T.LongType()), T.StructField("until", T.LongType()),
+                                        T.StructField("most", T.DoubleType())]))),
+    ("extra", T.LongType()))])
+_NEAR = "s string, after long, deficit double"
 
 
 def words(text: Column) -> Column:
@@ -59,9 +68,41 @@ def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most:
     return out
 
 
+def rank(draw_column: Column, size: Column, scale: Column) -> Column:
+    """Place of a document in its source's order: the logarithm of its random odds over its inclusion odds."""
+    p = scale * F.greatest(size, F.lit(1))
+    u = (F.shiftright(draw_column, 12) + 0.5) / float(1 << 52) + 0.5
+    odds = F.log(u / (1.0 - u)) - F.log(p / (1.0 - p))
+    return F.when(p >= 1.0, F.lit(FIRST + 1)).otherwise(
+        F.floor(F.greatest(F.lit(-100.0), F.least(F.lit(100.0), odds)) * float(FINE)).cast("long"))
+
+
+def scales(rows: DataFrame, sizes: dict, left: dict) -> dict:
+    """Inclusion probability per word of each source, so that probability times size sums to ``left``.
+
+    Documents of probability 1 are set apart until the others' stay below it.
+    """
+    spark, bound, out = rows.sparkSession, {s: float(LAST) for s, x in left.items() if x > 0}, {}
+    square = F.col("size").cast("decimal(19,0)") * F.col("size").cast("decimal(19,0)")
+    while bound:
+        near = spark.createDataFrame(list(bound.items()), "s string, bound double")
+        found = (rows.join(F.broadcast(near), F.col("source").eqNullSafe(F.col("s"))).where("size < bound")
+                 .groupBy("source").agg(F.sum("size").alias("size"), F.sum(square).alias("square"),
+                                        F.max("size").alias("most")).collect())
+        again = {}
+        for r in found:
+            rest = left[r["source"]] - (sizes[r["source"]] - r["size"])
+            scale = rest / float(r["square"]) if r["square"] and rest > 0 else 0.0
+            out[r["source"]] = max(scale, 1e-18)
+            if scale * r["most"] >= 1 and 1 / scale < bound[r["source"]]:
+                again[r["source"]] = 1 / scale
+        bound = again
+    return out
+
+
 def allocation(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST
                ) -> DataFrame:
-    """One row per source with its target and which draws it takes.
+    """One row per source with its target and which ranks and sizes it takes.
 
     ``rows``: source, size and draw of each document (stored: it is read several times).
     Only one row per source passes through the driver.
@@ -71,55 +112,77 @@ def allocation(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     sizes = [r["size"] for r in found]
     aims = targets(sizes, [weights[i % len(weights)] for i in range(len(found))], share * sum(sizes), most)
-    plan = []
-    for r, aim in zip(found, aims):
-        whole = int(aim // r["size"]) if r["size"] else 0
-        plan.append([r["source"], r["size"], aim, whole, aim - whole * r["size"], None, 0, None, None, None])
-
-    def sources() -> DataFrame:
-        return spark.createDataFrame([tuple(p) for p in plan], _SOURCES)
-
-    place = {p[0]: p for p in plan}
-    # A bin is the leading bits of the draw; their number follows the number of documents.
-    shift = 64 - max(4, (sum(r["n"] for r in found) // BIN_ROWS).bit_length())
-    rows = rows.withColumn("b", F.shiftright("draw", shift))
-    by_bin = rows.groupBy("source", "b").agg(F.sum("size").alias("size"))
-    running = F.sum("size").over(Window.partitionBy("source").orderBy("b"))
-    by_bin = by_bin.withColumn("upto", running).join(
-        sources().select(F.col("source").alias("s"), "left"), F.col("source").eqNullSafe(F.col("s")))
-    cross = (by_bin.where("upto > left").groupBy("source")
-             .agg(F.min("b").alias("b"), F.min(F.col("upto") - F.col("size")).alias("before")))
-    for r in cross.collect():
-        place[r["source"]][5:7] = [r["b"], r["before"]]
-    near = sources().where("bin is not null").select(
-        F.col("source").alias("s"), "left", "bin", "before")
-    ranked = rows.join(F.broadcast(near), F.col("source").eqNullSafe(F.col("s")) & (F.col("b") == F.col("bin")))
-    ranked = ranked.withColumn("upto", F.col("before") + F.sum("size").over(
-        Window.partitionBy("source").orderBy("draw")))  # equal draws share a sum
-    last = ranked.where("upto <= left").groupBy("source").agg(F.max("draw").alias("cutoff"), F.max("upto").alias("upto"))
-    ends = {r["source"]: (r["cutoff"], r["upto"]) for r in last.collect()}
-    for p in plan:
-        if p[5] is None:      # the draws of the whole source do not exceed what is left
-            p[7], p[8] = (1 << 63) - 1, 0.0
-        else:                 # without a taken draw in the bin, all below it
-            p[7], upto = ends.get(p[0], (max((p[5] << shift) - 1, -1 << 63), p[6]))
-            p[8] = p[4] - upto
-    spare = sources().where("deficit > 0").select(F.col("source").alias("s"), "cutoff", "deficit")
+    whole = {r["source"]: int(aim // r["size"]) if r["size"] else 0 for r, aim in zip(found, aims)}
+    left = {r["source"]: aim - whole[r["source"]] * r["size"] for r, aim in zip(found, aims)}
+    scale = scales(rows, {r["source"]: r["size"] for r in found}, left)
+    parts = {s: [] for s in left}
+    deficit, after = dict(left), {s: FIRST for s in left}
+    # At most a fourth of a source's documents have a rank within one unit of the logarithm.
+    width = max(1, min(FINE, 4 * FINE * BIN_ROWS // max(1, sum(r["n"] for r in found))))
+    chosen = spark.createDataFrame([(s, scale.get(s, 1e-18)) for s in left], "s string, scale double")
+    ranked = (rows.join(F.broadcast(chosen), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+              .withColumn("rank", rank(F.col("draw"), F.col("size"), F.col("scale")))
+              .withColumn("b", F.floor(F.col("rank") / F.lit(width))))
+    open_ = [s for s in left if deficit[s] >= 1]
+    while open_:
+        near = spark.createDataFrame([(s, after[s], deficit[s]) for s in open_], _NEAR)
+        fits = (ranked.join(F.broadcast(near), F.col("source").eqNullSafe(F.col("s")))
+                .where("rank > after and size <= deficit and size > 0").drop("s"))
+        by_bin = fits.groupBy("source", "b").agg(F.sum("size").alias("size"), F.first("deficit").alias("deficit"))
+        by_bin = by_bin.withColumn("upto", F.sum("size").over(Window.partitionBy("source").orderBy("b")))
+        over = F.col("upto") > F.col("deficit")
+        cross = {r["source"]: r for r in by_bin.groupBy("source").agg(
+            F.sum("size").alias("all"), F.min(F.when(over, F.col("b"))).alias("bin"),
+            F.min(F.when(over, F.col("upto") - F.col("size"))).alias("before")).collect()}
+        bins = [(s, r["bin"], r["before"]) for s, r in cross.items() if r["bin"] is not None]
+        ends = {}
+        if bins:
+            places = spark.createDataFrame(bins, "s string, bin long, before long")
+            one = (fits.join(F.broadcast(places), F.col("source").eqNullSafe(F.col("s")) & (F.col("b") == F.col("bin")))
+                   .withColumn("upto", F.col("before") + F.sum("size").over(
+                       Window.partitionBy("source").orderBy("rank"))))  # equal ranks share a sum
+            ends = {r["source"]: r for r in one.groupBy("source").agg(
+                F.min(F.when(over, F.col("rank"))).alias("rank"),
+                F.max(F.when(~over, F.col("upto"))).alias("upto"), F.first("before").alias("before")).collect()}
+        for s in open_:
+            if s not in ends:  # all that fit, or none does
+                parts[s].append((after[s], LAST, deficit[s]))
+                deficit[s] -= cross[s]["all"] if s in cross else 0
+                after[s] = None
+            else:
+                r = ends[s]
+                parts[s].append((after[s], r["rank"], deficit[s]))
+                deficit[s] -= r["before"] if r["upto"] is None else r["upto"]
+                after[s] = r["rank"]
+        open_ = [s for s in open_ if after[s] is not None and deficit[s] >= 1]
+
+    def sources(extra: dict) -> DataFrame:
+        return spark.createDataFrame([(r["source"], r["size"], aim, whole[r["source"]], left[r["source"]],
+                                       scale.get(r["source"], 1e-18), parts[r["source"]], extra.get(r["source"]))
+                                      for r, aim in zip(found, aims)], _SOURCES)
+
+    spare = sources({}).where("left > 0").join(
+        F.broadcast(spark.createDataFrame([(s, x) for s, x in deficit.items()], "t string, deficit double")),
+        F.col("source").eqNullSafe(F.col("t"))).select(F.col("source").alias("s"), "parts", "deficit")
     off = F.abs(F.col("size") - F.col("deficit"))
-    extra = (rows.join(F.broadcast(spare), F.col("source").eqNullSafe(F.col("s")) & (F.col("draw") > F.col("cutoff")))
-             .where(off < F.col("deficit"))
-             .groupBy("source", "draw").agg(F.sum("size").alias("size"), F.first("deficit").alias("deficit"))
-             .where(off < F.col("deficit"))
-             .groupBy("source").agg(F.min_by("draw", F.struct(off, F.col("draw"))).alias("draw")))
-    for r in extra.collect():
-        place[r["source"]][9] = r["draw"]
-    return sources()
+    last = (ranked.join(F.broadcast(spare), F.col("source").eqNullSafe(F.col("s")))
+            .where(~_within(F.col("rank"), F.col("size"), F.col("parts"))).where(off < F.col("deficit"))
+            .groupBy("source", "draw").agg(F.sum("size").alias("size"), F.first("deficit").alias("deficit"))
+            .where(off < F.col("deficit"))
+            .groupBy("source").agg(F.min_by("draw", F.struct(off, F.col("draw"))).alias("draw")))
+    return sources({r["source"]: r["draw"] for r in last.collect()})
+
+
+def _within(rank_column: Column, size: Column, parts: Column) -> Column:
+    return F.exists(parts, lambda p: (rank_column > p["after"]) & (rank_column < p["until"]) & (size <= p["most"]))
 
 
-def copies(draw_column: Column) -> Column:
-    """Copies of a row, from its draw and its source's allocation."""
-    chosen = (draw_column <= F.col("cutoff")) | F.coalesce(draw_column == F.col("extra"), F.lit(False))
-    return F.col("whole") + F.when(chosen & (F.col("left") > 0), 1).otherwise(0)
+def copies(draw_column: Column, size: Column, plan: str = "") -> Column:
+    """Copies of a row, from its draw, its size and its source's allocation (columns, or fields of ``plan``)."""
+    whole, left, scale, parts, extra = (F.col(plan + c) for c in ("whole", "left", "scale", "parts", "extra"))
+    chosen = (_within(rank(draw_column, size, scale), size, parts)
+              | F.coalesce(draw_column == extra, F.lit(False)))
+    return whole + F.when(chosen & (left > 0), 1).otherwise(0)
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -129,11 +192,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     rows = stored(docs.select(docs[source].alias("source"), words(docs[text]).alias("size"), number.alias("draw")),
                   "mix")
     plan = allocation(rows, weights, share, most)
-    s, c, k, w, e, t = unused(docs, "s", "cutoff", "draw", "whole", "extra", "taken")
-    small = plan.select(F.col("source").alias(s), F.struct("whole", "cutoff", "extra", "left").alias(c))
-    held = docs.withColumn(k, number).join(F.broadcast(small), docs[source].eqNullSafe(F.col(s)))
-    chosen = (F.col(k) <= F.col(f"{c}.cutoff")) | F.coalesce(F.col(k) == F.col(f"{c}.extra"), F.lit(False))
-    n = F.col(f"{c}.whole") + F.when(chosen & (F.col(f"{c}.left") > 0), 1).otherwise(0)
+    s, c, k, z, t = unused(docs, "s", "cutoff", "draw", "words", "taken")
+    small = plan.select(F.col("source").alias(s), F.struct("whole", "left", "scale", "parts", "extra").alias(c))
+    held = docs.withColumns({k: number, z: words(docs[text])}).join(F.broadcast(small), docs[source].eqNullSafe(F.col(s)))
+    n = copies(F.col(k), F.col(z), f"{c}.")
     return (held.withColumn(t, F.explode(F.array_repeat(F.lit(1), n)))
             .select(*[F.col(f"`{x}`") for x in docs.columns]))
 
@@ -145,4 +207,4 @@ def op10_mixing(spark, sf_dir: str) -> DataFrame:
     plan = allocation(rows.select("source", "size", "draw")).withColumnRenamed("source", "s")
     return rows.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "source", "size", "source_size", "target",
-        (F.col("size") * copies(F.col("draw"))).cast("long").alias("taken"))
+        (F.col("size") * copies(F.col("draw"), F.col("size"))).cast("long").alias("taken"))

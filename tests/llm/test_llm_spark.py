@@ -439,6 +439,22 @@ def test_mixing(spark, odd_rows):
         assert taken[s] <= 2 * size[s]
 
 
+@pytest.mark.parametrize("share", [0.5, 1.5])
+def test_mixing_of_few_long_documents(spark, share):
+    """No document that is left out would fit."""
+    shape = {"a": [20000] * 3 + [150] * 200, "b": [9000] * 5 + [40] * 300, "c": [3000, 7, 7, 5, 1] * 20}
+    rng = random.Random(4)
+    rows = [(s, n, rng.randrange(-2 ** 63, 2 ** 63)) for s in shape for n in shape[s]]
+    plan = mixing.allocation(spark.createDataFrame(rows, "source string, size long, draw long"), (1.0,), share)
+    frame = spark.createDataFrame(rows, "s string, size long, draw long").join(plan, F.col("s") == F.col("source"))
+    got = frame.select("source", "size", "target", "whole", mixing.copies(F.col("draw"), F.col("size")).alias("n")).collect()
+    for s in shape:
+        mine = [r for r in got if r["source"] == s]
+        taken, target = sum(r["size"] * r["n"] for r in mine), mine[0]["target"]
+        out = [r["size"] for r in mine if r["n"] == r["whole"]]
+        assert abs(target - taken) <= min(out, default=0), s
+
+
 def test_pipeline_stages(spark, odd_rows):
     docs = docs_of(spark, [(i, t, s) for i, t, s in odd_rows])
     for name, stage in corpus_pipeline.STAGES[:-1]:
