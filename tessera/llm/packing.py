@@ -13,7 +13,7 @@ partition and a counter; a task that runs again gives the same rows.
 
 Token ids: those of the ``tokenizers`` library for a byte-level BPE file. Where the file's
 merge ranks follow its ids, ``tiktoken`` runs the merges (same ids, several times faster);
-otherwise ``tokenizers`` itself. Strings of special tokens in a text are ordinary text.
+otherwise, and for texts with very long runs of white space, ``tokenizers`` itself. Strings of special tokens in a text are ordinary text.
 
 Defined results: a null or empty text is a document of the end id alone. Repeated rows are
 packed each by itself. An empty table gives an empty result.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterator
@@ -39,6 +40,8 @@ TIERS = (1024, 512, 256, 128)
 END_ID = 0
 BLOCK_TOKENS = 1 << 21
 STEP_TOKENS = 64 * 1024
+LONG_BLANK = 100_000  # a text with a run of white space of this length is left to ``tokenizers``
+_LONG_BLANK = re.compile(rf"\s{{{LONG_BLANK}}}")
 
 #: Split pattern of the byte-level BPE pre-tokeniser (fixed value).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -74,14 +77,26 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     fast = (len(ranks) == 256 + len(merges) and None not in in_order and in_order == sorted(in_order)
             and spec.get("normalizer") is None and not model.get("ignore_merges")
             and pre.get("use_regex", True))
-    if fast:
-        import tiktoken
-        core = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        return lambda text: np.asarray(core.encode_ordinary(text), np.uint32)
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    return lambda text: np.asarray(tok.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    @lru_cache(maxsize=1)
+    def plain():
+        from tokenizers import Tokenizer
+        tok = Tokenizer.from_file(path)
+        tok.encode_special_tokens = True
+        return lambda text: np.asarray(tok.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    if not fast:
+        return plain()
+    import tiktoken
+    core = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(text: str) -> np.ndarray:
+        # tiktoken's split pattern recurses along a run of white space and overflows its stack on very long ones.
+        if len(text) >= LONG_BLANK and _LONG_BLANK.search(text):
+            return plain()(text)
+        return np.asarray(core.encode_ordinary(text), np.uint32)
+
+    return encode
 
 
 def plan(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> tuple[list[list[tuple[int, int, int]]], list[int]]:
