@@ -12,14 +12,12 @@ whatever the region is. Nothing is lost, and only about a quarter of all shingle
 2. Groups: those sets are partitioned by their smallest hashes; each is compared with the leader
    of its partition (a pair per set, not all pairs), and verified links join groups.
 3. Token-group matrix: (shingle, group) for the union of each group. A set's overlap with a foreign
-   group's union bounds its overlap with each member; groups below the bound stay shut. Groups of one
-   family (sets with the same leader) differ in few shingles: there only shingles that the leader
-   lacks are looked up, the rest is bounded by what each set shares with the leader. Other families
-   are bounded by the union of the family first.
-4. Open groups: three likely members first; where those join the two groups the rest need no look.
-   Remaining members are verified one by one.
-
-Links that steps 2 and 4 skip lie within a group that is already connected, so components, the
+   group's union bounds its overlap with each member; groups below the bound stay shut. Only groups
+   that hold one of the set's rarest shingles, at a place and with sizes that leave enough room for
+   an overlap, are bounded at all (``prefixes``).
+4. Open groups: the members that pass the same filters one by one are verified.
+
+Links that step 2 skips lie within a group that is already connected, so components, the
 result, are exact. Shingles that many sets hold are a list of bounded length and count as shared
 without being shuffled in step 1.
 
@@ -39,9 +37,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import components, stored, table, unused
-from tessera.llm.tokensets import (BLOB_ROWS, POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for, can_overlap, frequent, gathered,
-                                   is_in, missing, packed_texts, posting_batch, shared_by_sets, signed, text_sets,
+from tessera.llm.shared import components, drop_stored, stored, table, unused
+from tessera.llm.tokensets import (BLOB_ROWS, COUNTS, POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for,
+                                   can_overlap, compatible, counts_dealt, frequent, gathered, is_in, missing, packed_texts,
+                                   parts_for, posting_batch, shared_by_sets, signed, summed_counts, text_sets,
                                    unpacked_slices, verified, with_common)
 from tessera.llm.words import mixed, slices
 
@@ -127,8 +126,9 @@ def row_key(docs: DataFrame, doc_id: str, text: str) -> Column:
     return F.struct(docs[doc_id].cast("long").alias("doc_id"), F.xxhash64(docs[text]).alias("hash"))
 
 
-def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, postings: int) -> DataFrame:
     """Ids of the sets that share enough of their region with any others, and of all odd sets."""
+    buckets, parts = buckets_for(postings), parts_for(postings)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = Dealer(buckets)
@@ -148,21 +148,17 @@ def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, buckets: int) -> D
 
     def meet(group: pa.Table) -> pa.Table:
         if group.column("bucket")[0].as_py() < 0:
-            n = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in group.column("tokens")])
-            ids = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in group.column("owners")])
-            return pa.table({"id": signed(ids), "n": signed(n), "often": pa.array(np.ones(len(n), bool))})
+            n, ids = (np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in group.column(c)])
+                      for c in ("tokens", "owners"))
+            return counts_dealt(ids, n, parts, often=True)
         tokens, owners, extra = gathered(group)
         fresh, shared = shared_by_sets(tokens, owners)
-        ids, n = np.unique(owners[fresh & shared & (extra == 1)], return_counts=True)
-        return pa.table({"id": signed(ids), "n": pa.array(n.astype(np.int64)), "often": pa.array(np.zeros(len(n), bool))})
-
-    found = (docs.select("text").mapInArrow(emit, POSTINGS).groupBy("bucket")
-             .applyInArrow(meet, "id long, n long, often boolean"))
-    # Copies report the same count of frequent shingles each; buckets report a set once.
-    sums = found.groupBy("id").agg(F.sum(F.when(~F.col("often"), F.col("n"))).alias("n"),
-                                   F.max(F.when(F.col("often"), F.col("n"))).alias("m"))
-    total = F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))
-    enough = sums.join(sets.where("needed > 0").select("id", "needed"), "id").where(total >= F.col("needed")).select("id")
+        return counts_dealt(*np.unique(owners[fresh & shared & (extra == 1)], return_counts=True), parts)
+
+    counts = docs.select("text").mapInArrow(emit, POSTINGS).groupBy("bucket").applyInArrow(meet, COUNTS)
+    # Buckets report a set once; copies report the same count of frequent shingles each.
+    total = summed_counts(counts, "c")
+    enough = total.join(sets.where("needed > 0").select("id", "needed"), "id").where("c >= needed").select("id")
     return stored(enough.unionByName(sets.where("needed <= 0").select("id")), "coarse", TEXT_ROWS)
 
 
@@ -211,21 +207,21 @@ def families(sets: DataFrame) -> DataFrame:
     out = sets.select("id", "low1", "low2", "low3")
     for low in ("low1", "low2", "low3"):
         out = out.join(sets.groupBy(low).agg(F.max(rank).alias(f"best_{low}")), low)
-    out = stored(out.select("id", F.greatest("best_low1", "best_low2", "best_low3")["id"].alias("leader")), "leaders")
-    up = out.select(F.col("id").alias("leader"), F.col("leader").alias("up"))
-    twice = out.join(up, "leader").select("id", F.col("up").alias("leader"))
-    return stored(twice.join(up, "leader").select("id", F.col("up").alias("leader")), "leaders")
+    first = stored(out.select("id", F.greatest("best_low1", "best_low2", "best_low3")["id"].alias("leader")), "leaders")
+    up = first.select(F.col("id").alias("leader"), F.col("leader").alias("up"))
+    twice = first.join(up, "leader").select("id", F.col("up").alias("leader"))
+    out = stored(twice.join(up, "leader").select("id", F.col("up").alias("leader")), "leaders")
+    drop_stored(first)
+    return out
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles of stored sets (id, leader, tokens, the leader's tokens) as rows: token, id, leader, core."""
+    """Shingles of stored sets (id, tokens) as rows: token, id."""
     for batch in batches:
-        arrays = [np.frombuffer(x.as_py(), "<u8") for x in batch.column(2)]
-        core = [is_in(x, np.frombuffer(y.as_py(), "<u8")) for x, y in zip(arrays, batch.column(3))]
-        sizes = [len(x) for x in arrays]
-        own, leader = (np.repeat(batch.column(i).to_numpy(zero_copy_only=False), sizes) for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([signed(np.concatenate(arrays)), pa.array(own), pa.array(leader),
-                                          pa.array(np.concatenate(core))], names=["token", "id", "leader", "core"])
+        arrays = [np.frombuffer(x.as_py(), "<i8") for x in batch.column(1)]
+        own = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) for x in arrays])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])), pa.array(own)],
+                                         names=["token", "id"])
 
 
 def _grouped(ids: DataFrame, links: DataFrame) -> DataFrame:
@@ -234,78 +230,62 @@ def _grouped(ids: DataFrame, links: DataFrame) -> DataFrame:
     return ids.join(found, "id", "left").select(*ids.columns, F.coalesce("component", "id").alias("grp"))
 
 
-def opened_groups(rows: DataFrame, info: DataFrame) -> DataFrame:
-    """id, other, n, common: the foreign groups that may hold a set similar to ``id``, and a bound of the overlap.
+def prefixes(rows: DataFrame, info: DataFrame) -> DataFrame:
+    """token, id, n, common, grp, place: the shingles among a set's rarest floor(n / 5) + 1 that other sets hold; stored.
+
+    Rarity is the number of sets that hold a shingle. Similar sets of n and m shingles have their first common one, in
+    this order, within both prefixes, and what they share lies at or behind it in both.
+    """
+    wide = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    of_set = Window.partitionBy("id")
+    held = rows.join(wide, "token").withColumns(
+        {"w": F.count(F.lit(1)).over(of_set), "rank": F.row_number().over(of_set.orderBy("c", "token"))})
+    held = held.join(info, "id").withColumn("place", F.expr("n - w + rank")).where("place <= floor(n / 5) + 1")
+    return stored(held.select("token", "id", "n", "common", "grp", "place"), "prefixes")
+
 
-    ``rows``: token, id, leader, core (the leader holds the token). ``info``: id, n, common, grp, leader, l (the
-    leader's size), k (core shingles of the set).
+def opened_groups(rows: DataFrame, info: DataFrame, first: DataFrame) -> DataFrame:
+    """id, other: the foreign groups whose union of shingles holds enough of a set's for a member to be similar; stored.
 
-    Within a family (one leader) |Q & S| <= shared non-core shingles + min(k of Q, k of S), so only non-core
-    shingles, which few sets hold, are joined. Two sets of different groups without a shared non-core shingle are
-    similar only if one of them, not similar to the leader, meets one smaller than the leader: those alone are
-    counted on all shingles. Other families are bounded by the family's union first, then by that of each group.
+    Groups are found by the prefixes, with the length and positional filters on the ranges of their members, then
+    bounded by the matrix: at least four fifths of the set must lie in the group's union.
     """
-    full = rows.join(info.drop("leader"), "id")
-    whole = info.select("id", "n", "common")
-    # Same family, through non-core shingles.
-    some = full.where("not core")
-    union = some.groupBy("leader", "token", F.col("grp").alias("other")).agg(F.max("k").alias("d"), F.min("n").alias("m"))
-    best = info.groupBy("leader", F.col("grp").alias("other")).agg(F.max("k").alias("d"), F.min("n").alias("m"))
-    inner = (some.select("id", "leader", "token", "grp").join(union.select("leader", "token", "other"), ["leader", "token"])
-             .where("grp <> other").groupBy("id", "leader", "other").agg(F.count(F.lit(1)).alias("c"))
-             .join(info.select("id", "n", "common", "k"), "id").join(best, ["leader", "other"])
-             .withColumn("c", F.col("c") + F.least("k", "d"))
-             .where("9 * c >= 4 * (n + m) and 5 * c >= 4 * n").select("id", "other", "c"))
-    # Same family, without one.
-    apart = full.where("5 * k >= 4 * n and 9 * k < 4 * (n + l)").select("id", "leader", "token", "grp", "k", "n")
-    small = (full.where("5 * k >= 4 * n and n < l")
-             .groupBy("leader", "token", F.col("grp").alias("other")).agg(F.max("k").alias("d"), F.min("n").alias("m")))
-    short = (apart.join(small, ["leader", "token"]).where("grp <> other and 9 * least(k, d) >= 4 * (n + m)")
-             .groupBy("id", "other").agg(F.count(F.lit(1)).alias("c")))
-    # Other families: the union of all their sets, then of their groups.
-    best = info.groupBy(F.col("leader").alias("family")).agg(F.max("common").alias("d"), F.min("n").alias("m"))
-    matrix = rows.select("token", F.col("leader").alias("family")).distinct()
-    wide = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    matrix = stored(matrix.join(wide, "token").join(best, "family"), "matrix")
-    far = (rows.select("token", "id", "leader").join(whole, "id").join(matrix, "token")
-           .where(f"leader <> family and {can_overlap('common', 'n', 'd', 'm')}")
-           .groupBy("id", "family").agg(F.count(F.lit(1)).alias("c")).join(whole, "id").where("5 * c >= 4 * n"))
-    far = stored(far.select("id", "family"), "families")
-    union = (full.join(far.select(F.col("family").alias("leader")).distinct(), "leader", "left_semi")
-             .select("token", F.col("leader").alias("family"), F.col("grp").alias("other")).distinct())
-    outer = (full.select("token", "id", "grp").join(far, "id").join(union, ["token", "family"]).where("grp <> other")
-             .groupBy("id", "family", "other").agg(F.count(F.lit(1)).alias("c")).select("id", "other", "c"))
-    found = inner.unionByName(short).unionByName(outer).groupBy("id", "other").agg(F.max("c").alias("c"))
-    return found.join(whole, "id").where("5 * c >= 4 * n").select(
-        "id", "n", F.least("c", "common").alias("common"), "other")
-
-
-def matrix_groups(sets: DataFrame, leaders: DataFrame, links: DataFrame) -> DataFrame:
-    """id, grp of all sets: the components of ``links`` joined by steps 3 and 4. ``leaders``: id, leader."""
-    groups = stored(_grouped(sets.select("id", "n", "common"), links), "groups")
-    lead = sets.select(F.col("id").alias("leader"), F.col("n").alias("l"), F.col("tokens").alias("core"))
-    rows = (sets.select("id", "tokens").join(leaders, "id").join(lead, "leader").select("id", "leader", "tokens", "core")
-            .mapInArrow(_exploded, "token long, id long, leader long, core boolean"))
-    rows = stored(rows, "postings", BLOB_ROWS)
-    held = rows.groupBy("id", "leader").agg(F.sum(F.col("core").cast("long")).alias("k"))
-    info = stored(groups.join(held, "id").join(lead.select("leader", "l"), "leader"), "info")
-    opened = stored(opened_groups(rows, info), "opened")
-    members = groups.select(F.col("id").alias("member"), F.col("n").alias("m"), F.col("common").alias("d"),
-                            F.col("grp").alias("other"))
-    # First the member that shares most with others and those of the smallest and largest size.
-    likely = members.groupBy("other").agg(F.max_by("member", F.col("d") / F.col("m")).alias("x"),
-                                          F.min_by("member", "m").alias("y"), F.max_by("member", "m").alias("z"))
-    first = opened.join(likely, "other").select(F.col("id").alias("a"), F.explode(F.array("x", "y", "z")).alias("b"))
-    found = verified(first, sets)
-    ids = sets.select("id")
-    now = stored(_grouped(ids, links.unionByName(found)), "groups")
-    apart = (opened.join(now.withColumnRenamed("grp", "mine"), "id")
-             .join(members, "other").where(can_overlap("common", "n", "d", "m"))
-             .join(now.select(F.col("id").alias("member"), F.col("grp").alias("theirs")), "member")
-             .where("mine <> theirs")
-             .select(F.least("id", "member").alias("a"), F.greatest("id", "member").alias("b")))
-    last = verified(apart, sets)
-    return now if last.isEmpty() else _grouped(ids, links.unionByName(found).unionByName(last))
+    of_group = first.groupBy("token", F.col("grp").alias("other")).agg(
+        F.min("n").alias("m"), F.max("n").alias("most"), F.min("place").alias("at"), F.max("common").alias("d"))
+    near = ("grp <> other and 5 * n >= 4 * m and 5 * most >= 4 * n and 9 * (1 + least(n - place, most - at)) >= 4 * (n + m)"
+            f" and {can_overlap('common', 'n', 'd', 'm')}")
+    met = stored(first.join(of_group, "token").where(near).select("id", "n", "other").distinct(), "met")
+    union = (rows.join(info.select("id", F.col("grp").alias("other")), "id")
+             .join(met.select("other").distinct(), "other", "left_semi").select("token", "other").distinct())
+    opened = (met.join(rows, "id").join(union, ["token", "other"]).groupBy("id", "n", "other")
+              .agg(F.count(F.lit(1)).alias("c")).where("5 * c >= 4 * n"))
+    opened = stored(opened.select("id", "other"), "opened")
+    drop_stored(met)
+    return opened
+
+
+def likely_pairs(first: DataFrame, opened: DataFrame) -> DataFrame:
+    """id, member: sets and members of the groups opened for them that pass the filters of a set-similarity join."""
+    members = first.select("token", F.col("id").alias("member"), F.col("n").alias("m"), F.col("common").alias("d"),
+                           F.col("grp").alias("other"), F.col("place").alias("at"))
+    near = (f"grp <> other and {compatible('n', 'm')} and 9 * (1 + least(n - place, m - at)) >= 4 * (n + m)"
+            f" and {can_overlap('common', 'n', 'd', 'm')}")
+    asks = first.join(opened.select("id").distinct(), "id", "left_semi")
+    asked = members.join(opened.select("other").distinct(), "other", "left_semi")
+    pairs = asks.join(asked, "token").where(near).select("id", "member", "other").distinct()
+    return pairs.join(opened, ["id", "other"], "left_semi").select("id", "member")
+
+
+def matrix_groups(sets: DataFrame, links: DataFrame) -> DataFrame:
+    """id, grp of all sets: the components of ``links`` joined by steps 3 and 4."""
+    info = stored(_grouped(sets.select("id", "n", "common"), links), "groups")
+    rows = stored(sets.select("id", "tokens").mapInArrow(_exploded, "token long, id long"), "postings", BLOB_ROWS)
+    first = prefixes(rows, info)
+    opened = opened_groups(rows, info, first)
+    found = verified(likely_pairs(first, opened).select(F.least("id", "member").alias("a"),
+                                                        F.greatest("id", "member").alias("b")), sets)
+    drop_stored(rows, first, opened, info)
+    return _grouped(sets.select("id"), links.unionByName(found))
 
 
 def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -319,14 +299,18 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     blobs = rows.where("tokens is not null").select("tokens", "counts")
     hot = frequent(blobs.mapInArrow(_counted, "token long, n long"), size["sets"])
     texts = keyed(docs, doc_id, text)
-    left = known.join(coarse(texts, known, hot, buckets_for(size["postings"] or 0)), "id")
-    left = stored(left, "left")
+    kept = coarse(texts, known, hot, size["postings"] or 0)
+    left = stored(known.join(kept, "id"), "left")
+    drop_stored(kept)
     sets = with_common(fetched(texts, left.select("id", "key")), hot, "common")
     ranked = stored(sets.select("id", "n", "common").join(left.select("id", "low1", "low2", "low3"), "id"), "ranked")
+    drop_stored(left)
     leaders = families(ranked)
     own = leaders.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b"))
     links = verified(star_pairs(ranked).union(own), sets)
-    groups = stored(matrix_groups(sets, leaders, links), "groups")
+    drop_stored(ranked)
+    groups = stored(matrix_groups(sets, links), "groups")
+    drop_stored(sets, leaders, links)
     groups = groups.withColumnRenamed("grp", "component")
     named = groups.join(known.select("id", "smallest"), "id").groupBy("component").agg(F.min("smallest").alias("name"))
     of_set = known.select("id", "smallest").join(groups, "id", "left").join(named, "component", "left").select(

@@ -13,6 +13,8 @@ from tessera.session import checkpoint_root
 
 #: ``[^\x20\x09-\x0D]+``: the words of a text (fixed value, from the query contracts).
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_BYTES = 8 << 20  # of an Arrow batch of wide rows
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -24,28 +26,60 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int | None) -> Iterator[None]:
-    """Arrow batches of at most so many rows for the jobs run inside (wide rows: texts, blobs)."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    if rows:
-        spark.conf.set(name, str(rows))
+def set_for(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs run inside."""
+    before = {name: spark.conf.get(name) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def arrow_rows(spark: SparkSession, rows: int | None):
+    """Arrow batches of at most so many rows and some megabytes for the jobs run inside (wide rows: texts, blobs)."""
+    return set_for(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+                           "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)} if rows else {})
+
+
+@contextmanager
+def writing(spark: SparkSession, batch_rows: int | None = None) -> Iterator[None]:
+    """For a write: Arrow batches of so many rows, and the job's shuffle files go when it ends."""
+    with arrow_rows(spark, batch_rows), set_for(spark, {_CLEANUP: "true"}):
+        yield
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of the session hold some megabytes at most.
+
+    For operators that return texts from Python without storing them: the job that reads them runs elsewhere.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Cuts the lineage; a lost executor costs only the tasks that were running there.
+    Cuts the lineage; a lost executor costs only the tasks that were running there. Shuffle files of the job go when
+    it ends. ``drop_stored`` removes the table; what is left goes when the session's JVM ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with arrow_rows(spark, batch_rows):
+    with writing(spark, batch_rows):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` returned, once no later job reads them."""
+    for t in tables:
+        spark = t.sparkSession
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(t.stored_path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,8 +109,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     spark = edges.sparkSession
     pairs = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a is not null and b is not null")
     both = stored(pairs.union(pairs.select("b", "a")).distinct(), "edges")
-    labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("component"))
-    labels = stored(labels, "labels")
+    first = both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("component"))
+    held = labels = stored(first, "labels")
     for _ in range(max_rounds):
         near = (both.join(labels, both.b == labels.id).groupBy("a").agg(F.min("component").alias("near")))
         step = (labels.join(near, labels.id == near.a)
@@ -85,7 +119,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         jumped = step.join(up, "component", "left").select(
             "id", "old", F.least("component", F.coalesce("up", "component")).alias("component"))
         jumped = stored(jumped, "labels")
-        labels = jumped.select("id", "component")
+        drop_stored(held)
+        held, labels = jumped, jumped.select("id", "component")
         if jumped.where("old <> component").isEmpty():
+            drop_stored(both)
             return labels
     raise RuntimeError(f"labels still change after {max_rounds} rounds")

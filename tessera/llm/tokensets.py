@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import stored
+from tessera.llm.shared import drop_stored, stored
 from tessera.llm.words import Slice, mixed, overlap, shingle_runs, slices
 
 BUCKET_POSTINGS = 1 << 18
@@ -40,20 +40,28 @@ def compatible(n: str, m: str) -> str:
     return f"5 * least({n}, {m}) >= 4 * greatest({n}, {m})"
 
 
+def ordered(hashes: np.ndarray, owner: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``hashes`` of owners 0, 1, ... (n[i] of owner i, one after another), sorted within each owner."""
+    if len(n) and len(hashes) > 128 * len(n):
+        hashes, at = hashes.copy(), 0
+        for size in n:
+            hashes[at: at + size].sort()
+            at += size
+        return hashes
+    if len(n) < 1 << 20:  # the owner and the leading bits of the hash in one sort key, quicker than two keys
+        out = hashes[np.argsort((owner.astype(_U) << _U(44)) | (hashes >> _U(20)))]
+        if not ((out[1:] < out[:-1]) & (owner[1:] == owner[:-1])).any():
+            return out
+    return hashes[np.lexsort((hashes, owner))]
+
+
 class Sets:
     """Sets of a slice: sorted distinct shingles of set i at [bounds[i], bounds[i + 1])."""
 
     def __init__(self, hashes: np.ndarray, bounds: np.ndarray):
         n = np.diff(bounds)
         owner = np.repeat(np.arange(len(n)), n)
-        if len(n) and len(hashes) > 128 * len(n):
-            hashes = hashes.copy()
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                hashes[a:b].sort()
-        elif len(n) < 1 << 20:  # the owner and the leading bits of the hash in one sort key
-            hashes = hashes[np.argsort((owner.astype(_U) << _U(44)) | (hashes >> _U(20)))]
-        else:
-            hashes = hashes[np.lexsort((hashes, owner))]
+        hashes = ordered(hashes, owner, n)
         fresh = np.ones(len(hashes), bool)
         fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
         self.tokens, self.owner = hashes[fresh], owner[fresh]
@@ -212,6 +220,46 @@ def shared_by_sets(tokens: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray,
     return fresh, (np.bincount(run, fresh) >= 2)[run]
 
 
+#: Counts by set on their way to their sum: blobs, as postings are.
+COUNTS = "part int, ids binary, counts binary, often boolean"
+PART_COUNTS = 1 << 22  # counts that are summed together, at most about
+
+
+def parts_for(postings: int) -> int:
+    """Into how many parts sets are dealt for summing: a bucket counts a set once, so postings bound the counts."""
+    return max(1, -(-int(postings) // PART_COUNTS))
+
+
+def counts_dealt(ids: np.ndarray, counts: np.ndarray, parts: int, often: bool = False) -> pa.Table:
+    """A row per part that any id falls into. ``often``: counts of frequent shingles, which every copy of a set reports."""
+    part = (((mixed(ids.astype(_U)) >> _U(32)) * _U(parts)) >> _U(32)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    ids, counts, part = ids[order], counts[order], part[order]
+    edges = np.searchsorted(part, np.arange(parts + 1))
+    some = np.flatnonzero(np.diff(edges))
+    return pa.table({"part": pa.array(some.astype(np.int32)),
+                     "ids": pa.array([ids[edges[i]: edges[i + 1]].astype("<u8").tobytes() for i in some], pa.binary()),
+                     "counts": pa.array([counts[edges[i]: edges[i + 1]].astype("<i8").tobytes() for i in some],
+                                        pa.binary()),
+                     "often": pa.array(np.full(len(some), often))})
+
+
+def summed_counts(counts: DataFrame, name: str) -> DataFrame:
+    """(id, ``name``): the sum of each set's counts, those of frequent shingles once. ``counts``: as ``COUNTS``."""
+
+    def run(group: pa.Table) -> pa.Table:
+        ids, n = (np.concatenate([np.frombuffer(x.as_py(), kind) for x in group.column(c)])
+                  for c, kind in (("ids", "<u8"), ("counts", "<i8")))
+        often = np.repeat(group.column("often").to_numpy(), [len(x.as_py()) // 8 for x in group.column("ids")])
+        known, place = np.unique(ids, return_inverse=True)
+        out, once = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
+        np.add.at(out, place[~often], n[~often])
+        np.maximum.at(once, place[often], n[often])
+        return pa.table({"id": signed(known), name: pa.array(out + once)})
+
+    return counts.groupBy("part").applyInArrow(run, f"id long, {name} long")
+
+
 def packed_texts(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with the text column as zstd bytes: what a shuffle of whole documents should move."""
     place = docs.columns.index(text)
@@ -243,9 +291,10 @@ def unpacked_slices(column: pa.Array, rows: int = 512) -> Iterator[tuple[int, Sl
 def with_common(sets: DataFrame, hot: np.ndarray, name: str) -> DataFrame:
     """Stored sets (id, n, tokens) with ``common``: how many of a set's shingles any other set holds.
 
-    Only sets for which that is four fifths of their size or more; the others are like none.
+    ``sets`` is dropped. Only sets for which that is four fifths of their size or more; the others are like none.
     """
     postings = sets.agg(F.sum("n")).first()[0] or 0
+    parts = parts_for(postings)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = Dealer(buckets_for(postings))
@@ -264,14 +313,15 @@ def with_common(sets: DataFrame, hot: np.ndarray, name: str) -> DataFrame:
     def meet(group: pa.Table) -> pa.Table:
         tokens, owners, _ = gathered(group)
         if group.column("bucket")[0].as_py() < 0:
-            return pa.table({"id": signed(owners), "common": pa.array(tokens.astype(np.int64))})
+            return counts_dealt(owners, tokens, parts, often=True)
         fresh, shared = shared_by_sets(tokens, owners)
-        ids, counts = np.unique(owners[fresh & shared], return_counts=True)
-        return pa.table({"id": signed(ids), "common": pa.array(counts.astype(np.int64))})
+        return counts_dealt(*np.unique(owners[fresh & shared], return_counts=True), parts)
 
-    found = (sets.select("id", "tokens").mapInArrow(emit, POSTINGS).groupBy("bucket")
-             .applyInArrow(meet, "id long, common long").groupBy("id").agg(F.sum("common").alias("common")))
-    return stored(sets.join(found.where("common > 0"), "id").where("5 * common >= 4 * n"), name, TEXT_ROWS)
+    found = summed_counts(sets.select("id", "tokens").mapInArrow(emit, POSTINGS).groupBy("bucket")
+                          .applyInArrow(meet, COUNTS), "common")
+    out = stored(sets.join(found.where("common > 0"), "id").where("5 * common >= 4 * n"), name, TEXT_ROWS)
+    drop_stored(sets)
+    return out
 
 
 def can_overlap(c: str, n: str, d: str, m: str) -> str:

@@ -186,3 +186,16 @@ def test_random_strings_score_above_identifiers():
     said = [score(v) >= secrets.LEAST_TOTAL and score(v) >= secrets.LEAST_MEAN * (len(v) - 1) for v in
             noise[3000:] + ident[3000:]]
     assert sum(said[:1000]) >= 990 and sum(said[1000:]) <= 5
+
+
+def test_sets_are_sorted_exactly():
+    """Hashes that agree in their leading bits, in either branch of the sort."""
+    base = np.uint64(0x1234567800000000)
+    close = base + np.array([5, 3, 5, 1, 3, 5], np.uint64)
+    for copies in (1, 400):
+        hashes = np.concatenate([close] * copies)
+        bounds = np.array([0, len(hashes)])
+        sets = tokensets.Sets(hashes, bounds)
+        assert sets.tokens.tolist() == [int(base) + x for x in (1, 3, 5)]
+    two = tokensets.Sets(np.concatenate([close, close[:2]]), np.array([0, 6, 6, 8]))
+    assert two.sizes.tolist() == [3, 0, 2] and two[2].tolist() == [int(base) + 3, int(base) + 5]
