@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.shared import stored, table, unused
+from tessera.llm.shared import drop_stored, small_batches, stored, table, unused
 from tessera.llm.tokensets import (BLOB_ROWS, POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for, can_overlap,
                                    compatible, frequent, gathered, is_in, line_bounds, missing, packed_texts, posting_batch,
                                    shared_by_sets, signed, unpacked, unpacked_slices, verified, with_common)
@@ -232,11 +232,12 @@ def near_families(found: DataFrame, open_: DataFrame, sets: DataFrame) -> DataFr
     best = found.groupBy("token").agg(F.max(rank).alias("best"))
     lead = found.select("token", "id", "at").join(best, "token").groupBy("id").agg(
         F.max("best")["id"].alias("leader"), F.first("at").alias("at"))
-    lead = stored(lead, "leaders")
+    lead = nearest = stored(lead, "leaders")
     up = lead.select(F.col("id").alias("leader"), F.col("leader").alias("up"))
     for _ in range(2):
         lead = lead.join(up, "leader").select("id", "at", F.col("up").alias("leader"))
     lead = stored(lead, "leaders")
+    drop_stored(nearest)
     known = lead.groupBy("leader").agg(F.min("at").alias("from"), F.count(F.lit(1)).alias("lines"))
     live = (lead.join(open_.select("id").distinct(), "id").join(known, "leader").where(F.col("at") > F.col("from"))
             .select("leader", "lines").distinct())
@@ -246,7 +247,9 @@ def near_families(found: DataFrame, open_: DataFrame, sets: DataFrame) -> DataFr
     core = (held.groupBy("leader", "token").agg(F.sum("c").alias("c")).join(live, "leader").where("2 * c > lines")
             .groupBy("leader").agg(F.collect_list("token").alias("core")))
     rows = members.join(core, "leader").select("id", "leader", "tokens", "core")
-    return stored(rows.mapInArrow(_apart, "id long, leader long, l long, k long, differ binary"), "families", BLOB_ROWS)
+    out = stored(rows.mapInArrow(_apart, "id long, leader long, l long, k long, differ binary"), "families", BLOB_ROWS)
+    drop_stored(lead, members)
+    return out
 
 
 def family_repeats(open_: DataFrame, family: DataFrame, sets: DataFrame) -> DataFrame:
@@ -264,13 +267,14 @@ def family_repeats(open_: DataFrame, family: DataFrame, sets: DataFrame) -> Data
              .agg(F.min("at").alias("b_at")))
     plain = stored(mine.where("short <= l").join(steps, "leader")
                    .where((F.col("b_at") < F.col("at")) & F.expr("short + b_short <= l")).select("id").distinct(), "plain")
-    tokens = stored(family.select("id", "differ").mapInArrow(_differing, "id long, token long")
-                    .join(family.drop("differ"), "id"), "differing")
-    rarity = tokens.groupBy("leader", "token").agg(F.count(F.lit(1)).alias("c"))
+    differing = stored(family.select("id", "differ").mapInArrow(_differing, "id long, token long")
+                       .join(family.drop("differ"), "id"), "differing")
+    rarity = differing.groupBy("leader", "token").agg(F.count(F.lit(1)).alias("c"))
     place = F.row_number().over(Window.partitionBy("id").orderBy("c", "token"))
-    tokens = tokens.join(rarity, ["leader", "token"]).where("c > 1").withColumn(
+    tokens = differing.join(rarity, ["leader", "token"]).where("c > 1").withColumn(
         "left", F.count(F.lit(1)).over(Window.partitionBy("id")) + 1 - place)
     tokens = stored(tokens, "ordered")
+    drop_stored(differing)
     mine = mine.join(plain, "id", "left_anti").select("id")
     left = tokens.join(mine, "id", "left_semi").select("leader", "token", "id", "l", "n", "at", "short", "left")
     right = tokens.select("leader", "token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("at").alias("b_at"),
@@ -279,11 +283,14 @@ def family_repeats(open_: DataFrame, family: DataFrame, sets: DataFrame) -> Data
              .where((F.col("b_at") < F.col("at")) & F.expr(compatible("n", "m"))
                     & F.expr("short + b_short - l <= 9 * least(`left`, b_left)"))
              .select(F.col("id").alias("a"), "b"))
-    return stored(plain.union(verified(pairs, sets).select("a")).distinct(), "repeats")
+    links = verified(pairs, sets)
+    out = stored(plain.union(links.select("a")).distinct(), "repeats")
+    drop_stored(plain, tokens, links)
+    return out
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, hash (of the text), line: the lines that go. One row per line and text."""
+    """doc_id, hash (of the text), line: the lines that go. One row per line and text; stored."""
     texts = _keyed(docs, doc_id, text)
     rows = stored(texts.mapInArrow(_lines, _LINES), "lines", TEXT_ROWS)
     first = stored(rows.groupBy("id").agg(F.min(_order()).alias("at"), F.first("n").alias("n"),
@@ -295,7 +302,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     # One shuffle by line: its size and place, its postings once, and the part of its prefix that others hold.
     found = found.join(first.select("id", "n", "at"), "id").distinct()
     part = F.count(F.lit(1)).over(Window.partitionBy("id")) / (F.floor(F.col("n") / 5) + 1)
-    found = stored(found.withColumn("part", part), "shared", TEXT_ROWS)
+    found = shared = stored(found.withColumn("part", part), "shared", TEXT_ROWS)
     # Two lines of a shingle stand for its others: the earliest one and the one that shares most of its prefix.
     line = F.struct("at", "id", "n", "place")
     leaders = (found.groupBy("token").agg(F.min(line).alias("x"), F.max_by(line, F.struct("part", "id")).alias("y"),
@@ -315,8 +322,10 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     of_b = counts.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("common").alias("d"))
     able = F.expr(can_overlap("common", "n", "d", "m"))
     likely = pairs.join(counts.withColumnRenamed("id", "a"), "a").join(of_b, "b").where(able).select("a", "b")
-    decided = verified(likely, sets).select("a").distinct()
-    found = stored(found.join(counts.select("id", "common"), "id"), "able")
+    links = verified(likely, sets)
+    decided = links.select("a").distinct()
+    found = able_lines = stored(found.join(counts.select("id", "common"), "id"), "able")
+    drop_stored(shared)
     open_ = found.join(decided.withColumnRenamed("a", "id"), "id", "left_anti")
     family = near_families(found, open_, sets)
     placed = family.join(counts.select("id", "n"), "id").join(first.select("id", "at"), "id")
@@ -329,12 +338,15 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rest = (open_.join(earlier, "token")
             .where(possible & able & F.expr("leader is null or of is null or leader <> of"))
             .select(F.col("id").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti"))
-    near = (decided.withColumnRenamed("a", "id").union(repeats)
-            .union(verified(rest, sets).select(F.col("a").alias("id"))).distinct())
+    last = verified(rest, sets)
+    drop_stored(able_lines, pairs, sets, family)
+    near = decided.withColumnRenamed("a", "id").union(repeats).union(last.select(F.col("a").alias("id"))).distinct()
     marks = first.join(near.withColumn("near", F.lit(True)), "id", "left").where("c > 1 or near")
     gone = rows.select("doc_id", "hash", "line", "id").join(marks.select("id", "at", "near"), "id")
-    return gone.where(F.coalesce("near", F.lit(False)) | (_order() != F.col("at"))).select(
-        "doc_id", "hash", "line").distinct()
+    gone = stored(gone.where(F.coalesce("near", F.lit(False)) | (_order() != F.col("at"))).select(
+        "doc_id", "hash", "line").distinct(), "gone-lines")
+    drop_stored(rows, first, links, repeats, last)
+    return gone
 
 
 def without_lines(text: str, lines: set[int]) -> str:
@@ -347,9 +359,12 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     These are the number of lines with words and how many of them went.
     """
-    gone = removed_lines(docs, doc_id, text).groupBy("doc_id", "hash").agg(F.collect_set("line").alias("gone"))
+    small_batches(docs.sparkSession)
+    lines = removed_lines(docs, doc_id, text)
+    gone = lines.groupBy("doc_id", "hash").agg(F.collect_set("line").alias("gone"))
     i, h, g, n_lines, n_removed = unused(docs, "gone_id", "gone_hash", "gone", "n_lines", "n_removed")
     gone = stored(gone.select(F.col("doc_id").alias(i), F.col("hash").alias(h), F.col("gone").alias(g)), "gone")
+    drop_stored(lines)
     key, here = unused(docs.withColumn(i, F.lit(0)).withColumn(h, F.lit(0)).withColumn(g, F.lit(0)), "key", "here")
     held = docs.withColumn(key, docs[doc_id].cast("long")).withColumn(here, F.xxhash64(docs[text]))
     held = packed_texts(held, text)
