@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.llm.shared import table
+from tessera.llm.shared import small_batches, table
 
 TIERS = (1024, 512, 256, 128)
 END_ID = 0
@@ -182,6 +182,7 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     ``sequence_id``, ``offset`` in the sequence, ``tier`` (the sequence's length) and
     ``step_group``; with ``keep_ids`` also ``ids``, the little-endian bytes themselves.
     """
+    small_batches(docs.sparkSession)
     tail = SCHEMA_TAIL + ([("ids", T.BinaryType())] if keep_ids else [])
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType)]
                           + [T.StructField(n, t) for n, t in tail])

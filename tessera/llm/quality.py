@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.shared import stored, table, unused
+from tessera.llm.shared import small_batches, stored, table, unused
 from tessera.llm.words import SLICE_BYTES, Slice, mixed, run_hashes, slices
 
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -234,6 +234,7 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Two passes over ``docs``: one for the pattern counts, one that filters.
     """
+    small_batches(docs.sparkSession)
     featured, names = with_features(docs, text)
     model = label_model(with_features(docs.select(text), text)[0], dict(zip(FEATURES, FEATURES)))
     marked = judged(featured, names, model)
