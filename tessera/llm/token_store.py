@@ -36,11 +36,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.packing import default_tokenizer, encoder
-from tessera.llm.shared import arrow_rows, scratch_path, stored, table
+from tessera.llm.shared import scratch_path, stored, table, writing
 
 MAGIC, END_ID = b"TOKSEG01", 2
-SHARD_BYTES = 32 << 20    # of text in a shard, about
-SEGMENT_IDS = 1 << 22     # a segment ends behind the document that reaches this
+SHARD_BYTES = 16 << 20    # of text in a shard, about
+SEGMENT_IDS = 1 << 20     # a segment ends behind the document that reaches this
 SAMPLE = 256              # every so many ones of the upper part are sampled
 TEXT_ROWS = 500           # rows of an Arrow batch of texts or their ids
 BLOCK = 1024              # shards whose ids are summed together
@@ -273,7 +273,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             .repartitionById(shards, F.col("shard"))
             .sortWithinPartitions("shard", F.col("doc_id").asc_nulls_last(), "hash")
             .mapInArrow(built, "segment binary"))
-    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+    with writing(docs.sparkSession, TEXT_ROWS):
         rows.select(F.col("segment").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
 
 
@@ -320,8 +320,7 @@ def summed_before(sizes: DataFrame) -> DataFrame:
 
 def read_tokens(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens, ids_crc32 (and ids) of each document in the files."""
-    with arrow_rows(spark, 1):  # a file is one row
-        rows = stored(read_segments(spark, path, keep_ids), "documents")
+    rows = stored(read_segments(spark, path, keep_ids), "documents", 1)  # a file is one row
     base = summed_before(rows.groupBy("shard", "segment").agg(F.sum("n_tokens").alias("n")))
     return rows.join(base, ["shard", "segment"]).select(
         "doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * keep_ids)
