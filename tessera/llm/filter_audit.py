@@ -64,6 +64,7 @@ def failures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part:
     # Copies of a text meet as partial minima; only texts with copies come back to the rows.
     first = (own.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("digest", "first"))
+    first = stored(first, "first")  # then both sides of the join are plain shuffles, which AQE can split
     again = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     return own.join(first, "digest", "left").select(
         "doc_id", "part", (F.col("own") + F.when(again, F.lit(16)).otherwise(F.lit(0))).alias("mask"))
