@@ -20,7 +20,8 @@ from tessera.llm.line_dedup import drop_repeated_lines
 from tessera.llm.mixing import mix
 from tessera.llm.packing import default_tokenizer, pack
 from tessera.llm.quality import keep_good
-from tessera.llm.shared import stored, table
+from tessera.llm.shared import drop_stored, stored, table
+from tessera.llm.tokensets import TEXT_ROWS
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for k, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"stage{k}")
+        docs = stored(stage(spark, docs, sf_dir), f"stage{k}", TEXT_ROWS)
+        drop_stored(*before)
+        before = [docs]
     return docs
