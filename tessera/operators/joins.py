@@ -8,18 +8,14 @@ unkeyed it pairs the row with *every* valid version (the original semantics).
 Strategies for the unkeyed form:
 
 * ``broadcast``: nested-loop join with the version side broadcast.  Chosen only
-  after a bounded row count proves the side small (``max_broadcast_rows``).
-* ``bucket``: time-bucket equi join.  The fact side gets
-  ``floor(epoch / width)``, clamped to the range the versions span; each
-  version is exploded over the buckets its interval covers within that range,
-  so open intervals end at the last bucket instead of exploding without
-  bound.  The range comes from one aggregate over the versions, never from a
-  pass over the facts.  The join is then an ordinary shuffle join on the
-  bucket plus the residual test; AQE splits a hot bucket.
-
-Dimension look-ups (``lookup_join``) broadcast the dimension only behind the
-same row-count check, otherwise they leave the choice to AQE, which switches
-to a broadcast at run time from real sizes and splits skewed keys.
+  after its size in bytes proved small (``max_broadcast_bytes``).
+* ``index`` (also ``bucket``): equi join on the nodes of an interval index
+  (``operators.interval_index``); copies of a version grow with the logarithm
+  of its length, whatever the number of versions.
+
+Look-ups (``lookup_join``) and keyed joins broadcast a side only if the
+optimizer's own estimate of its bytes is small.  Otherwise AQE decides at run
+time, by the bytes that its shuffle has written, and splits skewed keys.
 """
 
 from __future__ import annotations
@@ -29,19 +25,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
-DEFAULT_MAX_NESTED_LOOP_ROWS = 10_000
-DEFAULT_BUCKET_SECONDS = 86_400 * 7
+from tessera.operators.interval_index import DEFAULT_UNIT_SECONDS, interval_join
 
+DEFAULT_MAX_BROADCAST_BYTES = 8 << 20
+DEFAULT_MAX_NESTED_LOOP_BYTES = 1 << 20
+DEFAULT_BUCKET_SECONDS = DEFAULT_UNIT_SECONDS
 
-def rows_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1 rows)."""
-    return df.limit(limit + 1).count() <= limit
 
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the size of ``df`` (no job runs)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; else leave it to AQE."""
-    return F.broadcast(df) if rows_at_most(df, max_rows) else df
+
+def bytes_at_most(df: DataFrame, limit: int) -> bool:
+    """True when the rows of ``df`` take at most ``limit`` bytes: measured, on no more rows than could fit."""
+    fixed = 16 + 8 * len(df.columns)
+    width = F.lit(fixed)
+    for f in df.schema.fields:
+        if f.dataType.typeName() in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+    measured = df.limit(limit // fixed + 1).agg(F.sum(width.cast("long"))).first()[0]
+    return (measured or 0) <= limit
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a side whose estimated bytes are few, as Spark's own threshold judges it; else left to AQE."""
+    return F.broadcast(df) if planned_bytes(df) <= max_bytes else df
 
 
 def interval_contains(ts: Column, start: Column, end: Column) -> Column:
@@ -57,8 +66,8 @@ def temporal_join(facts: DataFrame, versions: DataFrame, ts: str, start: str, en
                   on: Sequence[str] | Sequence[tuple[str, str]] | None = None,
                   how: str = "left", strategy: str = "auto",
                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                  max_nested_loop_rows: int = DEFAULT_MAX_NESTED_LOOP_ROWS,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                  max_nested_loop_bytes: int = DEFAULT_MAX_NESTED_LOOP_BYTES,
+                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Join fact rows to the versions valid at ``facts[ts]``.
 
     Column names of the two sides must not overlap except for the ``on`` keys
@@ -75,15 +84,15 @@ def temporal_join(facts: DataFrame, versions: DataFrame, ts: str, start: str, en
         same_name_keys = {rk for lk, rk in pairs if lk == rk}
         for lk, rk in pairs:
             cond = cond & (F.col(f"_f.{lk}") == F.col(f"_v.{rk}"))
-        right = broadcast_if_small(v, max_broadcast_rows)
+        right = broadcast_if_small(v, max_broadcast_bytes)
         joined = f.join(right, cond, how)
     else:
         if strategy == "auto":
-            strategy = "broadcast" if rows_at_most(versions, max_nested_loop_rows) else "bucket"
+            strategy = "broadcast" if bytes_at_most(versions, max_nested_loop_bytes) else "index"
         if strategy == "broadcast":
             joined = f.join(F.broadcast(v), cond, how)
-        elif strategy == "bucket":
-            return _bucket_temporal_join(facts, versions, ts, start, end, how, bucket_seconds)
+        elif strategy in ("index", "bucket"):
+            return interval_join(facts, versions, ts, start, end, how, bucket_seconds)
         else:
             raise ValueError(f"unknown strategy {strategy!r}")
     cols = [F.col(f"_f.{c}") for c in facts.columns]
@@ -91,47 +100,8 @@ def temporal_join(facts: DataFrame, versions: DataFrame, ts: str, start: str, en
     return joined.select(*cols)
 
 
-def _bucket_temporal_join(facts: DataFrame, versions: DataFrame, ts: str, start: str,
-                          end: str, how: str, width: int) -> DataFrame:
-    bucket_col = "_tj_bucket"
-
-    def seconds(c: Column) -> Column:
-        return F.unix_seconds(c.cast("timestamp"))
-
-    def bucket_of(c: Column) -> Column:
-        return F.floor(seconds(c) / F.lit(width)).cast("long")
-
-    # Bucket range from the version side only (no pass over the facts):
-    # from the earliest start to the latest start or end.  Fact timestamps are
-    # clamped into it: earlier facts match nothing anyway, later facts share
-    # the last bucket with every version still open there (AQE splits that
-    # bucket if it is hot).
-    lo_b, hi_b = versions.agg(
-        F.min(bucket_of(F.col(start))),
-        F.max(F.greatest(bucket_of(F.col(start)),
-                         F.floor((seconds(F.col(end)) - 1) / F.lit(width)).cast("long")))).first()
-    if lo_b is None:  # no version has a start: nothing can match
-        lo_b = hi_b = 0
-    last_closed = F.floor((seconds(F.col(end)) - 1) / F.lit(width)).cast("long")
-    spread = (versions
-              .filter(F.col(start).isNotNull())
-              .withColumn("_tj_first", F.greatest(bucket_of(F.col(start)), F.lit(lo_b)))
-              .withColumn("_tj_last", F.least(F.coalesce(last_closed, F.lit(hi_b)), F.lit(hi_b)))
-              .filter(F.col("_tj_last") >= F.col("_tj_first"))
-              .withColumn(bucket_col, F.explode(F.sequence("_tj_first", "_tj_last")))
-              .drop("_tj_first", "_tj_last"))
-    clamped = F.least(F.greatest(bucket_of(F.col(ts)), F.lit(lo_b)), F.lit(hi_b))
-    f = facts.withColumn(bucket_col, clamped).alias("_f")
-    v = spread.alias("_v")
-    cond = ((F.col(f"_f.{bucket_col}") == F.col(f"_v.{bucket_col}"))
-            & interval_contains(F.col(f"_f.{ts}"), F.col(f"_v.{start}"), F.col(f"_v.{end}")))
-    joined = f.join(v, cond, how)
-    cols = [F.col(f"_f.{c}") for c in facts.columns] + [F.col(f"_v.{c}") for c in versions.columns]
-    return joined.select(*cols)
-
-
 def lookup_join(facts: DataFrame, dim: DataFrame, key: str | Sequence[str], how: str = "left",
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Equi join on shared key name(s) (USING semantics: one copy of the key)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return facts.join(broadcast_if_small(dim, max_broadcast_rows), on=keys, how=how)
+    return facts.join(broadcast_if_small(dim, max_broadcast_bytes), on=keys, how=how)

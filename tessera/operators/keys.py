@@ -3,15 +3,16 @@
 ``assign_keys`` gives dense keys ``base+1 .. base+n`` in the order of the
 given columns without a single-partition window:
 
-1. range-partition by the order columns and sort within partitions (one
-   shuffle, spread over all tasks);
-2. ``checkpoint()`` to the shared checkpoint folder: partition contents and
-   order are now fixed, so the two passes below see the same rows even if an
-   executor is lost and tasks rerun;
-3. count rows per partition (a table of at most ``numPartitions`` rows) and
-   turn the counts into running offsets;
-4. broadcast the offsets (bounded by the partition count) and add the row's
-   position inside its partition, taken from ``monotonically_increasing_id``.
+1. write the input once under the checkpoint root: it is evaluated a single
+   time, whatever the passes below read again;
+2. range-partition by the order columns (the sampling pass reads the stored
+   rows), sort within partitions and write that table: its files, in the order
+   of their task numbers, hold the rows in key order;
+3. count rows per file and turn the counts into running offsets (one row per
+   file);
+4. a row's key is its file's offset plus its position in the file, which the
+   scan gives as ``_metadata.row_index``: positions are stored, so tasks that
+   rerun after the loss of an executor find the same ones.
 
 ``latest_per_key`` keeps one row per key with a max-struct aggregate instead
 of a window: the aggregate combines map-side, so a key holding a third of all
@@ -26,7 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType, DataType
 
-_PID, _MID, _OFF, _CNT = "_k_pid", "_k_mid", "_k_off", "_k_cnt"
+from tessera.session import stored
+
 
 
 def assign_keys(df: DataFrame, order_by: Sequence[str], key_col: str, base: int = 0,
@@ -39,21 +41,24 @@ def assign_keys(df: DataFrame, order_by: Sequence[str], key_col: str, base: int
     """
     # A hash of the whole row breaks ties deterministically, so a value shared
     # by many rows is spread over several range partitions instead of one.
-    order = [F.col(c) for c in order_by] + [F.xxhash64(*[F.col(c) for c in df.columns])]
+    columns = df.columns
+    tail = "_" * max([0, *(len(c) for c in columns)])  # longer than any name of the input's
+    file_col, row_col, offset_col, count_col = (f"{x}{tail}" for x in ("file", "row", "offset", "count"))
+    once = stored(df, "keys-in")
+    order = [F.col(c) for c in order_by] + [F.xxhash64(*[F.col(c) for c in columns])]
     # Without an explicit count AQE sizes the range partitions (it only merges
     # neighbouring ranges, so the order across partitions is kept).
-    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-    ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
-    placed = ranged.select("*", F.spark_partition_id().alias(_PID),
-                           F.monotonically_increasing_id().alias(_MID))
-    counts = placed.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    # Running offsets over the per-partition counts: at most n rows, one task.
-    running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(running), F.lit(0)).alias(_OFF))
-    pos_in_part = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    keyed = placed.join(F.broadcast(offsets), _PID, "inner")
-    return (keyed.withColumn(key_col, (F.lit(base) + F.col(_OFF) + pos_in_part + 1).cast("long"))
-            .drop(_PID, _MID, _OFF))
+    ranged = once.repartitionByRange(num_partitions, *order) if num_partitions else once.repartitionByRange(*order)
+    in_order = stored(ranged.sortWithinPartitions(*order), "keys-sorted", maxRecordsPerFile=0)
+    placed = in_order.select("*", F.col("_metadata.file_name").alias(file_col), F.col("_metadata.row_index").alias(row_col))
+    counts = placed.groupBy(file_col).agg(F.count(F.lit(1)).alias(count_col))
+    task = F.regexp_extract(file_col, r"^part-(\d+)", 1).cast("long")
+    # Running offsets over the per-file counts: at most one row per task, in one task.
+    running = Window.orderBy(task, file_col).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(file_col, F.coalesce(F.sum(count_col).over(running), F.lit(0)).alias(offset_col))
+    keyed = placed.join(F.broadcast(offsets), file_col, "inner")
+    return (keyed.withColumn(key_col, (F.lit(base) + F.col(offset_col) + F.col(row_col) + 1).cast("long"))
+            .select(*columns, key_col))
 
 
 def _orderable(dt: DataType) -> bool:

@@ -288,8 +288,11 @@ FROM part""",
 
     "ingest_csv_rescue": """
 SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_name AS product_name,
-       CASE WHEN p_size BETWEEN 39 AND 1000000000 THEN NULL ELSE p_type END AS category,
-       CASE WHEN p_size BETWEEN 26 AND 38 THEN '{"color":"' || p_brand || '"}' END AS _rescue
+       CASE WHEN p_size BETWEEN 24 AND 29 OR p_size BETWEEN 36 AND 45 THEN NULL ELSE p_type END AS category,
+       CASE WHEN p_size BETWEEN 17 AND 23 THEN '{"color":"' || p_brand || '"}'
+            WHEN p_size BETWEEN 30 AND 35 THEN '{"_c3":"' || p_brand || '","_c4":"' || p_size || '"}'
+            WHEN p_size BETWEEN 41 AND 45 THEN '{"_c2":"' || p_size || '","product_name_3":"' || p_brand || '"}'
+            WHEN p_size > 45 THEN '{"_meta_file":"' || p_size || '","_rescue":"' || p_brand || '"}' END AS _rescue
 FROM part""",
 
     "ingest_json_rescue": f"""
@@ -328,4 +331,69 @@ SELECT 'gold.category_counts' AS table_name, 'CREATE OR REPLACE TABLE' AS operat
        CAST(count(DISTINCT p_type) AS VARCHAR) AS numOutputRows FROM part""",
 
     "medallion_two_runs": f"{_FACT_UNKEYED}{_SUMMARY}",
+    "medallion_restart": f"{_FACT_UNKEYED}{_SUMMARY}",
+    "medallion_customers": f"{_FACT_KEYED}{_SUMMARY}",
+    "sales_summary_state": f"{_FACT_KEYED}{_SUMMARY}",
+
+    "audit_matches_tables": """
+WITH n AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT p_partkey) AS BIGINT) AS items FROM part),
+k(kind, writes, copies) AS (VALUES ('clustered', 1, 1), ('partitioned', 1, 1), ('interleaved', 1, 1), ('append', 2, 2),
+  ('append_partitioned', 2, 2), ('publish', 2, 1), ('dynamic', 2, 1))
+SELECT kind, CAST(writes AS BIGINT) AS writes, CAST(writes * n AS BIGINT) AS audited_rows,
+       CAST(copies * n AS BIGINT) AS stored_rows, items FROM k, n""",
+
+    "rejected_customers": f"""
+WITH {_CUSTOMERS[1:]},
+out AS (
+  SELECT CASE WHEN k % 17 = 4 THEN 'no customer_id' ELSE 'accepted' END AS outcome,
+         CASE WHEN k % 17 <> 4 THEN customer_id END AS customer_id, name FROM cust
+  UNION ALL SELECT 'unreadable document', NULL, n_name FROM nation)
+SELECT outcome, customer_id, name, CAST(count(*) OVER (PARTITION BY outcome) AS BIGINT) AS counted FROM out""",
+
+    "scd2_initial_start": f"""
+WITH {_DIM2[1:]}
+SELECT customer_key, customer_id, name,
+       CASE WHEN start_date < TIMESTAMP '1998-06-01 00:00:00' OR customer_id NOT IN (SELECT customer_id FROM dim1)
+            THEN TIMESTAMP '1980-01-01 00:00:00' ELSE start_date END AS start_date, end_date, is_current
+FROM dim2""",
+
+    "scd2_repeated_ids": f"""
+WITH {_DIM2[1:]}
+SELECT customer_key, customer_id, name, hash_value, start_date, end_date, is_current FROM dim2""",
+
+    "scd2_default_now": f"""
+WITH {_DIM2[1:]}
+SELECT CAST(count(*) FILTER (start_date >= TIMESTAMP '1998-06-01 00:00:00') AS BIGINT) AS opened,
+       CAST(count(*) FILTER (end_date IS NOT NULL) AS BIGINT) AS closed, CAST(1 AS BIGINT) AS times
+FROM dim2""",
+
+    "sales_fact_dedupe": f"""{_FACT_KEYED.replace("FROM silver_tx t", "FROM (SELECT DISTINCT order_id, item_id, quantity, price, order_timestamp, customer_id FROM silver_tx) t")}
+SELECT customer_key, upper(product_category) AS product_category, CAST(count(*) AS BIGINT) AS fact_rows,
+       CAST(sum(line_total) AS DECIMAL(31,2)) AS revenue, CAST(sum(quantity) AS BIGINT) AS units
+FROM fact GROUP BY 1, 2""",
+
+    "append_evolved": """
+SELECT p_partkey, CASE WHEN p_size <= 25 THEN p_name END AS p_name, p_type,
+       CASE WHEN p_size > 25 THEN p_brand END AS p_brand, CASE WHEN p_size > 25 THEN p_size END AS p_size
+FROM part""",
+
+    "insert_positional": """
+SELECT p_name AS a, p_type AS b FROM part UNION ALL SELECT p_brand, p_name FROM part""",
+
+    "create_or_append": """
+SELECT p_partkey, p_type, 'CREATE TABLE AS SELECT, WRITE' AS operations FROM part
+UNION ALL SELECT p_partkey, p_type, 'CREATE TABLE AS SELECT, WRITE' FROM part""",
+
+    "lineage_columns": """
+SELECT TIMESTAMP '2024-05-06 07:08:09' AS _ingest_timestamp, CAST(0 AS BIGINT) AS _batch_id,
+       CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS with_file, CAST(8 AS BIGINT) AS files FROM events""",
+
+    "summary_first_page": f"{_FACT_UNKEYED}{_SUMMARY} ORDER BY order_date DESC, region LIMIT 200",
+
+    "temporal_join_indexed": """
+WITH d AS (SELECT o_orderdate, CAST(count(*) AS BIGINT) AS orders FROM orders GROUP BY 1)
+SELECT o_orderdate, orders, CAST(count(l_shipdate) AS BIGINT) AS lines,
+       CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS quantity
+FROM d LEFT JOIN lineitem ON o_orderdate >= l_shipdate AND o_orderdate < l_shipdate + to_days(CAST(l_quantity AS INTEGER))
+GROUP BY 1, 2""",
 }

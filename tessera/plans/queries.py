@@ -10,18 +10,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 import dataclasses
 import uuid
 
 from tessera.functions import clean
-from tessera.operators import joins, keys, scd2
-from tessera.plans import retail, scenarios
+from tessera.operators import distinct_state, joins, keys, layout, rejects, scd2
+from tessera.plans import gold, retail, scenarios
+from tessera.plans.gold import build_sales_fact
 from tessera.plans.runner import PipelineConfig, run_pipeline
-from tessera.plans.silver import build_products
+from tessera.plans.silver import build_products, build_transactions
 from tessera.schemas import CUSTOMERS_RAW, PRODUCTS_RAW
-from tessera.session import configure_session, scratch_dir
-from tessera.sources import feeds
+from tessera.session import configure_session, scratch_dir, stored
+from tessera.sources import feeds, tables
 from tessera.sources.audit import audit_history, audited_write, latest_audit
 from tessera.sources.tables import append_table, create_layers, overwrite_table
 from tessera.streaming.ingest import FeedSpec, ingest, read_bronze
@@ -216,7 +218,7 @@ def q_ingest_csv_rescue(spark, sf_dir):
     root = scratch_dir(spark, "csv")
     scenarios.write_product_layouts(spark, sf_dir, f"{root}/landing")
     spec = FeedSpec("products", f"{root}/landing", PRODUCTS_RAW, "csv", f"{root}/bronze",
-                    f"{root}/checkpoint")
+                    f"{root}/checkpoint", options={"recursiveFileLookup": "true"})
     return _ingest_twice(spark, spec).select("item_id", "product_name", "category", "_rescue")
 
 
@@ -234,7 +236,6 @@ def q_stream_append_once(spark, sf_dir):
     root = scratch_dir(spark, "events")
     scenarios.write_events_csv(spark, sf_dir, f"{root}/landing")
     names = feeds.table(spark, sf_dir, "events").columns
-    from pyspark.sql.types import StringType, StructField, StructType
     schema = StructType([StructField(n, StringType(), True) for n in names])
     spec = FeedSpec("events", f"{root}/landing", schema, "csv", f"{root}/bronze", f"{root}/checkpoint",
                     max_files_per_trigger=3)
@@ -295,6 +296,245 @@ def q_medallion_two_runs(spark, sf_dir):
     return spark.table(f"{cfg.prefix}gold.daily_sales_summary")
 
 
+class _Interrupted(RuntimeError):
+    pass
+
+
+def q_medallion_restart(spark, sf_dir):
+    """As ``medallion_two_runs``, but every run is interrupted at one step after the other and begun again."""
+    root = scratch_dir(spark, "restart")
+    landing = f"{root}/landing"
+    cfg = PipelineConfig(root=f"{root}/lake", landing=landing, prefix=f"r{uuid.uuid4().hex[:8]}_",
+                         now=retail.FIRST_LOAD)
+
+    def until(step: str, after: bool):
+        def hook(name: str, done: bool) -> None:
+            if name.endswith(step) and done == after:
+                raise _Interrupted(name)
+        return hook
+
+    def interrupted(config: PipelineConfig, stops) -> None:
+        for step, after in stops:
+            try:
+                run_pipeline(spark, dataclasses.replace(config, on_step=until(step, after)))
+            except _Interrupted:
+                continue
+            raise AssertionError(f"the run did not come to {step}")
+        run_pipeline(spark, config)
+
+    scenarios.write_retail_landing(spark, sf_dir, landing, customers="nation")
+    interrupted(cfg, [("silver.customers_scd2", False), ("silver.transactions", True), ("gold.daily_sales_fact", False)])
+    scenarios.write_retail_landing(spark, sf_dir, landing, customers="nation", changed=True,
+                                   transactions=False, products=False)
+    interrupted(dataclasses.replace(cfg, now=retail.NATION_CHANGE),
+                [("silver.customers_scd2", True), ("gold.daily_sales_summary", False)])
+    return spark.table(f"{cfg.prefix}gold.daily_sales_summary")
+
+
+def q_medallion_customers(spark, sf_dir):
+    """The whole customer table through the pipeline, keyed; the second run writes only the order dates
+    that its customer changes touch."""
+    root = scratch_dir(spark, "customers")
+    landing = f"{root}/landing"
+    scenarios.write_retail_landing(spark, sf_dir, landing, customers="customer", with_customer=True)
+    cfg = PipelineConfig(root=f"{root}/lake", landing=landing, prefix=f"c{uuid.uuid4().hex[:8]}_",
+                         now=retail.FIRST_LOAD, customer_on=["customer_id"], fact_mode="changes")
+    run_pipeline(spark, cfg)
+    scenarios.write_retail_landing(spark, sf_dir, landing, customers="customer", changed=True,
+                                   transactions=False, products=False)
+    run_pipeline(spark, dataclasses.replace(cfg, now=retail.CUSTOMER_CHANGE))
+    return spark.table(f"{cfg.prefix}gold.daily_sales_summary")
+
+
+def q_audit_matches_tables(spark, sf_dir):
+    """Audited and stored rows of each kind of write: laid out, in folders, appended, published, evolved."""
+    root = scratch_dir(spark, "counts")
+    layer = create_layers(spark, root=f"{root}/warehouse", prefix=f"t{uuid.uuid4().hex[:8]}_")
+    audit = f"{root}/meta/history"
+    products = build_products(feeds.as_bronze(feeds.products_raw(spark, sf_dir), "products_raw.csv"))
+    silver = layer["silver"]
+
+    def clustered(d):
+        return tables.cluster_layout(d, ["category", "item_id"])
+
+    def by_folder(d):
+        return tables.partition_layout(d, ["category"], ["item_id"])
+
+    kinds = {
+        "clustered": [(lambda d, t: overwrite_table(d, t), clustered)],
+        "partitioned": [(lambda d, t: tables.write_version(d, t, partition_by=["category"]), by_folder)],
+        "interleaved": [(lambda d, t: overwrite_table(d, t),
+                         lambda d: layout.interleaved_layout(d, ["category", "product_name", "item_id"]))],
+        "append": [(lambda d, t: tables.create_or_append(d, t), clustered)] * 2,
+        "append_partitioned": [(lambda d, t: tables.create_or_append(d, t, partition_by=["category"]), by_folder)] * 2,
+        "publish": [(lambda d, t: overwrite_table(d, t), None),
+                    (lambda d, t: tables.publish(d, t), None)],
+        "dynamic": [(lambda d, t: tables.write_version(d, t, partition_by=["category"]), by_folder),
+                    (lambda d, t: tables.overwrite_partitions(d, t), by_folder)],
+    }
+    stored_rows = None
+    for kind, writes in kinds.items():
+        table = f"{silver}.{kind}"
+        for how, laid_out in writes:
+            audited_write(products, lambda d, how=how, table=table: how(d, table), kind, "WRITE", audit, layout=laid_out)
+        rows = spark.table(table).select(F.lit(kind).alias("kind"), "item_id")
+        stored_rows = rows if stored_rows is None else stored_rows.unionByName(rows)
+    stored_rows = stored_rows.groupBy("kind").agg(F.count(F.lit(1)).alias("stored_rows"),
+                                                  F.count_distinct("item_id").alias("items"))
+    audited = audit_history(spark, audit).groupBy(F.col("table_name").alias("kind")).agg(
+        F.sum(F.col("numOutputRows").cast("bigint")).alias("audited_rows"), F.count(F.lit(1)).alias("writes"))
+    return audited.join(stored_rows, "kind")
+
+
+def _customers_with_rejects(spark, sf_dir):
+    """The customer feed, every 17th without an id, and per nation one document that cannot be read."""
+    good = feeds.as_bronze(feeds.customers_raw(spark, sf_dir), "customers_1.json")
+    key = F.col("customer_id").cast("long")
+    good = good.withColumn("customer_id", F.when(key % 17 == 4, None).otherwise(F.col("customer_id")))
+    bad = feeds.as_bronze(feeds.table(spark, sf_dir, "nation").select(
+        F.lit(None).cast("string").alias("customer_id"), F.col("n_name").alias("name"),
+        F.lit(None).cast(CUSTOMERS_RAW["contact"].dataType).alias("contact"), F.lit(None).cast("string").alias("region")),
+        "broken.json")
+    rescue = F.to_json(F.struct(F.concat(F.lit("{"), F.col("name")).alias("_corrupt_record")))
+    return good.unionByName(bad.withColumn("_rescue", rescue))
+
+
+def q_rejected_customers(spark, sf_dir):
+    split = rejects.split_rows(_customers_with_rejects(spark, sf_dir), scd2.customer_reject_reasons(),
+                               f"{scratch_dir(spark, 'rejects')}/customers")
+    staged = scd2.stage_customers(split.accepted, now=retail.FIRST_LOAD).select(
+        F.lit("accepted").alias("outcome"), "customer_id", "name")
+    out = split.rejected.select(F.array_join(rejects.REASONS_COL, ", ").alias("outcome"), "customer_id", "name")
+    counts = {"accepted": split.accepted_rows, **split.by_reason}
+    told = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+    return staged.unionByName(out).withColumn("counted", told[F.col("outcome")].cast("long"))
+
+
+def q_scd2_initial_start(spark, sf_dir):
+    """New customers begin long before their load, changed ones at it."""
+    dim = scd2.scd2_merge(scd2.empty_dimension(spark), _staged(spark, sf_dir, False), initial_start="1980-01-01 00:00:00")
+    dim = stored(dim, "dimension")
+    return scd2.scd2_merge(dim, _staged(spark, sf_dir, True), initial_start="1980-01-01 00:00:00").select(
+        "customer_key", "customer_id", "name", "start_date", "end_date", "is_current")
+
+
+def q_scd2_repeated_ids(spark, sf_dir):
+    """A load that names every customer twice, the later record with the changed name, merged without staging's own dedupe."""
+    old = feeds.as_bronze(feeds.customers_raw(spark, sf_dir), "customers_1.json", "2024-01-01 00:00:00")
+    new = feeds.as_bronze(feeds.customers_changed(spark, sf_dir), "customers_2.json", "2024-01-02 00:00:00")
+    twice = scd2.stage_customers(old.unionByName(new), now=retail.CUSTOMER_CHANGE, dedupe=False)
+    return scd2.scd2_merge(_initial_dim(spark, sf_dir), twice).select(
+        "customer_key", "customer_id", "name", "hash_value", "start_date", "end_date", "is_current")
+
+
+def q_scd2_default_now(spark, sf_dir):
+    """Without a load time one is taken per load: a version that ends and the one that follows share it."""
+    staged = scd2.stage_customers(feeds.as_bronze(feeds.customers_changed(spark, sf_dir), "customers_2.json"))
+    dim = scd2.scd2_merge(_initial_dim(spark, sf_dir), staged)
+    recent = F.abs(F.unix_seconds("start_date") - F.unix_seconds(F.current_timestamp())) < 3600
+    return dim.agg(F.count_if(recent & F.col("is_current")).alias("opened"),
+                   F.count_if(F.col("end_date").isNotNull()).alias("closed"),
+                   F.count_distinct(F.coalesce(F.col("end_date"), F.when(recent, F.col("start_date")))).alias("times"))
+
+
+def q_sales_fact_dedupe(spark, sf_dir):
+    """Products and transactions sent twice, counted once."""
+    first = feeds.as_bronze(feeds.products_raw(spark, sf_dir), "products_1.csv", "2024-01-01 00:00:00")
+    again = feeds.as_bronze(feeds.products_raw(spark, sf_dir).withColumn("category", F.upper("category")),
+                            "products_2.csv", "2024-01-02 00:00:00")
+    raw = feeds.transactions_raw(spark, sf_dir, with_customer=True)
+    sent = feeds.as_bronze(raw, "transactions_1.csv").unionByName(feeds.as_bronze(raw, "transactions_2.csv"))
+    fact = build_sales_fact(build_transactions(sent, extra_columns=["customer_id"]),
+                            retail.customer_dimension(spark, sf_dir), build_products(first.unionByName(again)),
+                            customer_on=["customer_id"],
+                            dedupe_keys={"transactions": ["order_id", "item_id", "quantity", "price"],
+                                         "products": ["item_id"]})
+    return fact.groupBy("customer_key", "product_category").agg(
+        F.count(F.lit(1)).alias("fact_rows"), F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units"))
+
+
+def _new_table(spark, name):
+    root = scratch_dir(spark, name)
+    layer = create_layers(spark, root=f"{root}/warehouse", prefix=f"t{uuid.uuid4().hex[:8]}_")
+    return f"{layer['silver']}.{name}"
+
+
+def q_append_evolved(spark, sf_dir):
+    """Two batches of different fields in one table."""
+    table = _new_table(spark, "parts")
+    part = feeds.table(spark, sf_dir, "part")
+    overwrite_table(part.where("p_size <= 25").select("p_partkey", "p_name", "p_type"), table)
+    append_table(part.where("p_size > 25 OR p_size IS NULL").select("p_brand", "p_partkey", "p_type", "p_size"), table,
+                 evolve=True)
+    return spark.table(table)
+
+
+def q_insert_positional(spark, sf_dir):
+    table = _new_table(spark, "positions")
+    part = feeds.table(spark, sf_dir, "part")
+    overwrite_table(part.select(F.col("p_name").alias("a"), F.col("p_type").alias("b")), table)
+    tables.insert_into(part.select(F.col("p_brand").alias("b"), F.col("p_name").alias("a")), table)
+    return spark.table(table)
+
+
+def q_create_or_append(spark, sf_dir):
+    table = _new_table(spark, "appended")
+    part = feeds.table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    done = [tables.create_or_append(part, table, ["p_type", "p_partkey"]) for _ in range(2)]
+    return spark.table(table).withColumn("operations", F.lit(", ".join(done)))
+
+
+def q_lineage_columns(spark, sf_dir):
+    """What the ingest adds to each row: load time, file, batch."""
+    root = scratch_dir(spark, "lineage")
+    scenarios.write_events_csv(spark, sf_dir, f"{root}/landing")
+    names = feeds.table(spark, sf_dir, "events").columns
+    schema = StructType([StructField(n, StringType(), True) for n in names])
+    spec = FeedSpec("events", f"{root}/landing", schema, "csv", f"{root}/bronze", f"{root}/checkpoint")
+    ingest(spark, spec, now="2024-05-06 07:08:09")
+    bronze = read_bronze(spark, spec.target_path)
+    in_landing = F.col("_source_file_name").contains(f"{root}/landing/") & F.col("_source_file_name").endswith(".csv")
+    return bronze.groupBy("_ingest_timestamp", "_batch_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(in_landing).alias("with_file"),
+        F.count_distinct("_source_file_name").alias("files"))
+
+
+def q_summary_first_page(spark, sf_dir):
+    """The first 200 lines of the report in its order: latest day first, regions by name."""
+    return retail.sales_summary(spark, sf_dir).limit(200)
+
+
+def q_temporal_join_indexed(spark, sf_dir):
+    """Lines on their way on each day that has orders: every line item is a version (a day in transit per
+    unit), far more than 10,000."""
+    days = feeds.table(spark, sf_dir, "orders").groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("orders"))
+    lines = feeds.table(spark, sf_dir, "lineitem", spread=True).select(
+        "l_quantity", F.col("l_shipdate").cast("timestamp").alias("shipped"),
+        F.date_add("l_shipdate", F.col("l_quantity").cast("int")).cast("timestamp").alias("received"))
+    found = joins.temporal_join(days.withColumn("day", F.col("o_orderdate").cast("timestamp")), lines, "day", "shipped",
+                                "received", strategy="index")
+    return found.groupBy("o_orderdate", "orders").agg(F.count("shipped").alias("lines"),
+                                                      F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("quantity"))
+
+
+def q_sales_summary_state(spark, sf_dir):
+    """The daily summary from a state that two feeds were merged into; the first feed is not read again.
+
+    Orders have lines in both feeds, so their distinct count cannot be added up."""
+    raw = feeds.transactions_raw(spark, sf_dir, with_customer=True, with_line=True)
+    dim, products = retail.customer_dimension(spark, sf_dir), retail.silver_products(spark, sf_dir)
+    groups, sums = ["order_date", "region"], ["line_total", "quantity"]
+    numbers, state = distinct_state.empty_numbers(spark, "order_id", "order_no"), None
+    for part in (F.col("line_number") % 2 == 1, F.col("line_number") % 2 == 0):
+        lines = build_transactions(feeds.as_bronze(raw.where(part), "t.csv"), extra_columns=["customer_id"])
+        fact = stored(build_sales_fact(lines, dim, products, customer_on=["customer_id"])
+                      .select("order_id", *groups, "line_total", F.col("quantity").cast("long").alias("quantity")), "feed")
+        numbers = stored(distinct_state.number_new(numbers, fact, "order_id", "order_no", ["order_date"]), "numbers")
+        new = distinct_state.state_of(fact, numbers, groups, "order_id", "order_no", sums)
+        state = stored(new if state is None else distinct_state.merged(state, new, groups, sums), "state")
+    return gold.summary_of_counts(distinct_state.counted(state, groups, sums, "orders_count"))
+
+
 QUERIES: dict[str, Query] = {
     "clean_title_case": q_clean_title_case,
     "clean_timestamp_utc": q_clean_timestamp_utc,
@@ -330,6 +570,21 @@ QUERIES: dict[str, Query] = {
     "audit_after_writes": q_audit_after_writes,
     "latest_audit": q_latest_audit,
     "medallion_two_runs": q_medallion_two_runs,
+    "medallion_restart": q_medallion_restart,
+    "medallion_customers": q_medallion_customers,
+    "audit_matches_tables": q_audit_matches_tables,
+    "rejected_customers": q_rejected_customers,
+    "scd2_initial_start": q_scd2_initial_start,
+    "scd2_repeated_ids": q_scd2_repeated_ids,
+    "scd2_default_now": q_scd2_default_now,
+    "sales_fact_dedupe": q_sales_fact_dedupe,
+    "append_evolved": q_append_evolved,
+    "insert_positional": q_insert_positional,
+    "create_or_append": q_create_or_append,
+    "lineage_columns": q_lineage_columns,
+    "summary_first_page": q_summary_first_page,
+    "temporal_join_indexed": q_temporal_join_indexed,
+    "sales_summary_state": q_sales_summary_state,
 }
 
 

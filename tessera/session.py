@@ -15,7 +15,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings (all are session-modifiable SQL confs).
 RUNTIME_CONF = {
@@ -78,6 +78,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _LOCAL_CHECKPOINT["dir"]
 
 
+def stored(df: DataFrame, name: str = "stored", **options) -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint root and read it back: computed once, lineage cut.
+
+    ``options`` go to the writer. The folder is removed when the session's JVM ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/tessera-{name}-{uuid.uuid4().hex[:12]}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    df.write.options(**options).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, name: str = "work") -> str:
     """A fresh folder under the checkpoint root, unique per call."""
     root = checkpoint_root(spark)

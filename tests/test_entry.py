@@ -38,7 +38,10 @@ def _norm(v):
 
 
 @pytest.mark.parametrize("name", ["silver_transactions", "scd2_second_load", "sales_summary",
-                                  "temporal_join_bucketed", "latest_per_key", "ingest_json_rescue"])
+                                  "temporal_join_bucketed", "latest_per_key", "ingest_json_rescue",
+                                  "ingest_csv_rescue", "audit_matches_tables", "rejected_customers",
+                                  "scd2_repeated_ids", "sales_fact_dedupe", "append_evolved", "assign_keys",
+                                  "temporal_join_indexed", "sales_summary_state"])
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in TABLES:

@@ -142,7 +142,7 @@ def test_hot_key_is_split_by_aqe_in_keyed_temporal_join(spark):
         vers = spark.range(501).select(
             F.when(F.col("id") == 500, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id").cast("string"))).alias("customer_id"),
             F.lit(dt.datetime(2024, 1, 1)).alias("s"), F.lit(None).cast("timestamp").alias("e"), F.col("id").alias("k"))
-        out = temporal_join(facts, vers, "ts", "s", "e", on=[("cid", "customer_id")], max_broadcast_rows=0)
+        out = temporal_join(facts, vers, "ts", "s", "e", on=[("cid", "customer_id")], max_broadcast_bytes=0)
         assert len(out.collect()) == 30000
         plan = out._jdf.queryExecution().executedPlan().toString()  # final adaptive plan
         assert "SortMergeJoin(skew=true)" in plan, plan

@@ -1,0 +1,226 @@
+"""The pipeline by change sets, interrupted, and run twice at once; bronze guards; rejects."""
+
+import dataclasses
+import json
+import os
+import threading
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import rejects
+from tessera.plans import retail, scenarios
+from tessera.plans.changes import affected_intervals, affected_items
+from tessera.plans.gold import build_sales_fact, build_sales_summary
+from tessera.plans.runner import PipelineConfig, fact_progress, run_pipeline
+from tessera.schemas import CUSTOMERS_RAW, PRODUCTS_RAW
+from tessera.sources.audit import audit_history
+from tessera.sources.tables import table_path
+from tessera.streaming.ingest import FeedSpec, SchemaRecord, ingest, read_bronze, write_batch
+
+SF = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="testdata not present")
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def config(workdir, landing, **more):
+    return PipelineConfig(root=f"{workdir}/lake", landing=landing, prefix=f"m{uuid.uuid4().hex[:6]}_",
+                          now=retail.FIRST_LOAD, **more)
+
+
+@needs_data
+def test_changes_equal_a_rebuild_and_leave_other_dates_alone(spark, workdir):
+    landing = f"{workdir}/landing"
+    scenarios.write_retail_landing(spark, SF, landing, customers="customer", with_customer=True)
+    cfg = config(workdir, landing, customer_on=["customer_id"], fact_mode="changes")
+    run_pipeline(spark, cfg)
+    fact = f"{cfg.prefix}gold.daily_sales_fact"
+    files = set(spark.table(fact).inputFiles())
+    # Nothing new: nothing is written.
+    again = run_pipeline(spark, dataclasses.replace(cfg, now="1990-01-02 00:00:00"))
+    assert again[fact] == 0 and set(spark.table(fact).inputFiles()) == files
+    # Customers change from a date on; a product is renamed; one order of an old date arrives late.
+    scenarios.write_retail_landing(spark, SF, landing, customers="customer", changed=True, transactions=False,
+                                   products=False)
+    with open(f"{landing}/transactions_raw/late.csv", "w") as f:
+        f.write("order_id,item_id,quantity,price,order_timestamp,corrupted_flag,customer_id\n"
+                "L1,1,3,$2.50,1992-02-03 04:15:00 Z,N,1\n")
+    run_pipeline(spark, dataclasses.replace(cfg, now=retail.CUSTOMER_CHANGE))
+    new = set(spark.table(fact).inputFiles())
+    kept = {f.split("order_date=")[1].split("/")[0] for f in files & new}
+    rewritten = {f.split("order_date=")[1].split("/")[0] for f in new - files}
+    assert "1992-02-03" in rewritten and not kept & rewritten
+    assert kept and max(kept - {"__HIVE_DEFAULT_PARTITION__"}) and all(
+        d >= "1998-06-01" or d == "1992-02-03" for d in rewritten)
+    twice = retail.customer_dimension(spark, SF)
+    whole = build_sales_fact(spark.table(f"{cfg.prefix}silver.transactions"), twice,
+                             spark.table(f"{cfg.prefix}silver.products"), customer_on=["customer_id"])
+    assert rows_of(spark.table(fact).select(*whole.columns)) == rows_of(whole)
+    assert rows_of(spark.table(f"{cfg.prefix}gold.daily_sales_summary")) == rows_of(build_sales_summary(whole))
+    # A product that changes: only the dates on which it was sold.
+    files = set(spark.table(fact).inputFiles())
+    with open(f"{landing}/products_raw/more.csv", "w") as f:
+        f.write("item_id,product_name,category\n1,again,Extra\n")
+    run_pipeline(spark, dataclasses.replace(cfg, now="1999-01-01 00:00:00"))
+    sold = {str(r[0]) for r in whole.where("item_id = '1'").select("order_date").distinct().collect()}
+    new = set(spark.table(fact).inputFiles())
+    assert {f.split("order_date=")[1].split("/")[0] for f in new - files} <= sold | {"__HIVE_DEFAULT_PARTITION__"}
+    assert spark.table(fact).where("product_category = 'Extra'").count() == whole.where("item_id = '1'").count()
+
+
+@needs_data
+def test_changes_are_found_again_after_an_interruption(spark, workdir):
+    landing = f"{workdir}/landing"
+    scenarios.write_retail_landing(spark, SF, landing, customers="nation")
+    cfg = config(workdir, landing, fact_mode="changes")
+    run_pipeline(spark, cfg)
+    assert fact_progress(spark, cfg.fact_progress_path)["tx_batch"] == 0
+    scenarios.write_retail_landing(spark, SF, landing, customers="nation", changed=True, transactions=False, products=False)
+
+    def stop(name, done):
+        if name.endswith("daily_sales_fact") and done:
+            raise RuntimeError("stopped after the fact was written, before that was noted")
+
+    second = dataclasses.replace(cfg, now=retail.NATION_CHANGE)
+    with pytest.raises(RuntimeError, match="stopped"):
+        run_pipeline(spark, dataclasses.replace(second, on_step=stop))
+    run_pipeline(spark, second)
+    assert rows_of(spark.table(f"{cfg.prefix}gold.daily_sales_summary")) == rows_of(retail.sales_summary(spark, SF))
+
+
+@needs_data
+def test_two_runs_at_once(spark, workdir):
+    """The second waits and then works on what the first left; the result is that of one after the other."""
+    landing = f"{workdir}/landing"
+    scenarios.write_retail_landing(spark, SF, landing, customers="nation")
+    cfg = config(workdir, landing, lock_wait_seconds=300)
+    out, errors = [], []
+
+    def run():
+        try:
+            out.append(run_pipeline(spark, cfg))
+        except Exception as exc:
+            errors.append(exc)
+
+    threads = [threading.Thread(target=run) for _ in range(2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not errors
+    loaded = sorted(o[f"{cfg.prefix}bronze.transactions"] for o in out)
+    assert loaded[0] == 0 and loaded[1] > 0
+    dim = spark.table(f"{cfg.prefix}silver.customers_scd2")
+    assert dim.count() == 25 == dim.select("customer_key").distinct().count()
+
+
+@needs_data
+def test_a_new_session_finds_its_tables(spark, workdir):
+    """A catalog that has lost every table, as after a restart with an in-memory one."""
+    landing = f"{workdir}/landing"
+    scenarios.write_retail_landing(spark, SF, landing, customers="nation")
+    cfg = config(workdir, landing)
+    run_pipeline(spark, cfg)
+    before = rows_of(spark.table(f"{cfg.prefix}gold.daily_sales_summary"))
+    for layer in ("bronze", "silver", "gold"):
+        for t in spark.catalog.listTables(f"{cfg.prefix}{layer}"):
+            spark.sql(f"DROP TABLE {cfg.prefix}{layer}.{t.name}")
+    run_pipeline(spark, dataclasses.replace(cfg, now="2001-01-01 00:00:00"))
+    assert rows_of(spark.table(f"{cfg.prefix}gold.daily_sales_summary")) == before
+    assert spark.table(f"{cfg.prefix}silver.customers_scd2").count() == 25
+
+
+def test_rejects_of_the_pipeline(spark, workdir):
+    landing = f"{workdir}/landing"
+    for name in ("products_raw", "transactions_raw", "customers_raw"):
+        os.makedirs(f"{landing}/{name}")
+    with open(f"{landing}/customers_raw/a.json", "w") as f:
+        json.dump([{"customer_id": "c1", "name": "A"}, {"name": "no id"}, {"customer_id": None, "name": "null id"}], f)
+    with open(f"{landing}/customers_raw/b.json", "w") as f:
+        f.write('{"customer_id": broken')
+    cfg = config(workdir, landing)
+    written = run_pipeline(spark, cfg)
+    table = f"{cfg.prefix}bronze.customers_rejected"
+    assert written[table] == 3 and spark.table(f"{cfg.prefix}silver.customers_scd2").count() == 1
+    got = sorted((r.name or "", r[rejects.REASONS_COL][0]) for r in spark.table(table).collect())
+    assert got == [("", "unreadable document"), ("no id", "no customer_id"), ("null id", "no customer_id")]
+    hist = audit_history(spark, cfg.audit_path).where(F.col("operation") == "REJECT").collect()
+    assert [r.numOutputRows for r in hist] == ["3"]
+
+
+def test_split_rows_counts_what_it_writes(spark, workdir):
+    df = spark.createDataFrame([(1, None), (2, "x"), (None, None), (None, "y")], "a long, _rejected string")
+    df = df.withColumnRenamed("_rejected", "b")
+    split = rejects.split_rows(df, {"no a": F.col("a").isNull(), "no b": F.col("b").isNull()}, f"{workdir}/split")
+    assert (split.accepted_rows, split.rejected_rows, split.by_reason) == (1, 3, {"no a": 2, "no b": 2})
+    assert [tuple(r) for r in split.accepted.collect()] == [(2, "x")]
+    assert sorted((r.a, r.b, tuple(r[rejects.REASONS_COL])) for r in split.rejected.collect() if r.a) == [(1, None, ("no b",))]
+    none = rejects.split_rows(df.limit(0), {"no a": F.col("a").isNull()}, f"{workdir}/none")
+    assert (none.accepted_rows, none.rejected_rows, none.accepted.count()) == (0, 0, 0)
+
+
+def test_a_new_checkpoint_goes_on_behind_the_tables_batches(spark, workdir):
+    landing = f"{workdir}/landing"
+    os.makedirs(landing)
+
+    def land(n):
+        with open(f"{landing}/{n}.csv", "w") as f:
+            f.write(f"item_id,product_name,category\n{n},a,b\n")
+
+    def spec(checkpoint):
+        return FeedSpec("products", landing, PRODUCTS_RAW, "csv", f"{workdir}/bronze", f"{workdir}/{checkpoint}")
+
+    land(1)
+    assert ingest(spark, spec("one")).batches == [(0, 1)]
+    land(2)
+    assert ingest(spark, spec("one")).batches == [(1, 1)]
+    assert ingest(spark, spec("two")).batches == [(2, 2)]  # a new checkpoint reads all files; older batches stay
+    land(3)
+    assert ingest(spark, spec("two")).batches == [(3, 1)]
+    assert read_bronze(spark, f"{workdir}/bronze").groupBy("_batch_id").count().count() == 4
+
+
+def test_the_schema_record(spark, workdir):
+    path = f"{workdir}/bronze"
+    write_batch(spark.createDataFrame([("1",)], "a string"), path, 0)
+    write_batch(spark.createDataFrame([(2.5, "2")], "b double, a string"), path, 1)
+    assert SchemaRecord(spark, path).read().fieldNames() == ["a", "b"]
+    with pytest.raises(TypeError, match="b is double in the table, string in the batch"):
+        write_batch(spark.createDataFrame([("x",)], "b string"), path, 2)
+    assert sorted(map(tuple, read_bronze(spark, path).collect())) == [("1", None, 0), ("2", 2.5, 1)]
+    assert read_bronze(spark, f"{workdir}/none", CUSTOMERS_RAW).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_bronze(spark, f"{workdir}/none")
+
+
+def test_times_in_which_versions_differ(spark):
+    schema = ("customer_key long, customer_id string, name string, email string, region string, start_date timestamp, "
+              "end_date timestamp")
+
+    def dim(*rows):
+        return spark.createDataFrame([], schema) if not rows else spark.sql(" UNION ALL ".join(
+            f"SELECT {k}L AS customer_key, '{i}' AS customer_id, '{n}' AS name, 'e' AS email, 'r' AS region, "
+            f"TIMESTAMP'{s} 00:00:00' AS start_date, " + (f"TIMESTAMP'{e} 00:00:00'" if e else "CAST(NULL AS TIMESTAMP)")
+            + " AS end_date" for k, i, n, s, e in rows))
+
+    before = dim((1, "a", "A", "2000-01-01", None), (2, "b", "B", "2000-01-01", None), (3, "c", "C", "2000-01-01", "2001-01-01"))
+    after = dim((1, "a", "A", "2000-01-01", "2005-01-01"), (4, "a", "A2", "2005-01-01", None),
+                (2, "b", "B", "2000-01-01", None), (3, "c", "X", "2000-01-01", "2001-01-01"))
+    got = {(r.customer_id, str(r.c_start)[:10], str(r.c_end)[:10]) for r in
+           affected_intervals(before, after, ["customer_id"]).collect()}
+    assert got == {("a", "2005-01-01", "None"), ("c", "2000-01-01", "2001-01-01")}
+    assert affected_intervals(after, after).count() == 0
+    products = spark.createDataFrame([("1", "a", "x"), ("2", "b", "x"), ("2", "b", "x")], "item_id string, product_name string, category string")
+    fewer = products.dropDuplicates()
+    assert [r.item_id for r in affected_items(products, fewer).collect()] == ["2"]
+
+
+def test_table_path_of_a_version(spark, workdir):
+    from tessera.sources.tables import create_layers, overwrite_table
+    silver = create_layers(spark, root=f"{workdir}/wh", prefix=f"q{uuid.uuid4().hex[:6]}_")["silver"]
+    overwrite_table(spark.range(1), f"{silver}.t")
+    assert table_path(spark, f"{silver}.t").endswith("t.versions/v00000001")
