@@ -11,6 +11,7 @@ from tessera.functions.clean import (ZONE_OFFSETS, digits_only, is_not_corrupt,
                                      to_int, to_money)
 from tessera.schemas import INGEST_TS_COL, RESCUE_COL, SOURCE_FILE_COL
 
+# The columns of the silver table.
 TRANSACTION_COLUMNS = ["order_id", "item_id", "quantity", "price", "order_timestamp",
                        INGEST_TS_COL, SOURCE_FILE_COL]
 

@@ -9,6 +9,7 @@ def _strings(*names: str) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
+# Names and types of this module are the tables' contract.
 # Raw feeds: every field lands as string; typing happens in silver.
 TRANSACTIONS_RAW = _strings("order_id", "item_id", "quantity", "price",
                             "order_timestamp", "corrupted_flag")
