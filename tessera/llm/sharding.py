@@ -10,9 +10,9 @@ rows. DataFrame functions only.
 
 Only ids, sizes, checksums and dimensions are stored and shuffled, never texts.
 
-Defined results: a null text has no bytes, a null dimension lies below all others. Copies of a
-text may part at a split (their bytes are what counts); rows that agree in their id as well have
-one place and stay together. An empty table gives an empty result; more shards than documents
+Defined results: a null text has no bytes, a null dimension counts as -1, infinite values and NaN
+lie beyond all others. Copies of a text may part at a split (their bytes are what counts), equal
+rows too. An empty table gives an empty result; more shards than documents
 leave some shards empty.
 """
 
@@ -30,6 +30,8 @@ from tessera.llm.shared import stored, table
 SHARDS, BINS, OVERHEAD = 40, 512, 16
 TOLERANCE = 0.0005   # of a shard's bytes: a bin this light is not narrowed further
 SLOT_ROWS = 4096     # documents numbered together
+FAR = 1e300          # where infinite values and NaN are placed
+MOST_ROUNDS = 400    # a histogram narrows an interval by its bins; doubles need far fewer rounds than this
 
 
 @dataclass
@@ -63,9 +65,15 @@ def place(value: Column, kind: T.DataType) -> Column:
 
 
 def _row_hash() -> Column:
-    """In [0, 1): parts equal values."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(17), F.col("doc_id"), F.col("text_crc32"), F.col("size")),
-                                11) / F.lit(float(1 << 53))
+    """In [0, 1): parts equal values; its last 13 of 53 bits part equal rows, by where they stand."""
+    row = F.shiftrightunsigned(F.xxhash64(F.lit(17), F.col("doc_id"), F.col("text_crc32"), F.col("size")), 24)
+    place_ = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 51)
+    return (row * (1 << 13) + place_) / F.lit(float(1 << 53))
+
+
+def _finite(x: Column) -> Column:
+    """Infinite values and NaN as numbers beyond all usual ones, which a histogram can hold; NaN is the largest."""
+    return (F.when(F.isnan(x) | (x > FAR), F.lit(FAR)).when(x < -FAR, F.lit(-FAR)).otherwise(x))
 
 
 def measured(docs: DataFrame, doc_id: str, text: str, dimensions: Sequence[str]) -> DataFrame:
@@ -75,7 +83,7 @@ def measured(docs: DataFrame, doc_id: str, text: str, dimensions: Sequence[str])
     rows = docs.select(docs[doc_id].alias("doc_id"),
                        (F.octet_length(body) + OVERHEAD).cast("long").alias("size"),
                        F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"),
-                       *[F.coalesce(place(docs[c], docs.schema[c].dataType), low).alias(f"d{i}")
+                       *[F.coalesce(_finite(place(docs[c], docs.schema[c].dataType)), low).alias(f"d{i}")
                          for i, c in enumerate(dimensions)])
     return stored(rows.withColumn("h", _row_hash()), "shard-rows")
 
@@ -139,8 +147,12 @@ def tree(rows: DataFrame, dimensions: int, shards: int = SHARDS) -> Node:
                 "dim": dim, "tie": False, "value": 0.0, "low": r[f"d{dim}_low"], "high": r[f"d{dim}_high"],
                 "below": 0, "target": r["size"] * (node.shards // 2) / node.shards, "previous": None,
                 "tolerance": tolerance, "done": False, "split": None}
+        rounds = 0
         while any(not a["done"] for a in aims.values()):
             _narrowed(rows, leaf, aims)
+            rounds += 1
+            if rounds > MOST_ROUNDS:
+                raise RuntimeError(f"no quantile after {rounds} rounds: {aims}")
         for first, node in todo.items():
             node.split = aims[first]["split"] if first in aims else (0, 0.0, 0.0)
             if first in aims:

@@ -464,3 +464,15 @@ def test_pipeline_stages(spark, odd_rows):
         docs = spark.createDataFrame(out.collect(), docs.schema)
         assert docs.count() > 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
+def test_shards_of_odd_numbers_and_equal_rows(spark):
+    odd = [float("nan"), float("inf"), -float("inf"), None, -5.0, 1e9, 0.0]
+    rows = [(i, "x" * (i % 50), odd[i % 7] if i % 2 else float(i)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, x double")
+    found = sharding.shard(docs, ["x"], shards=4).groupBy("shard").agg(F.sum("size").alias("b")).collect()
+    sizes = [r["b"] for r in found]
+    assert len(sizes) == 4 and max(sizes) - min(sizes) <= 0.1 * sum(sizes) / 4 + 66
+    same = spark.createDataFrame([(1, "same text")] * 4000, "doc_id long, text string").repartition(3)
+    counts = [r["count"] for r in sharding.shard(same, ["doc_id"], shards=4).groupBy("shard").count().collect()]
+    assert len(counts) == 4 and max(counts) - min(counts) <= 20
