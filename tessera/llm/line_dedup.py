@@ -37,8 +37,8 @@ from pyspark.sql import types as T
 
 from tessera.llm.shared import drop_stored, small_batches, stored, table, unused
 from tessera.llm.tokensets import (BLOB_ROWS, POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for, can_overlap,
-                                   compatible, frequent, gathered, is_in, line_bounds, missing, packed_texts, posting_batch,
-                                   shared_by_sets, signed, unpacked, unpacked_slices, verified, with_common)
+                                   compatible, frequent, gathered, is_in, line_bounds, missing, posting_batch,
+                                   shared_by_sets, signed, verified, with_common)
 from tessera.llm.words import shingle_runs, slices
 
 _U = np.uint64
@@ -152,17 +152,17 @@ def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             asked = batch.column(1)  # the ids wanted of a text: only those lines leave the task
-            for at, s in unpacked_slices(batch.column(0)):
+            for s in slices(batch.column(0)):
                 sets = _line_sets(s)[2]
                 ids = sets.ids().view(np.int64)
-                here = np.concatenate([np.asarray(asked[at + s.first + i].as_py(), np.int64) for i in range(len(s))])
+                here = np.concatenate([np.asarray(asked[s.first + i].as_py(), np.int64) for i in range(len(s))])
                 use = np.flatnonzero(np.isin(ids, here))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[use]), pa.array(sets.sizes[use]),
                      pa.array([sets[i].tobytes() for i in use], pa.binary())], names=["id", "n", "tokens"])
 
     by_text = wanted.groupBy("doc_id", "hash").agg(F.collect_set("id").alias("ids"))
-    texts = packed_texts(docs, "text").alias("t").join(
+    texts = docs.alias("t").join(
         by_text.alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.hash") == F.col("w.hash")))
     found = texts.select("t.text", "w.ids").mapInArrow(run, "id long, n long, tokens binary")
     return stored(found.groupBy("id").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "line-sets",
@@ -367,7 +367,6 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     drop_stored(lines)
     key, here = unused(docs.withColumn(i, F.lit(0)).withColumn(h, F.lit(0)).withColumn(g, F.lit(0)), "key", "here")
     held = docs.withColumn(key, docs[doc_id].cast("long")).withColumn(here, F.xxhash64(docs[text]))
-    held = packed_texts(held, text)
     joined = held.join(gone, F.col(key).eqNullSafe(F.col(i)) & (F.col(here) == F.col(h)), "left").drop(i, h, key, here)
     place, lines = joined.columns.index(text), joined.columns.index(g)
     schema = T.StructType([f for f in docs.schema.fields]
@@ -377,7 +376,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                texts, counts, lost, new = unpacked(part.column(place)), [], [], []
+                texts, counts, lost, new = part.column(place).to_pylist(), [], [], []
                 for body, out in zip(texts, part.column(lines)):
                     out = set(out.as_py() or ())
                     counts.append(sum(bool(x.encode().split()) for x in (body or "").split("\n")))
