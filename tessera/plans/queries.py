@@ -512,12 +512,12 @@ def q_temporal_join_indexed(spark, sf_dir):
     unit), far more than 10,000."""
     days = feeds.table(spark, sf_dir, "orders").groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("orders"))
     lines = feeds.table(spark, sf_dir, "lineitem", spread=True).select(
-        "l_quantity", F.col("l_shipdate").cast("timestamp").alias("shipped"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("l_quantity"), F.col("l_shipdate").cast("timestamp").alias("shipped"),
         F.date_add("l_shipdate", F.col("l_quantity").cast("int")).cast("timestamp").alias("received"))
     found = joins.temporal_join(days.withColumn("day", F.col("o_orderdate").cast("timestamp")), lines, "day", "shipped",
                                 "received", strategy="index")
     return found.groupBy("o_orderdate", "orders").agg(F.count("shipped").alias("lines"),
-                                                      F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("quantity"))
+                                                      F.sum("l_quantity").alias("quantity"))
 
 
 def q_sales_summary_state(spark, sf_dir):
