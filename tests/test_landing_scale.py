@@ -1,0 +1,61 @@
+"""Landing files: how many there are, by how many tasks they are written and looked up; late change sets."""
+
+import datetime as dt
+import glob
+import re
+
+from pyspark.sql import functions as F
+
+from tessera.plans.changes import affected_dates
+from tessera.session import RUNTIME_CONF
+from tessera.sources.landing import write_csv, write_json_documents, write_text_documents
+
+
+def part_ids(pattern):
+    files = glob.glob(pattern, recursive=True)
+    return files, {re.search(r"part-(\d+)", f).group(1) for f in files}
+
+
+def test_text_documents_of_each_group_hold_about_rows_per_file_lines(spark, workdir):
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 8).cast("int").alias("group"),
+                                    F.concat(F.lit("h"), (F.col("id") % 8)).alias("head"), F.col("id").cast("string").alias("line"))
+    n = write_text_documents(rows, "k", f"{workdir}/t", rows_per_file=100)
+    files, tasks = part_ids(f"{workdir}/t/**/part-*")
+    assert n == 40 and 30 <= len(files) <= 40  # were 8 times as many
+    assert len(tasks) <= 8                     # shuffle partitions, not one task per file
+    lines = [x for f in files for x in open(f).read().split()]
+    assert sorted(x for x in lines if x[0] != "h") == sorted(str(i) for i in range(4000))
+    assert sum(x[0] == "h" for x in lines) == len(files)
+
+
+def test_json_documents_are_not_a_task_each(spark, workdir):
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.to_json(F.struct("id")).alias("obj"))
+    assert write_json_documents(rows, "obj", "k", f"{workdir}/j", rows_per_file=50) == 60
+    files, tasks = part_ids(f"{workdir}/j/**/part-*")
+    assert len(files) == 60 and len(tasks) <= 8
+    got = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true").json(f"{workdir}/j")
+    assert sorted(r["id"] for r in got.collect()) == list(range(3000))
+
+
+def test_csv_without_a_number_of_files_is_written_where_it_lies(spark, workdir):
+    write_csv(spark.range(100).repartition(3), f"{workdir}/c", None)
+    assert len(glob.glob(f"{workdir}/c/part-*")) == 3
+    assert spark.read.option("header", "true").csv(f"{workdir}/c").count() == 100
+
+
+def test_lists_of_files_are_looked_up_in_a_bounded_number_of_tasks(spark):
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    assert spark.conf.get(key) == RUNTIME_CONF[key] and int(RUNTIME_CONF[key]) <= 100
+
+
+def test_late_intervals_leave_early_transactions_out(spark):
+    day = dt.datetime(2020, 1, 1)
+    tx = spark.createDataFrame([("i", day + dt.timedelta(days=k), "c") for k in range(10)] + [("i", None, "c")],
+                               "item_id string, order_timestamp timestamp, customer_id string")
+    for rows, want in (([(day + dt.timedelta(days=7), None, "c")], [7, 8, 9]),
+                       ([(day + dt.timedelta(days=2), day + dt.timedelta(days=4), "c"), (day + dt.timedelta(days=9), None, "c")], [2, 3, 9]),
+                       ([(None, None, "c")], []), ([], [])):
+        intervals = spark.createDataFrame(rows, "c_start timestamp, c_end timestamp, customer_id string")
+        out = affected_dates(tx, None, intervals, None, ["customer_id"])
+        assert "unix_micros" in out._jdf.queryExecution().optimizedPlan().toString() or not rows or rows[0][0] is None
+        assert sorted(r[0] for r in out.collect()) == [(day + dt.timedelta(days=k)).date() for k in want]
