@@ -5,10 +5,12 @@ import glob
 import re
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.plans.changes import affected_dates
 from tessera.session import RUNTIME_CONF
 from tessera.sources.landing import write_csv, write_json_documents, write_text_documents
+from tessera.sources.rescue import parse_json_documents
 
 
 def part_ids(pattern):
@@ -37,6 +39,21 @@ def test_json_documents_are_not_a_task_each(spark, workdir):
     assert sorted(r["id"] for r in got.collect()) == list(range(3000))
 
 
+def test_json_documents_share_folders_and_are_parsed_once(spark, workdir):
+    rows = spark.range(300).select(F.col("id").cast("string").alias("k"), F.to_json(F.struct("id")).alias("obj"))
+    assert write_json_documents(rows, "obj", "k", f"{workdir}/f", rows_per_file=5) == 60
+    assert len(glob.glob(f"{workdir}/f/_docs=*")) == 1  # was a folder per document
+    schema = StructType([StructField("id", StringType()), StructField("of", StructType([StructField("x", StringType())]))])
+    docs = spark.createDataFrame([('[{"id": 1, "of": {"x": 2, "y": 3}}, {"id": 4, "of": "z"}]', "a"), ("[{", "b"), (None, "c"),
+                                  ("[]", "d")],
+                                 "value string, file string")
+    out = parse_json_documents(docs, schema)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1                 # once per document
+    got = sorted(((r["file"], r["id"], r["of"] and r["of"]["x"], r["_rescue"]) for r in out.collect()), key=str)
+    assert got == [("a", "1", "2", '{"of":{"y":3}}'), ("a", "4", None, '{"of":"z"}'),
+                   ("b", None, None, '{"_corrupt_record":"[{"}'), ("c", None, None, "{}")]
+
 def test_csv_without_a_number_of_files_is_written_where_it_lies(spark, workdir):
     write_csv(spark.range(100).repartition(3), f"{workdir}/c", None)
     assert len(glob.glob(f"{workdir}/c/part-*")) == 3
