@@ -8,9 +8,9 @@ depend on the order of work. Lines without words stay.
 The join is the prefix filter: a line's shingles are ordered by rarity (those that many lines
 hold come last, by the bounded list of frequent shingles; the rest by hash) and only the first
 floor(n / 5) + 1 of them are looked up: similar lines share one of those. Length and positional
-filters drop candidates, the rest are verified on whole sets. The length filter works where a
+filters drop candidates, the rest are verified on whole sets. The filters begin where a
 shingle's lines meet: in the order of their sizes, a line without a near enough neighbour has no
-partner there.
+partner there; the lines of a rare shingle are compared pair by pair.
 
 Equal lines are one set from the start. Candidates come in two rounds: each line against the
 earliest line that shares a rare shingle and against the line of that shingle that shares most of
@@ -18,7 +18,9 @@ its prefix with others (two pairs per line and shingle), then, only for lines th
 this did not decide, against the other earlier ones. A family of near copies is thus decided by
 pairs with its first member, not by all pairs. In the second round two lines of one family are
 compared by what sets each apart from the shingles that most of the family hold
-(``family_repeats``); only pairs of other lines are looked up by prefix.
+(``family_repeats``); only pairs of other lines are looked up by prefix. That is for families of
+``FAMILY_LINES`` lines or more: a smaller one is looked up by prefix, so a line meets a bounded number
+of its own family there.
 
 Defined results: a null text stays null, a text without line breaks is one line. Rows of equal id
 and text have the same lines kept. Null ids come last. In ``drop_repeated_lines`` a document all
@@ -38,15 +40,20 @@ from pyspark.sql import types as T
 from tessera.llm.shared import drop_stored, small_batches, stored, table, unused
 from tessera.llm.tokensets import (BLOB_ROWS, POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for, can_overlap,
                                    compatible, frequent, gathered, is_in, line_bounds, missing, posting_batch,
-                                   shared_by_sets, signed, verified, with_common)
+                                   shared_by_sets, signed, text_sets, verified, with_common)
 from tessera.llm.words import shingle_runs, slices
 
 _U = np.uint64
+_BLANKS = " \t\n\v\f\r"  # what no word holds
 _LINES = "doc_id long, hash long, line int, id long, n int, tokens binary, counts binary"
 #: Positions that a posting's two bytes can hold; a later one counts as this (the filter then says less).
 _LAST_POSITION = 65535
 #: A posting's position stands above its line's size, which counts as this at most: larger ones are all alike.
 _LAST_SIZE = 65535
+#: Families of fewer lines are looked up by prefix, like lines of no family.
+FAMILY_LINES = 64
+#: Where a shingle's lines are compared pair by pair for whether they can be similar.
+SMALL_GROUP = 16
 
 
 def _line_sets(s) -> tuple[np.ndarray, np.ndarray, Sets]:
@@ -98,21 +105,39 @@ def prefixes(sets: Sets, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return tokens[use], owner[use], place[use], often[use]
 
 
-def has_partner(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Which postings, of different lines, have one of the same token whose line is of a size that can be similar."""
+def has_partner(tokens: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which postings, of different lines, have one of the same token whose line can be similar.
+
+    By the sizes of the lines; where at most ``SMALL_GROUP`` lines hold a token, also by the shingles behind it
+    in both, pair by pair.
+    """
     order = np.lexsort((sizes, tokens))
-    t, n = tokens[order], sizes[order].astype(np.int64)
-    near = (t[1:] == t[:-1]) & (5 * n[:-1] >= 4 * n[1:])
-    out = np.zeros(len(tokens), bool)
-    out[order[1:]] = near
-    out[order[:-1]] |= near
+    t, n, place = tokens[order], sizes[order].astype(np.int64), places[order].astype(np.int64)
+    new = np.ones(len(t), bool)
+    new[1:] = t[1:] != t[:-1]
+    run = np.cumsum(new) - 1
+    lines = np.bincount(run)[run] if len(t) else run
+    found = np.zeros(len(t), bool)
+    near = np.flatnonzero(~new[1:] & (5 * n[:-1] >= 4 * n[1:]) & (lines[1:] > SMALL_GROUP))
+    found[near] = found[near + 1] = True
+    left = np.flatnonzero(lines <= SMALL_GROUP)
+    behind = np.where((n >= _LAST_SIZE) | (place >= _LAST_POSITION), 1 << 40, n - place)  # not known: enough
+    for apart in range(1, SMALL_GROUP):
+        left = left[left + apart < len(t)]
+        left = left[run[left + apart] == run[left]]
+        a, b = left, left + apart
+        able = (5 * n[a] >= 4 * n[b]) & (9 * np.minimum(behind[a], behind[b]) >= 4 * (n[a] + n[b]))
+        found[a[able]] = found[b[able]] = True
+    out = np.zeros(len(t), bool)
+    out[order] = found
     return out
 
 
 def shared_prefixes(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """token, id, place: prefix postings of shingles that prefixes of two or more lines of near sizes hold.
+    """token, id, place, many: prefix postings of shingles that prefixes of two or more lines of near sizes hold.
 
-    Postings of frequent shingles come as they are, once per slice that holds them.
+    ``many``: of a shingle that ``FAMILY_LINES`` of those lines hold, or that is frequent. Postings of frequent
+    shingles come as they are, once per slice that holds them.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,35 +163,42 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame
         use = fresh & shared if met else fresh
         tokens, owners, extra = tokens[use], owners[use], extra[use]
         if met:
-            use = has_partner(tokens, extra & 0xFFFF)
+            use = has_partner(tokens, extra & 0xFFFF, extra >> 16)
             tokens, owners, extra = tokens[use], owners[use], extra[use]
-        return pa.table({"token": signed(tokens), "id": signed(owners), "place": pa.array((extra >> 16).astype(np.int32))})
+        _, run, lines = np.unique(tokens, return_inverse=True, return_counts=True)
+        many = (lines >= FAMILY_LINES)[run] if met else np.ones(len(tokens), bool)
+        return pa.table({"token": signed(tokens), "id": signed(owners), "place": pa.array((extra >> 16).astype(np.int32)),
+                         "many": pa.array(many)})
 
     return (docs.select("text").mapInArrow(emit, POSTINGS).groupBy("bucket")
-            .applyInArrow(meet, "token long, id long, place int"))
+            .applyInArrow(meet, "token long, id long, place int, many boolean"))
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, n, tokens of the wanted lines, from the texts that hold them first; stored."""
+    """id, n, tokens of the wanted lines, from the texts that hold them first; stored.
+
+    ``wanted``: doc_id, hash, line. Texts that occur twice under one id give their lines twice.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked = batch.column(1)  # the ids wanted of a text: only those lines leave the task
-            for s in slices(batch.column(0)):
-                sets = _line_sets(s)[2]
-                ids = sets.ids().view(np.int64)
-                here = np.concatenate([np.asarray(asked[s.first + i].as_py(), np.int64) for i in range(len(s))])
-                use = np.flatnonzero(np.isin(ids, here))
+            asked = []  # only the wanted lines of a text are taken apart
+            for text, lines in zip(batch.column(0), batch.column(1)):
+                parts = text.as_py().split("\n")
+                asked += [parts[i] for i in lines.as_py()]
+            for s in slices(pa.array(asked, pa.large_string())):
+                sets = text_sets(s)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[use]), pa.array(sets.sizes[use]),
-                     pa.array([sets[i].tobytes() for i in use], pa.binary())], names=["id", "n", "tokens"])
+                    [pa.array(sets.ids().view(np.int64)), pa.array(sets.sizes),
+                     pa.array([sets[i].tobytes() for i in range(len(sets))], pa.binary())], names=["id", "n", "tokens"])
 
-    by_text = wanted.groupBy("doc_id", "hash").agg(F.collect_set("id").alias("ids"))
+    by_text = wanted.groupBy("doc_id", "hash").agg(F.collect_list("line").alias("lines"))
+    # The texts pass by a hash table of the wanted lines: they are not sorted.
     texts = docs.alias("t").join(
-        by_text.alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.hash") == F.col("w.hash")))
-    found = texts.select("t.text", "w.ids").mapInArrow(run, "id long, n long, tokens binary")
-    return stored(found.groupBy("id").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "line-sets",
-                  TEXT_ROWS)
+        by_text.hint("shuffle_hash").alias("w"),
+        F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.hash") == F.col("w.hash")))
+    found = texts.select("t.text", "w.lines").mapInArrow(run, "id long, n long, tokens binary")
+    return stored(found, "line-sets", TEXT_ROWS)
 
 
 def _order(prefix: str = "") -> Column:
@@ -195,7 +227,7 @@ def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (id, leader, tokens, core): the core's size l, k in common, and the shingles that only one of them holds."""
+    """Of rows (id, leader, tokens, core, n, at): the core's size l, k in common, and the shingles that only one of them holds."""
     for batch in batches:
         size, common, differ = [], [], []
         for x, y in zip(batch.column(2), batch.column(3)):
@@ -207,8 +239,9 @@ def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             differ.append(np.concatenate([u[~both], v[~is_in(v, u)]]).tobytes() if near else None)
         use = pa.array([x is not None for x in differ], pa.bool_())
         columns = [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(common, pa.int64()),
-                   pa.array(differ, pa.binary())]
-        yield pa.RecordBatch.from_arrays([c.filter(use) for c in columns], names=["id", "leader", "l", "k", "differ"])
+                   pa.array(differ, pa.binary()), batch.column(4), batch.column(5)]
+        yield pa.RecordBatch.from_arrays([c.filter(use) for c in columns],
+                                         names=["id", "leader", "l", "k", "differ", "n", "at"])
 
 
 def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,13 +254,14 @@ def _differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_families(found: DataFrame, open_: DataFrame, sets: DataFrame) -> DataFrame:
-    """id, leader, l, k, differ of the lines of families in which an open line has an earlier one; stored.
+    """id, leader, l, k, differ, n, at of the lines of families in which an open line has an earlier one; stored.
 
     A line's leader, which names its family, is the line of a shared prefix shingle that has the largest part in
     common with others, followed to its own leaders. The family's core are the l shingles that more than half of its
     lines hold; a line holds k of them and differs from the core in the shingles ``differ``. Only lines that differ
-    in half as many shingles as they have, or fewer.
+    in half as many shingles as they have, or fewer; only families of ``FAMILY_LINES`` lines or more.
     """
+    found = found.where("many")
     rank = F.struct((F.col("common") / F.col("n")).alias("part"), "id")
     best = found.groupBy("token").agg(F.max(rank).alias("best"))
     lead = found.select("token", "id", "at").join(best, "token").groupBy("id").agg(
@@ -239,15 +273,18 @@ def near_families(found: DataFrame, open_: DataFrame, sets: DataFrame) -> DataFr
     lead = stored(lead, "leaders")
     drop_stored(nearest)
     known = lead.groupBy("leader").agg(F.min("at").alias("from"), F.count(F.lit(1)).alias("lines"))
-    live = (lead.join(open_.select("id").distinct(), "id").join(known, "leader").where(F.col("at") > F.col("from"))
+    live = (lead.join(open_, "id").join(known, "leader")
+            .where((F.col("at") > F.col("from")) & (F.col("lines") >= FAMILY_LINES))
             .select("leader", "lines").distinct())
-    members = stored(sets.select("id", "tokens").join(lead.select("id", "leader"), "id").join(live, "leader"), "members",
-                     BLOB_ROWS)
+    members = stored(sets.select("id", "n", "tokens").join(lead.select("id", "leader", "at"), "id").join(live, "leader"),
+                     "members", BLOB_ROWS)
     held = members.select("leader", "tokens").mapInArrow(_held, "leader long, token long, c long")
     core = (held.groupBy("leader", "token").agg(F.sum("c").alias("c")).join(live, "leader").where("2 * c > lines")
             .groupBy("leader").agg(F.collect_list("token").alias("core")))
-    rows = members.join(core, "leader").select("id", "leader", "tokens", "core")
-    out = stored(rows.mapInArrow(_apart, "id long, leader long, l long, k long, differ binary"), "families", BLOB_ROWS)
+    rows = members.join(core, "leader").select("id", "leader", "tokens", "core", "n", "at")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    out = stored(rows.mapInArrow(_apart, "id long, leader long, l long, k long, differ binary, "
+                                         f"n {kinds['n']}, at {kinds['at']}"), "families", BLOB_ROWS)
     drop_stored(lead, members)
     return out
 
@@ -255,14 +292,14 @@ def near_families(found: DataFrame, open_: DataFrame, sets: DataFrame) -> DataFr
 def family_repeats(open_: DataFrame, family: DataFrame, sets: DataFrame) -> DataFrame:
     """id: the open lines that are similar to an earlier line of their family.
 
-    ``family``: as of ``near_families``, with n and at. Lines Q and S that hold k and j shingles of a core of l have
+    ``family``: as of ``near_families``. Lines Q and S that hold k and j shingles of a core of l have
     k + j - l shingles in common and besides one for each shingle in which both differ from the core. Where
     k + j - l suffice, the earliest line of each closeness to the core decides. Otherwise so many differing shingles
     are shared that, in the order of their rarity, the first shared one has enough behind it in both lines.
     """
     # 9 * (k + j - l + shared) >= 4 * (n + m) with the parts of each line gathered: short + b_short - l <= 9 * shared.
     family = family.withColumn("short", F.expr("5 * l - 9 * k + 4 * n"))
-    mine = family.join(open_.select("id").distinct(), "id", "left_semi")
+    mine = family.join(open_, "id", "left_semi")
     steps = (family.where("short <= l").groupBy("leader", F.col("short").alias("b_short"))
              .agg(F.min("at").alias("b_at")))
     plain = stored(mine.where("short <= l").join(steps, "leader")
@@ -290,7 +327,7 @@ def family_repeats(open_: DataFrame, family: DataFrame, sets: DataFrame) -> Data
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, hash (of the text), line: the lines that go. One row per line and text; stored."""
+    """doc_id, hash (of the text), gone: the numbers of the lines that go, a row per text that loses any; stored."""
     texts = _keyed(docs, doc_id, text)
     rows = stored(texts.mapInArrow(_lines, _LINES), "lines", TEXT_ROWS)
     first = stored(rows.groupBy("id").agg(F.min(_order()).alias("at"), F.first("n").alias("n"),
@@ -299,10 +336,12 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     blobs = rows.where("tokens is not null").select("tokens", "counts")
     hot = frequent(blobs.mapInArrow(_counted, "token long, n long"), size["sets"])
     found = shared_prefixes(texts, hot, buckets_for(size["postings"] or 0))
-    # One shuffle by line: its size and place, its postings once, and the part of its prefix that others hold.
-    found = found.join(first.select("id", "n", "at"), "id").distinct()
-    part = F.count(F.lit(1)).over(Window.partitionBy("id")) / (F.floor(F.col("n") / 5) + 1)
-    found = shared = stored(found.withColumn("part", part), "shared", TEXT_ROWS)
+    # One shuffle by line: its postings once, its size and place, and the part of its prefix that others hold.
+    found = found.repartition("id").distinct().join(first.select("id", "n", "at"), "id")
+    line = Window.partitionBy("id")
+    part = F.count(F.lit(1)).over(line) / (F.floor(F.col("n") / 5) + 1)
+    found = found.withColumn("part", part).withColumn("one", F.col("token") == F.min("token").over(line))
+    found = shared = stored(found, "shared", TEXT_ROWS)
     # Two lines of a shingle stand for its others: the earliest one and the one that shares most of its prefix.
     line = F.struct("at", "id", "n", "place")
     leaders = (found.groupBy("token").agg(F.min(line).alias("x"), F.max_by(line, F.struct("part", "id")).alias("y"),
@@ -315,7 +354,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pairs = found.join(leaders, "token").where(possible).select(F.col("id").alias("a"), "b").distinct()
     pairs = stored(pairs, "pairs")
     # Lines that take part in any later look-up: with a length-compatible partner in a shared shingle.
-    wanted = found.select("id", F.col("at.doc_id").alias("doc_id"), F.col("at.hash").alias("hash")).distinct()
+    wanted = found.where("one").select("at.doc_id", "at.hash", "at.line")
     sets = with_common(_fetched(texts, wanted), hot, "common")
     # What other lines hold of two lines bounds what they have in common.
     counts = sets.select("id", "n", "common")
@@ -326,25 +365,25 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     decided = links.select("a").distinct()
     found = able_lines = stored(found.join(counts.select("id", "common"), "id"), "able")
     drop_stored(shared)
-    open_ = found.join(decided.withColumnRenamed("a", "id"), "id", "left_anti")
+    open_ = undecided = stored(counts.select("id").join(decided.withColumnRenamed("a", "id"), "id", "left_anti"), "open")
     family = near_families(found, open_, sets)
-    placed = family.join(counts.select("id", "n"), "id").join(first.select("id", "at"), "id")
-    repeats = family_repeats(open_, placed, sets)
+    repeats = family_repeats(open_, family, sets)
     # Pairs that no family holds.
     found = found.join(family.select("id", "leader"), "id", "left")
-    open_ = found.join(decided.withColumnRenamed("a", "id").union(repeats), "id", "left_anti")
+    open_ = found.join(open_.join(repeats, "id", "left_anti"), "id", "left_semi")
     earlier = found.select("token", F.col("id").alias("b"), F.col("n").alias("m"), F.col("at").alias("b_at"),
                            F.col("place").alias("b_place"), F.col("common").alias("d"), F.col("leader").alias("of"))
     rest = (open_.join(earlier, "token")
             .where(possible & able & F.expr("leader is null or of is null or leader <> of"))
             .select(F.col("id").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti"))
     last = verified(rest, sets)
-    drop_stored(able_lines, pairs, sets, family)
+    drop_stored(able_lines, pairs, sets, family, undecided)
     near = decided.withColumnRenamed("a", "id").union(repeats).union(last.select(F.col("a").alias("id"))).distinct()
     marks = first.join(near.withColumn("near", F.lit(True)), "id", "left").where("c > 1 or near")
-    gone = rows.select("doc_id", "hash", "line", "id").join(marks.select("id", "at", "near"), "id")
-    gone = stored(gone.where(F.coalesce("near", F.lit(False)) | (_order() != F.col("at"))).select(
-        "doc_id", "hash", "line").distinct(), "gone-lines")
+    gone = rows.select("doc_id", "hash", "line", "id").join(
+        marks.select("id", "at", "near").hint("shuffle_hash"), "id")
+    gone = gone.where(F.coalesce("near", F.lit(False)) | (_order() != F.col("at")))
+    gone = stored(gone.groupBy("doc_id", "hash").agg(F.collect_set("line").alias("gone")), "gone")
     drop_stored(rows, first, links, repeats, last)
     return gone
 
@@ -360,14 +399,12 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     These are the number of lines with words and how many of them went.
     """
     small_batches(docs.sparkSession)
-    lines = removed_lines(docs, doc_id, text)
-    gone = lines.groupBy("doc_id", "hash").agg(F.collect_set("line").alias("gone"))
+    gone = removed_lines(docs, doc_id, text)
     i, h, g, n_lines, n_removed = unused(docs, "gone_id", "gone_hash", "gone", "n_lines", "n_removed")
-    gone = stored(gone.select(F.col("doc_id").alias(i), F.col("hash").alias(h), F.col("gone").alias(g)), "gone")
-    drop_stored(lines)
+    gone = gone.select(F.col("doc_id").alias(i), F.col("hash").alias(h), F.col("gone").alias(g))
     key, here = unused(docs.withColumn(i, F.lit(0)).withColumn(h, F.lit(0)).withColumn(g, F.lit(0)), "key", "here")
     held = docs.withColumn(key, docs[doc_id].cast("long")).withColumn(here, F.xxhash64(docs[text]))
-    joined = held.join(gone, F.col(key).eqNullSafe(F.col(i)) & (F.col(here) == F.col(h)), "left").drop(i, h, key, here)
+    joined = held.join(gone.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col(i)) & (F.col(here) == F.col(h)), "left").drop(i, h, key, here)
     place, lines = joined.columns.index(text), joined.columns.index(g)
     schema = T.StructType([f for f in docs.schema.fields]
                           + [T.StructField(n_lines, T.LongType()), T.StructField(n_removed, T.LongType())])
@@ -379,7 +416,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 texts, counts, lost, new = part.column(place).to_pylist(), [], [], []
                 for body, out in zip(texts, part.column(lines)):
                     out = set(out.as_py() or ())
-                    counts.append(sum(bool(x.encode().split()) for x in (body or "").split("\n")))
+                    counts.append(sum(bool(x.strip(_BLANKS)) for x in (body or "").split("\n")))
                     lost.append(len(out))
                     new.append(without_lines(body, out) if out else body)
                 columns = [pa.array(new, pa.string()) if j == place else part.column(j)

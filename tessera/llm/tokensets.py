@@ -42,7 +42,7 @@ def compatible(n: str, m: str) -> str:
 
 def ordered(hashes: np.ndarray, owner: np.ndarray, n: np.ndarray) -> np.ndarray:
     """``hashes`` of owners 0, 1, ... (n[i] of owner i, one after another), sorted within each owner."""
-    if len(n) and len(hashes) > 128 * len(n):
+    if len(n) and len(hashes) > 32 * len(n):
         hashes, at = hashes.copy(), 0
         for size in n:
             hashes[at: at + size].sort()
@@ -105,7 +105,8 @@ def line_bounds(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     breaks = np.flatnonzero(s.raw == 10)
     # A word's line: line breaks before it in its own text.
     text = s.text_of_word()
-    line = np.searchsorted(breaks, s.starts) - np.searchsorted(breaks, s.offsets[:-1])[text]
+    before = np.cumsum(np.bincount(np.searchsorted(s.starts, breaks), minlength=len(s.starts))[:len(s.starts)])
+    line = before - np.searchsorted(breaks, s.offsets[:-1])[text]
     first = np.ones(len(line), bool)
     first[1:] = (text[1:] != text[:-1]) | (line[1:] != line[:-1])
     at = np.flatnonzero(first)
@@ -161,7 +162,8 @@ def buckets_for(postings: int) -> int:
 def dealt(tokens: np.ndarray, owners: np.ndarray, extra: np.ndarray, buckets: int) -> Iterator[tuple]:
     """(bucket, tokens, owners, extra) blobs of one batch; ``extra`` is a small unsigned number per posting."""
     bucket = ((mixed(tokens) >> _U(32)) * _U(buckets)) >> _U(32)
-    order = np.argsort(bucket, kind="stable")
+    # Two bytes are sorted by radix.
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
     tokens, owners, extra, bucket = tokens[order], owners[order], extra[order], bucket[order]
     edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=_U))
     for b in np.flatnonzero(np.diff(edges)):
@@ -204,7 +206,14 @@ def gathered(table: pa.Table, extras: str = "<u2") -> tuple[np.ndarray, np.ndarr
         return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
 
     tokens, owners, extra = whole("tokens", "<u8"), whole("owners", "<u8"), whole("extra", extras)
-    order = np.lexsort((extra, owners, tokens))
+    order = np.argsort(tokens)
+    held = tokens[order]
+    again = held[1:] == held[:-1]
+    more = np.zeros(len(held), bool)
+    more[1:] = again
+    more[:-1] |= again
+    part = order[more]  # most tokens occur once: only the others are ordered further
+    order[more] = part[np.lexsort((extra[part], owners[part], tokens[part]))]
     return tokens[order], owners[order], extra[order]
 
 
@@ -292,6 +301,7 @@ def with_common(sets: DataFrame, hot: np.ndarray, name: str) -> DataFrame:
     """Stored sets (id, n, tokens) with ``common``: how many of a set's shingles any other set holds.
 
     ``sets`` is dropped. Only sets for which that is four fifths of their size or more; the others are like none.
+    A set that ``sets`` holds twice comes once.
     """
     postings = sets.agg(F.sum("n")).first()[0] or 0
     parts = parts_for(postings)
@@ -319,7 +329,8 @@ def with_common(sets: DataFrame, hot: np.ndarray, name: str) -> DataFrame:
 
     found = summed_counts(sets.select("id", "tokens").mapInArrow(emit, POSTINGS).groupBy("bucket")
                           .applyInArrow(meet, COUNTS), "common")
-    out = stored(sets.join(found.where("common > 0"), "id").where("5 * common >= 4 * n"), name, TEXT_ROWS)
+    kept = sets.join(found.where("common > 0"), "id").where("5 * common >= 4 * n")
+    out = stored(kept.dropDuplicates(["id"]), name, TEXT_ROWS)
     drop_stored(sets)
     return out
 

@@ -24,6 +24,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: A byte's value in the polynomial, as it is and in lower case.
+_VALUE = {lower: (_LOWER if lower else np.arange(256)).astype(_U) + _U(1) for lower in (False, True)}
 
 
 def _powers(kind: str, n: int) -> np.ndarray:
@@ -40,10 +42,11 @@ def _powers(kind: str, n: int) -> np.ndarray:
 def mixed(x: np.ndarray) -> np.ndarray:
     """Bit mixer of 64-bit values (a bijection)."""
     x = x ^ (x >> _U(32))
-    x = x * _U(0xD6E8FEB86659FD93)
-    x = x ^ (x >> _U(32))
-    x = x * _U(0xD6E8FEB86659FD93)
-    return x ^ (x >> _U(32))
+    x *= _U(0xD6E8FEB86659FD93)
+    x ^= x >> _U(32)
+    x *= _U(0xD6E8FEB86659FD93)
+    x ^= x >> _U(32)
+    return x
 
 
 @dataclass
@@ -68,9 +71,10 @@ class Slice:
 
     def prefix(self, lower: bool) -> np.ndarray:
         """Prefix sums of the polynomial, one longer than the bytes."""
-        b = _LOWER[self.raw] if lower else self.raw
-        out = np.zeros(len(b) + 1, _U)
-        np.cumsum((b.astype(_U) + _U(1)) * _powers("p", len(b)), out=out[1:])
+        terms = _VALUE[lower][self.raw]
+        terms *= _powers("p", len(terms))
+        out = np.zeros(len(terms) + 1, _U)
+        np.cumsum(terms, out=out[1:])
         return out
 
     def span_hashes(self, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:

@@ -199,3 +199,33 @@ def test_sets_are_sorted_exactly():
         assert sets.tokens.tolist() == [int(base) + x for x in (1, 3, 5)]
     two = tokensets.Sets(np.concatenate([close, close[:2]]), np.array([0, 6, 6, 8]))
     assert two.sizes.tolist() == [3, 0, 2] and two[2].tolist() == [int(base) + 3, int(base) + 5]
+
+
+def test_lines_of_a_rare_shingle_are_compared_pair_by_pair():
+    token, size = np.array([1, 1, 2, 2, 3, 3, 4], np.uint64), np.array([10, 8, 10, 8, 10, 7, 9], np.uint32)
+    place = np.array([2, 1, 0, 0, 0, 0, 0], np.uint32)
+    # 1: too few shingles stand behind; 3: sizes too far apart; 4: alone
+    assert line_dedup.has_partner(token, size, place).tolist() == [False, False, True, True, False, False, False]
+    many = line_dedup.SMALL_GROUP + 1  # sizes only
+    got = line_dedup.has_partner(np.ones(many, np.uint64), np.full(many, 10, np.uint32), np.full(many, 2, np.uint32))
+    assert got.all()
+    rng = np.random.default_rng(3)
+    token, size = rng.integers(0, 60, 300).astype(np.uint64), rng.integers(1, 30, 300).astype(np.uint32)
+    place = (rng.random(300) * (size // 5 + 1)).astype(np.uint32)
+    got, n, p = line_dedup.has_partner(token, size, place), size.astype(int), place.astype(int)
+    for i in range(300):
+        others = [j for j in np.flatnonzero(token == token[i]) if j != i]
+        able = [j for j in others if 5 * min(n[i], n[j]) >= 4 * max(n[i], n[j])
+                and 9 * min(n[i] - p[i], n[j] - p[j]) >= 4 * (n[i] + n[j])]
+        assert got[i] or not able  # none is lost
+        assert got[i] == bool(able) or len(others) >= line_dedup.SMALL_GROUP
+
+
+def test_postings_of_a_bucket_are_ordered():
+    rng = np.random.default_rng(4)
+    for tokens in (rng.integers(0, 50, 500), rng.integers(0, 1 << 62, 500), np.zeros(0, np.int64)):
+        tokens = tokens.astype(np.uint64)
+        owners, extra = (rng.integers(0, k, len(tokens)).astype(np.uint64) for k in (9, 5))
+        group = tokensets.posting_batch([(0, tokens.tobytes(), owners.tobytes(), extra.astype("<u2").tobytes())])
+        got = tokensets.gathered(pa.Table.from_batches([group]))
+        assert list(zip(*(x.tolist() for x in got))) == sorted(zip(tokens.tolist(), owners.tolist(), extra.tolist()))

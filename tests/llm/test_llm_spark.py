@@ -244,6 +244,35 @@ def test_line_dedup_of_edited_families(spark):
     assert {r["doc_id"] for r in line_dedup.removed_lines(docs_of(spark, rows)).collect()} == want
 
 
+def test_line_dedup_looks_small_families_up_by_prefix(spark, monkeypatch):
+    """A few near copies of a line make no family: its tables stay empty, the copies go all the same."""
+    rng, rows, sizes = random.Random(6), [], {}
+    for _ in range(30):
+        words = [f"w{rng.randrange(10**7)}" for _ in range(40)]
+        for k in range(6):
+            rows.append((len(rows), " ".join(words[:38] + [f"x{rng.randrange(10**7)}", f"y{k}"]), "a"))
+
+    def counted(df, name, batch_rows=None, store=line_dedup.stored):
+        out = store(df, name, batch_rows)
+        sizes[name] = sizes.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    gone = line_dedup.removed_lines(docs_of(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in gone) == [i for i in range(180) if i % 6]
+    assert all(r["gone"] == [0] for r in gone)
+    assert sizes["leaders"] == sizes["families"] == sizes["differing"] == 0
+
+
+def test_line_dedup_fetches_wanted_lines_of_texts_that_are_not_sorted(spark):
+    docs = line_dedup._keyed(docs_of(spark, [(1, "a b\n\nc d e", "x"), (1, "a b\n\nc d e", "x"), (2, "f", "x")]), "doc_id", "text")
+    wanted = docs.where("doc_id = 1").distinct().selectExpr("doc_id", "hash", "2 as line")
+    assert [r["n"] for r in line_dedup._fetched(docs, wanted).collect()] == [1, 1]
+    out, _, _ = line_dedup.deduplicated(docs_of(spark, [(1, "a b c", "x"), (2, "A b c", "x"), (3, "d", "x")]))
+    plan = out._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(r["n_removed"] for r in out.collect()) == [0, 0, 1]
+
 def test_fingerprints(spark, odd_rows):
     rows = [r for r in odd_rows if r[0] is not None and r[0] != 8] + [(8, "same text of a few words more", "a")]
     got = {r["doc_id"]: r for r in fingerprint.neighbours(docs_of(spark, rows)).collect()}
