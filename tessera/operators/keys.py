@@ -57,8 +57,10 @@ def assign_keys(df: DataFrame, order_by: Sequence[str], key_col: str, base: int
     running = Window.orderBy(task, file_col).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(file_col, F.coalesce(F.sum(count_col).over(running), F.lit(0)).alias(offset_col))
     keyed = placed.join(F.broadcast(offsets), file_col, "inner")
-    return (keyed.withColumn(key_col, (F.lit(base) + F.col(offset_col) + F.col(row_col) + 1).cast("long"))
-            .select(*columns, key_col))
+    keyed = keyed.withColumn(key_col, (F.lit(base) + F.col(offset_col) + F.col(row_col) + 1).cast("long"))
+    # A scan reads several small files in one task; who asks for partitions gets them, by the dense key.
+    keyed = keyed.repartitionByRange(num_partitions, key_col) if num_partitions else keyed
+    return keyed.select(*columns, key_col)
 
 
 def _orderable(dt: DataType) -> bool:
