@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.shared import WORD, stored, table, unused
+from tessera.llm.shared import WORD, driver_rows, stored, table, unused
 
 WEIGHTS, SHARE, MOST, SEED = (3.0, 1.0, 2.0), 1.5, 2.0, 20240
 BIN_ROWS = 4096  # documents of a bin, about
@@ -85,7 +85,7 @@ def scales(rows: DataFrame, sizes: dict, left: dict) -> dict:
     spark, bound, out = rows.sparkSession, {s: float(LAST) for s, x in left.items() if x > 0}, {}
     square = F.col("size").cast("decimal(19,0)") * F.col("size").cast("decimal(19,0)")
     while bound:
-        near = spark.createDataFrame(list(bound.items()), "s string, bound double")
+        near = driver_rows(spark, list(bound.items()), "s string, bound double")
         found = (rows.join(F.broadcast(near), F.col("source").eqNullSafe(F.col("s"))).where("size < bound")
                  .groupBy("source").agg(F.sum("size").alias("size"), F.sum(square).alias("square"),
                                         F.max("size").alias("most")).collect())
@@ -119,13 +119,13 @@ def allocation(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     deficit, after = dict(left), {s: FIRST for s in left}
     # At most a fourth of a source's documents have a rank within one unit of the logarithm.
     width = max(1, min(FINE, 4 * FINE * BIN_ROWS // max(1, sum(r["n"] for r in found))))
-    chosen = spark.createDataFrame([(s, scale.get(s, 1e-18)) for s in left], "s string, scale double")
+    chosen = driver_rows(spark, [(s, scale.get(s, 1e-18)) for s in left], "s string, scale double")
     ranked = (rows.join(F.broadcast(chosen), F.col("source").eqNullSafe(F.col("s"))).drop("s")
               .withColumn("rank", rank(F.col("draw"), F.col("size"), F.col("scale")))
               .withColumn("b", F.floor(F.col("rank") / F.lit(width))))
     open_ = [s for s in left if deficit[s] >= 1]
     while open_:
-        near = spark.createDataFrame([(s, after[s], deficit[s]) for s in open_], _NEAR)
+        near = driver_rows(spark, [(s, after[s], deficit[s]) for s in open_], _NEAR)
         fits = (ranked.join(F.broadcast(near), F.col("source").eqNullSafe(F.col("s")))
                 .where("rank > after and size <= deficit and size > 0").drop("s"))
         by_bin = fits.groupBy("source", "b").agg(F.sum("size").alias("size"), F.first("deficit").alias("deficit"))
@@ -137,7 +137,7 @@ def allocation(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
         bins = [(s, r["bin"], r["before"]) for s, r in cross.items() if r["bin"] is not None]
         ends = {}
         if bins:
-            places = spark.createDataFrame(bins, "s string, bin long, before long")
+            places = driver_rows(spark, bins, "s string, bin long, before long")
             one = (fits.join(F.broadcast(places), F.col("source").eqNullSafe(F.col("s")) & (F.col("b") == F.col("bin")))
                    .withColumn("upto", F.col("before") + F.sum("size").over(
                        Window.partitionBy("source").orderBy("rank"))))  # equal ranks share a sum
@@ -157,12 +157,12 @@ def allocation(rows: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
         open_ = [s for s in open_ if after[s] is not None and deficit[s] >= 1]
 
     def sources(extra: dict) -> DataFrame:
-        return spark.createDataFrame([(r["source"], r["size"], aim, whole[r["source"]], left[r["source"]],
-                                       scale.get(r["source"], 1e-18), parts[r["source"]], extra.get(r["source"]))
-                                      for r, aim in zip(found, aims)], _SOURCES)
+        return driver_rows(spark, [(r["source"], r["size"], aim, whole[r["source"]], left[r["source"]],
+                                    scale.get(r["source"], 1e-18), parts[r["source"]], extra.get(r["source"]))
+                                   for r, aim in zip(found, aims)], _SOURCES)
 
     spare = sources({}).where("left > 0").join(
-        F.broadcast(spark.createDataFrame([(s, x) for s, x in deficit.items()], "t string, deficit double")),
+        F.broadcast(driver_rows(spark, [(s, x) for s, x in deficit.items()], "t string, deficit double")),
         F.col("source").eqNullSafe(F.col("t"))).select(F.col("source").alias("s"), "parts", "deficit")
     off = F.abs(F.col("size") - F.col("deficit"))
     last = (ranked.join(F.broadcast(spare), F.col("source").eqNullSafe(F.col("s")))

@@ -2,8 +2,10 @@
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Every word gets a 64-bit hash: a polynomial over its bytes,
 taken from prefix sums, then mixed. A shingle's hash mixes the hashes of its words in order.
-All functions take whole texts; a batch is worked through in slices of a few megabytes, a
-longer text is a slice of its own.
+All functions take whole texts; a batch is worked through in slices of ``SLICE_BYTES``, a
+longer text is a slice of its own. Work on a slice holds some ten numbers of 8 bytes for each of
+its bytes: with small slices these stay in the processor's cache, and a Python worker that is
+kept for other tasks keeps little memory.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 17
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -32,7 +34,7 @@ def _powers(kind: str, n: int) -> np.ndarray:
     have = _POWERS[kind]
     if len(have) < n:
         base = _BASE if kind == "p" else _INVERSE
-        have = np.full(max(n, 2 * SLICE_BYTES), base, _U)
+        have = np.full(max(n, SLICE_BYTES + 1), base, _U)
         have[0] = 1
         have = np.cumprod(have, dtype=_U)
         _POWERS[kind] = have
@@ -163,19 +165,15 @@ def shingle_runs(groups: np.ndarray, words: np.ndarray, size: int = 5) -> tuple[
         place = np.repeat(bounds[:-1][long] - np.concatenate([[0], np.cumsum(per[long])[:-1]]), per[long])
         i = np.arange(per[long].sum())
         out[place + i] = runs[begin + i]
-    for i in np.flatnonzero((n > 0) & ~long):
-        h = _U(n[i])
-        for w in words[groups[i]: groups[i + 1]]:
-            h = _step(h, w)
-        out[bounds[i]] = h
+    short = np.flatnonzero((n > 0) & ~long)
+    h, left = n[short].astype(_U), np.arange(len(short))
+    for j in range(size - 1):  # the groups that have a word j
+        left = left[n[short[left]] > j]
+        h[left] = mixed(h[left] * _TIMES[0] + words[groups[short[left]] + j])
+    out[bounds[short]] = h
     return out, bounds
 
 
-def _step(h: np.uint64, w: np.uint64) -> np.uint64:
-    value = (int(h) * 0x9FB21C651E98DF25 + int(w)) & 0xFFFFFFFFFFFFFFFF
-    return mixed(np.array([value], _U))[0]
-
-
 def distinct_sorted(values: np.ndarray) -> np.ndarray:
     values = np.sort(values)
     if len(values) > 1:

@@ -3,6 +3,7 @@
 import gzip
 import random
 import re
+import tracemalloc
 from fractions import Fraction
 
 import numpy as np
@@ -51,6 +52,33 @@ def test_shingle_sets_agree_with_brute_force():
             assert words.overlap(sets[i], sets[j]) == len(brute_shingles(texts[i]) & brute_shingles(texts[j]))
 
 
+def test_work_on_a_batch_holds_little_memory():
+    text = " ".join(f"w{i}" for i in range(500))
+    batch = pa.array([text] * 1600, pa.string())
+    assert batch.nbytes > 3 << 20
+    for work in (quality.features, line_dedup._line_sets):
+        tracemalloc.start()
+        for s in words.slices(batch):
+            work(s)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 24 << 20, work
+
+
+def test_short_lines_are_hashed_together(monkeypatch):
+    mixings, plain = [], words.mixed
+    monkeypatch.setattr(words, "mixed", lambda x: mixings.append(len(x)) or plain(x))
+    n = np.arange(3000) % 8
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    hashes = np.tile(np.arange(1, 9, dtype=np.uint64), 3000)[: bounds[-1]]
+    out, ends = words.shingle_runs(bounds, hashes)
+    assert len(mixings) < 20
+    assert np.diff(ends).tolist() == [max(0, k - 4) if k >= 5 else min(k, 1) for k in n]
+    for i in (1, 2, 3, 4, 5, 6, 7, 11, 2998):  # a group alone has the same shingles
+        own, _ = words.shingle_runs(np.array([0, n[i]]), hashes[bounds[i]: bounds[i + 1]])
+        assert own.tolist() == out[ends[i]: ends[i + 1]].tolist()
+
+
 def test_lines_of_texts():
     texts = ["a b\n\n c\n", None, "x", "\n \ny z", ""]
     got = []

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import (fingerprint, jaccard_join, line_dedup, mixing, packing, quality, secrets, sharding, tokensets,
+from tessera.llm import (fingerprint, jaccard_join, line_dedup, mixing, packing, quality, secrets, shared, sharding, tokensets,
                          url_filter, warc, words)
 from tessera.llm.queries import ORACLE, QUERIES
 from tessera.llm.shared import components, scratch_path
@@ -446,6 +446,20 @@ def test_markov_stretches(spark):
     assert hits >= 0.95 * sum(map(len, want.values()))
 
 
+def test_rows_of_the_driver_need_no_python_worker(spark):
+    rows = [("a", 1.5, [(1, 2, 0.5), (3, 4, 1.0)], None), (None, None, [], 7)]
+    schema = "s string, x double, parts array<struct<after: long, until: long, most: double>>, extra long"
+    found = shared.driver_rows(spark, rows, schema)
+    assert [tuple(map(str, r)) for r in found.collect()] == [
+        tuple(map(str, r)) for r in spark.createDataFrame(rows, schema).collect()]
+    assert found.dtypes == spark.createDataFrame(rows, schema).dtypes
+    assert shared.driver_rows(spark, [], schema).count() == 0
+    few = spark.createDataFrame([("a", 5, 1), ("a", 7, 2), (None, 9, 3)], "source string, size long, draw long")
+    plan = mixing.allocation(few)
+    assert "RDD" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert plan.count() == 2
+
+
 def test_mixing(spark, odd_rows):
     rows = odd_rows + [(2000 + k, " ".join(["w"] * (1 + k % 90)), "big" if k % 3 else f"s{k % 7}") for k in range(1500)]
     docs = docs_of(spark, rows)
