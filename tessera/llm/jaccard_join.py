@@ -133,6 +133,7 @@ def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, postings: int) ->
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = Dealer(buckets)
         for batch in batches:
+            known = []
             for s in slices(batch.column(0)):
                 found = text_sets(s)
                 regions, ids = Regions(found), found.ids()
@@ -140,10 +141,12 @@ def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, postings: int) ->
                 tokens, owner, asks = regions.postings(~often)
                 yield from dealer.add(tokens, ids[owner], asks)
                 asked = often & regions.asked & ~regions.odd[found.owner]
-                if asked.any():  # shared for certain: counts by set, each slice a bucket of its own
+                if asked.any():
                     n = np.bincount(found.owner[asked], minlength=len(found)).astype("<u8")
-                    own, n = ids[n > 0], n[n > 0]
-                    yield posting_batch([(-1 - int(own[0] % _U(1 << 30)), n.tobytes(), own.tobytes(), b"")])
+                    known.append((ids[n > 0], n[n > 0]))
+            if known:  # shared for certain: counts by set, each batch a bucket of its own
+                own, n = map(np.concatenate, zip(*known))
+                yield posting_batch([(-1 - int(own[0] % _U(1 << 30)), n.tobytes(), own.tobytes(), b"")])
         yield from dealer.rest()
 
     def meet(group: pa.Table) -> pa.Table:

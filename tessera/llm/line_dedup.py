@@ -137,12 +137,13 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame
     """token, id, place, many: prefix postings of shingles that prefixes of two or more lines of near sizes hold.
 
     ``many``: of a shingle that ``FAMILY_LINES`` of those lines hold, or that is frequent. Postings of frequent
-    shingles come as they are, once per slice that holds them.
+    shingles come as they are, once per batch that holds them.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = Dealer(buckets)
         for batch in batches:
+            known = []
             for s in slices(batch.column(0)):
                 sets = _line_sets(s)[2]
                 ids = sets.ids()
@@ -150,10 +151,11 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame
                 extra = (np.minimum(place, _LAST_POSITION) << 16) | np.minimum(sets.sizes, _LAST_SIZE)[owner]
                 extra = extra.astype("<u4")
                 yield from dealer.add(tokens[~often], ids[owner[~often]], extra[~often])
-                if often.any():  # held by many lines for certain: each slice a bucket of its own
-                    own = ids[owner[often]]
-                    yield posting_batch([(-1 - int(own[0] % _U(1 << 30)), tokens[often].tobytes(), own.tobytes(),
-                                          extra[often].tobytes())])
+                if often.any():
+                    known.append((tokens[often], ids[owner[often]], extra[often]))
+            if known:  # held by many lines for certain: each batch a bucket of its own
+                tokens, own, extra = map(np.concatenate, zip(*known))
+                yield posting_batch([(-1 - int(own[0] % _U(1 << 30)), tokens.tobytes(), own.tobytes(), extra.tobytes())])
         yield from dealer.rest()
 
     def meet(group: pa.Table) -> pa.Table:

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -264,6 +265,18 @@ def test_line_dedup_looks_small_families_up_by_prefix(spark, monkeypatch):
     assert sizes["leaders"] == sizes["families"] == sizes["differing"] == 0
 
 
+def test_frequent_shingles_of_a_batch_come_once(spark):
+    every, later = "this line is held by every text of the batch", "this other line is held by half of them only"
+    rows = [(i, "\n".join([later] * (i >= 100) + [every, " ".join(f"w{i}x{k}" for k in range(600))]), "x")
+            for i in range(400)]
+    hot = np.sort(np.concatenate([s.tokens for part in words.slices(pa.array([every, later]), 1)
+                                  for s in [tokensets.text_sets(part)]]))
+    found = line_dedup.shared_prefixes(docs_of(spark, rows).coalesce(1), hot, 1)
+    with shared.arrow_rows(spark, 1000):
+        got = [(r["token"], r["id"]) for r in found.collect()]
+    assert len(got) == len(set(got)) >= 4
+
+
 def test_line_dedup_fetches_wanted_lines_of_texts_that_are_not_sorted(spark):
     docs = line_dedup._keyed(docs_of(spark, [(1, "a b\n\nc d e", "x"), (1, "a b\n\nc d e", "x"), (2, "f", "x")]), "doc_id", "text")
     wanted = docs.where("doc_id = 1").distinct().selectExpr("doc_id", "hash", "2 as line")
