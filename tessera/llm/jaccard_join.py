@@ -37,11 +37,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import components, drop_stored, stored, table, unused
-from tessera.llm.tokensets import (BLOB_ROWS, COUNTS, POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, buckets_for,
-                                   can_overlap, compatible, counts_dealt, frequent, gathered, is_in, missing, packed_texts,
-                                   parts_for, posting_batch, shared_by_sets, signed, summed_counts, text_sets,
-                                   unpacked_slices, verified, with_common)
+from tessera.llm.shared import components, drop_stored, likely_in, stored, table, unused
+from tessera.llm.tokensets import (BLOB_ROWS, COUNTS, POSTINGS, TEXT_ROWS, Dealer, Frequency, Sets, alike, buckets_for,
+                                   can_overlap, compatible, counts_dealt, frequent, gathered, is_in, missing,
+                                   packed_texts, parts_for, posting_batch, shared_by_sets, signed, summed_counts,
+                                   text_sets, unpacked_slices, verified, with_common)
 from tessera.llm.words import mixed, slices
 
 _U = np.uint64
@@ -78,7 +78,7 @@ class Regions:
         s = self.sets
         use = self.held if keep is None else self.held & keep
         asks = self.asked & ~self.odd[s.owner]
-        return s.tokens[use], s.owner[use], asks[use].astype(np.uint16)
+        return s.tokens[use], s.owner[use], asks[use].astype(np.uint8)
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,20 +131,21 @@ def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, postings: int) ->
     buckets, parts = buckets_for(postings), parts_for(postings)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealer = Dealer(buckets)
+        dealer = Dealer(buckets, short=True)
         for batch in batches:
             known = []
             for s in slices(batch.column(0)):
                 found = text_sets(s)
                 regions, ids = Regions(found), found.ids()
                 often = is_in(found.tokens, hot)
-                tokens, owner, asks = regions.postings(~often)
+                twins = alike(found.tokens, found.owner)  # taken to be shared: others only ask more sets in
+                tokens, owner, asks = regions.postings(~(often | twins))
                 yield from dealer.add(tokens, ids[owner], asks)
-                asked = often & regions.asked & ~regions.odd[found.owner]
+                asked = (often | twins) & regions.asked & ~regions.odd[found.owner]
                 if asked.any():
                     n = np.bincount(found.owner[asked], minlength=len(found)).astype("<u8")
                     known.append((ids[n > 0], n[n > 0]))
-            if known:  # shared for certain: counts by set, each batch a bucket of its own
+            if known:  # shared for certain, or taken to be: counts by set, each batch a bucket of its own
                 own, n = map(np.concatenate, zip(*known))
                 yield posting_batch([(-1 - int(own[0] % _U(1 << 30)), n.tobytes(), own.tobytes(), b"")])
         yield from dealer.rest()
@@ -154,7 +155,7 @@ def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, postings: int) ->
             n, ids = (np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in group.column(c)])
                       for c in ("tokens", "owners"))
             return counts_dealt(ids, n, parts, often=True)
-        tokens, owners, extra = gathered(group)
+        tokens, owners, extra = gathered(group, "<u1", "<u4")
         fresh, shared = shared_by_sets(tokens, owners)
         return counts_dealt(*np.unique(owners[fresh & shared & (extra == 1)], return_counts=True), parts)
 
@@ -166,22 +167,25 @@ def coarse(docs: DataFrame, sets: DataFrame, hot: np.ndarray, postings: int) ->
 
 
 def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, n, tokens, key of the wanted sets (id, key), from their texts again; stored."""
+    """id, n, tokens of the wanted sets (id, key; stored), from their texts again; stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, s in unpacked_slices(batch.column(0)):
+            asked = batch.column(1).to_numpy(zero_copy_only=False)
+            for at, s in unpacked_slices(batch.column(0)):
                 found = text_sets(s)
+                ids = found.ids().view(np.int64)
+                own = np.flatnonzero(ids == asked[at + s.first: at + s.first + len(s)])
                 yield pa.RecordBatch.from_arrays(
-                    [signed(found.ids()), pa.array(found.sizes),
-                     pa.array([found[i].tobytes() for i in range(len(found))], pa.binary())],
+                    [pa.array(ids[own]), pa.array(found.sizes[own]),
+                     pa.array([found[i].tobytes() for i in own], pa.binary())],
                     names=["id", "n", "tokens"])
 
-    texts = packed_texts(docs.select("key", "text"), "text").join(wanted.select("key").distinct(), "key", "left_semi")
-    sets = texts.select("text").mapInArrow(run, "id long, n long, tokens binary")
-    sets = sets.join(wanted.select("id"), "id", "left_semi").groupBy("id").agg(
-        F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    return stored(sets, "sets", TEXT_ROWS)
+    texts = packed_texts(likely_in(docs.select("key", "text"), "key", wanted), "text")
+    # Equal rows lie in one partition after the join, by the key of ``wanted``, and become one there.
+    asked = wanted.select(F.col("key").alias("named"), "id")
+    texts = texts.join(asked, F.col("key") == F.col("named")).select("named", "id", "text").distinct()
+    return stored(texts.select("text", "id").mapInArrow(run, "id long, n long, tokens binary"), "sets", TEXT_ROWS)
 
 
 def star_pairs(sets: DataFrame) -> DataFrame:
@@ -227,27 +231,32 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["token", "id"])
 
 
+def shingles(sets: DataFrame) -> DataFrame:
+    """token, id of the sets."""
+    return sets.select("id", "tokens").mapInArrow(_exploded, "token long, id long")
+
+
 def _grouped(ids: DataFrame, links: DataFrame) -> DataFrame:
     """``ids`` with grp: the smallest id that each id reaches over the links."""
     found = components(links)
     return ids.join(found, "id", "left").select(*ids.columns, F.coalesce("component", "id").alias("grp"))
 
 
-def prefixes(rows: DataFrame, info: DataFrame) -> DataFrame:
+def prefixes(sets: DataFrame, info: DataFrame) -> DataFrame:
     """token, id, n, common, grp, place: the shingles among a set's rarest floor(n / 5) + 1 that other sets hold; stored.
 
     Rarity is the number of sets that hold a shingle. Similar sets of n and m shingles have their first common one, in
     this order, within both prefixes, and what they share lies at or behind it in both.
     """
-    wide = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    wide = shingles(sets).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     of_set = Window.partitionBy("id")
-    held = rows.join(wide, "token").withColumns(
+    held = shingles(sets).join(wide, "token").withColumns(
         {"w": F.count(F.lit(1)).over(of_set), "rank": F.row_number().over(of_set.orderBy("c", "token"))})
     held = held.join(info, "id").withColumn("place", F.expr("n - w + rank")).where("place <= floor(n / 5) + 1")
-    return stored(held.select("token", "id", "n", "common", "grp", "place"), "prefixes")
+    return stored(held.select("token", "id", "n", "common", "grp", "place"), "prefixes", BLOB_ROWS)
 
 
-def opened_groups(rows: DataFrame, info: DataFrame, first: DataFrame) -> DataFrame:
+def opened_groups(sets: DataFrame, info: DataFrame, first: DataFrame) -> DataFrame:
     """id, other: the foreign groups whose union of shingles holds enough of a set's for a member to be similar; stored.
 
     Groups are found by the prefixes, with the length and positional filters on the ranges of their members, then
@@ -258,12 +267,14 @@ def opened_groups(rows: DataFrame, info: DataFrame, first: DataFrame) -> DataFra
     near = ("grp <> other and 5 * n >= 4 * m and 5 * most >= 4 * n and 9 * (1 + least(n - place, most - at)) >= 4 * (n + m)"
             f" and {can_overlap('common', 'n', 'd', 'm')}")
     met = stored(first.join(of_group, "token").where(near).select("id", "n", "other").distinct(), "met")
-    union = (rows.join(info.select("id", F.col("grp").alias("other")), "id")
-             .join(met.select("other").distinct(), "other", "left_semi").select("token", "other").distinct())
-    opened = (met.join(rows, "id").join(union, ["token", "other"]).groupBy("id", "n", "other")
+    members = stored(info.select("id", F.col("grp").alias("other"))
+                     .join(met.select("other").distinct(), "other", "left_semi").select("id", "other"), "members")
+    union = shingles(likely_in(sets, "id", members)).join(members, "id").select("token", "other").distinct()
+    asking = shingles(likely_in(sets, "id", met))
+    opened = (met.join(asking, "id").join(union, ["token", "other"]).groupBy("id", "n", "other")
               .agg(F.count(F.lit(1)).alias("c")).where("5 * c >= 4 * n"))
-    opened = stored(opened.select("id", "other"), "opened")
-    drop_stored(met)
+    opened = stored(opened.select("id", "other"), "opened", BLOB_ROWS)
+    drop_stored(met, members)
     return opened
 
 
@@ -282,12 +293,14 @@ def likely_pairs(first: DataFrame, opened: DataFrame) -> DataFrame:
 def matrix_groups(sets: DataFrame, links: DataFrame) -> DataFrame:
     """id, grp of all sets: the components of ``links`` joined by steps 3 and 4."""
     info = stored(_grouped(sets.select("id", "n", "common"), links), "groups")
-    rows = stored(sets.select("id", "tokens").mapInArrow(_exploded, "token long, id long"), "postings", BLOB_ROWS)
-    first = prefixes(rows, info)
-    opened = opened_groups(rows, info, first)
-    found = verified(likely_pairs(first, opened).select(F.least("id", "member").alias("a"),
-                                                        F.greatest("id", "member").alias("b")), sets)
-    drop_stored(rows, first, opened, info)
+    first = prefixes(sets, info)
+    opened = opened_groups(sets, info, first)
+    pairs = stored(likely_pairs(first, opened).select(F.least("id", "member").alias("a"),
+                                                      F.greatest("id", "member").alias("b")).distinct(), "pairs")
+    drop_stored(first, opened, info)
+    named = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "named")
+    found = verified(pairs, likely_in(sets, "id", named))
+    drop_stored(pairs, named)
     return _grouped(sets.select("id"), links.unionByName(found))
 
 

@@ -89,6 +89,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SKETCH_WORDS = 1 << 19  # 64-bit words of a Bloom filter, at most: some megabytes
+
+
+def likely_in(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose key no row of ``wanted`` (stored; a column of the same name) has.
+
+    For the rows that an exact join would shuffle only to drop them. A Bloom filter of about 16 bits a key (2 set, in
+    one word of 64) is broadcast; its size is bounded, so with very many keys it lets more rows pass.
+    """
+    words = min(SKETCH_WORDS, max(1, wanted.count() // 4))
+    word, bits, seen = unused(rows, "word", "bits", "seen")
+
+    def placed(df: DataFrame) -> dict:
+        h = F.xxhash64(df[key])
+        bit = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, n).bitwiseAND(63).cast("int"))
+               for n in (40, 52)]
+        return {word: F.pmod(h, F.lit(words)), bits: bit[0].bitwiseOR(bit[1])}
+
+    sketch = wanted.select(key).withColumns(placed(wanted)).groupBy(word).agg(F.bit_or(bits).alias(seen))
+    held = rows.withColumns(placed(rows)).join(F.broadcast(sketch), word)
+    return held.where(F.col(seen).bitwiseAND(F.col(bits)) == F.col(bits)).select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def driver_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     """A few rows of the driver as a DataFrame; as Arrow, so no Python workers are started on the executors for them."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

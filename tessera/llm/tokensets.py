@@ -8,7 +8,8 @@ again, whatever its input split, finds the same ids.
 Shingles travel as postings: numpy blobs dealt to buckets by shingle, a few rows per batch
 instead of a row per shingle. The number of buckets follows the number of shingles, so a bucket
 stays small. Shingles that many sets of a batch hold (``frequent``) are known beforehand as a
-list of bounded length; they never meet in one bucket.
+list of bounded length; they never meet in one bucket. Where only a bound is asked for, half of
+each hash travels (``Dealer(short=True)``): a bucket tells its few shingles apart by less.
 """
 
 from __future__ import annotations
@@ -159,12 +160,25 @@ def buckets_for(postings: int) -> int:
     return max(1, -(-int(postings) // BUCKET_POSTINGS))
 
 
-def dealt(tokens: np.ndarray, owners: np.ndarray, extra: np.ndarray, buckets: int) -> Iterator[tuple]:
+def alike(tokens: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Mask of the tokens that equal another of their owner's, but one, in the half that travels of short postings."""
+    short = (owner.astype(_U) << _U(32)) | (tokens & _U(0xFFFFFFFF))
+    again = np.zeros(len(short), bool)
+    held = np.sort(short)
+    if (held[1:] == held[:-1]).any():
+        again[:] = True
+        again[np.unique(short, return_index=True)[1]] = False
+    return again
+
+
+def dealt(tokens: np.ndarray, owners: np.ndarray, extra: np.ndarray, buckets: int, short: bool = False) -> Iterator[tuple]:
     """(bucket, tokens, owners, extra) blobs of one batch; ``extra`` is a small unsigned number per posting."""
     bucket = ((mixed(tokens) >> _U(32)) * _U(buckets)) >> _U(32)
     # Two bytes are sorted by radix.
     order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
     tokens, owners, extra, bucket = tokens[order], owners[order], extra[order], bucket[order]
+    if short:
+        tokens = tokens.astype("<u4")
     edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=_U))
     for b in np.flatnonzero(np.diff(edges)):
         a, z = edges[b], edges[b + 1]
@@ -172,10 +186,14 @@ def dealt(tokens: np.ndarray, owners: np.ndarray, extra: np.ndarray, buckets: in
 
 
 class Dealer:
-    """Gathers postings of a task and deals them in batches of bounded size."""
+    """Gathers postings of a task and deals them in batches of bounded size.
+
+    ``short``: buckets get the lower 32 bits of each token. Others may then look shared, about one in 16,000; of an
+    owner's own tokens none may be alike (``alike``).
+    """
 
-    def __init__(self, buckets: int):
-        self.buckets, self.parts, self.held = buckets, [], 0
+    def __init__(self, buckets: int, short: bool = False):
+        self.buckets, self.short, self.parts, self.held = buckets, short, [], 0
 
     def add(self, tokens: np.ndarray, owners: np.ndarray, extra: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(tokens):
@@ -188,7 +206,7 @@ class Dealer:
         if self.parts:
             columns = [np.concatenate(x) for x in zip(*self.parts)]
             self.parts, self.held = [], 0
-            yield posting_batch(list(dealt(*columns, self.buckets)))
+            yield posting_batch(list(dealt(*columns, self.buckets, self.short)))
 
 
 POSTINGS = "bucket int, tokens binary, owners binary, extra binary"
@@ -200,12 +218,12 @@ def posting_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
-def gathered(table: pa.Table, extras: str = "<u2") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, owners and extras (numbers of this kind) of a bucket, ordered by token and owner."""
+def gathered(table: pa.Table, extras: str = "<u2", kind: str = "<u8") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens (of this ``kind``), owners and extras (numbers of this kind) of a bucket, ordered by token and owner."""
     def whole(name: str, kind: str) -> np.ndarray:
         return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
 
-    tokens, owners, extra = whole("tokens", "<u8"), whole("owners", "<u8"), whole("extra", extras)
+    tokens, owners, extra = whole("tokens", kind), whole("owners", "<u8"), whole("extra", extras)
     order = np.argsort(tokens)
     held = tokens[order]
     again = held[1:] == held[:-1]
@@ -298,7 +316,7 @@ def unpacked_slices(column: pa.Array, rows: int = 512) -> Iterator[tuple[int, Sl
 
 
 def with_common(sets: DataFrame, hot: np.ndarray, name: str) -> DataFrame:
-    """Stored sets (id, n, tokens) with ``common``: how many of a set's shingles any other set holds.
+    """Stored sets (id, n, tokens) with ``common``: how many of a set's shingles any other set holds, or very few more.
 
     ``sets`` is dropped. Only sets for which that is four fifths of their size or more; the others are like none.
     A set that ``sets`` holds twice comes once.
@@ -307,13 +325,13 @@ def with_common(sets: DataFrame, hot: np.ndarray, name: str) -> DataFrame:
     parts = parts_for(postings)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dealer = Dealer(buckets_for(postings))
+        dealer = Dealer(buckets_for(postings), short=True)
         for batch in batches:
             for i, blob in zip(batch.column(0), batch.column(1)):
                 tokens = np.frombuffer(blob.as_py(), "<u8")
                 own = _U(i.as_py() & 0xFFFFFFFFFFFFFFFF)
-                often = is_in(tokens, hot)
-                if often.any():  # held by others for certain: a count, in a bucket by set
+                often = is_in(tokens, hot) | alike(tokens, np.zeros(len(tokens), _U))
+                if often.any():  # held by others for certain, or taken to be: a count, in a bucket by set
                     yield posting_batch([(-1 - int(own % _U(1 << 30)), np.array([often.sum()], "<u8").tobytes(),
                                           np.array([own], "<u8").tobytes(), np.zeros(1, "<u2").tobytes())])
                 rest = tokens[~often]
@@ -321,9 +339,10 @@ def with_common(sets: DataFrame, hot: np.ndarray, name: str) -> DataFrame:
         yield from dealer.rest()
 
     def meet(group: pa.Table) -> pa.Table:
-        tokens, owners, _ = gathered(group)
         if group.column("bucket")[0].as_py() < 0:
-            return counts_dealt(owners, tokens, parts, often=True)
+            counts, owners, _ = gathered(group)
+            return counts_dealt(owners, counts, parts, often=True)
+        tokens, owners, _ = gathered(group, kind="<u4")
         fresh, shared = shared_by_sets(tokens, owners)
         return counts_dealt(*np.unique(owners[fresh & shared], return_counts=True), parts)
 

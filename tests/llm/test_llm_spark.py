@@ -175,6 +175,50 @@ def test_jaccard_join_within_families(spark):
     assert got == {i: first[k] for i, k in enumerate(name)}
 
 
+def test_jaccard_join_moves_only_texts_that_may_have_a_link(spark, monkeypatch):
+    rng = random.Random(5)
+    text = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(400)]
+    rows = [(i, t, "a") for i, t in enumerate(text)] + [(400 + i, text[i] + " more", "a") for i in range(5)] + [
+        (400, text[0] + " more", "a")]
+    packed, moved, pack = [], [], jaccard_join.packed_texts
+
+    def spy(docs, name):
+        packed.append(docs.count())
+        return pack(docs, name)
+
+    monkeypatch.setattr(jaccard_join, "packed_texts", spy)
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, sets: moved.append(sets.count()) or tokensets.verified(
+        pairs, sets))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.linked(docs_of(spark, rows)).collect()}
+    assert got == {i: i if i < 400 else i - 400 for i in range(405)}
+    assert len(packed) == 1 and 11 <= packed[0] < 60  # of 406
+    # The row that repeats is fetched once; the second verification reads only the sets that its pairs name.
+    assert moved[0] == 10 and moved[1] < 10
+
+
+def test_likely_in_keeps_every_wanted_row(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 7 > 0, F.col("id")).alias("word"))
+    for sizes in (0, 1, 300, 3000):
+        wanted = shared.stored(rows.where(F.col("id") < sizes).select("word"), "wanted")
+        got = shared.likely_in(rows, "word", wanted)
+        assert got.columns == rows.columns
+        ids = [r["id"] for r in got.collect()]
+        assert len(ids) == len(set(ids)) and {i for i in range(sizes) if i % 7} <= set(ids)
+        assert len([i for i in ids if i % 7]) < sizes + 0.2 * (4000 - sizes)
+
+
+def test_short_postings_never_count_less(spark):
+    # Tokens of one set whose halves are alike, and a token that only looks like another set's.
+    low, far = 12345, np.uint64(1) << np.uint64(40)
+    own = np.sort(np.array([low, low + far, low + 2 * far, 99, 100], np.uint64))
+    assert tokensets.alike(own, np.zeros(5, np.uint64)).tolist() == [False, False, False, True, True]
+    assert not tokensets.alike(own, np.arange(5, dtype=np.uint64)).any()
+    sets = spark.createDataFrame([(i, 5, bytearray(own.tobytes())) for i in (1, -2)] + [
+        (3, 2, bytearray(np.array([7, 8], np.uint64).tobytes()))], "id long, n long, tokens binary")
+    got = tokensets.with_common(shared.stored(sets, "sets"), np.zeros(0, np.uint64), "common").collect()
+    assert {r["id"]: r["common"] for r in got} == {1: 5, -2: 5}
+
+
 def test_jaccard_join_of_a_small_region(spark):
     """A set with too few shingles in its region for a bound, similar to one with enough."""
     rng = random.Random(3)
