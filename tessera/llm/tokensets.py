@@ -327,22 +327,24 @@ def with_common(sets: DataFrame, hot: np.ndarray, name: str) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = Dealer(buckets_for(postings), short=True)
         for batch in batches:
-            for i, blob in zip(batch.column(0), batch.column(1)):
-                tokens = np.frombuffer(blob.as_py(), "<u8")
-                own = _U(i.as_py() & 0xFFFFFFFFFFFFFFFF)
-                often = is_in(tokens, hot) | alike(tokens, np.zeros(len(tokens), _U))
-                if often.any():  # held by others for certain, or taken to be: a count, in a bucket by set
-                    yield posting_batch([(-1 - int(own % _U(1 << 30)), np.array([often.sum()], "<u8").tobytes(),
-                                          np.array([own], "<u8").tobytes(), np.zeros(1, "<u2").tobytes())])
-                rest = tokens[~often]
-                yield from dealer.add(rest, np.full(len(rest), own), np.zeros(len(rest), np.uint16))
+            ids = batch.column(0).to_numpy(zero_copy_only=False).view(_U)
+            arrays = [np.frombuffer(blob.as_py(), "<u8") for blob in batch.column(1)]
+            tokens = np.concatenate([np.zeros(0, _U), *arrays])
+            owner = np.repeat(np.arange(len(ids)), [len(x) for x in arrays])
+            often = is_in(tokens, hot) | alike(tokens, owner)
+            yield from dealer.add(tokens[~often], ids[owner[~often]], np.zeros(len(tokens) - often.sum(), np.uint8))
+            if often.any():  # held by others for certain, or taken to be: counts by set, each batch a bucket of its own
+                n = np.bincount(owner[often], minlength=len(ids)).astype("<u8")
+                own = ids[n > 0]
+                yield posting_batch([(-1 - int(own[0] % _U(1 << 30)), n[n > 0].tobytes(), own.tobytes(),
+                                      np.zeros(len(own), np.uint8).tobytes())])
         yield from dealer.rest()
 
     def meet(group: pa.Table) -> pa.Table:
         if group.column("bucket")[0].as_py() < 0:
-            counts, owners, _ = gathered(group)
+            counts, owners, _ = gathered(group, "<u1")
             return counts_dealt(owners, counts, parts, often=True)
-        tokens, owners, _ = gathered(group, kind="<u4")
+        tokens, owners, _ = gathered(group, "<u1", "<u4")
         fresh, shared = shared_by_sets(tokens, owners)
         return counts_dealt(*np.unique(owners[fresh & shared], return_counts=True), parts)
 
