@@ -1,13 +1,17 @@
 """Landing files: how many there are, by how many tasks they are written and looked up; late change sets."""
 
+import dataclasses
 import datetime as dt
 import glob
 import re
+import uuid
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.plans.changes import affected_dates
+from tessera.plans.runner import FACT_CLUSTER_KEYS, PipelineConfig, run_pipeline
 from tessera.session import RUNTIME_CONF
 from tessera.sources.landing import write_csv, write_json_documents, write_text_documents
 from tessera.sources.rescue import parse_json_documents
@@ -76,3 +80,64 @@ def test_late_intervals_leave_early_transactions_out(spark):
         out = affected_dates(tx, None, intervals, None, ["customer_id"])
         assert "unix_micros" in out._jdf.queryExecution().optimizedPlan().toString() or not rows or rows[0][0] is None
         assert sorted(r[0] for r in out.collect()) == [(day + dt.timedelta(days=k)).date() for k in want]
+
+
+def shuffle_files(spark):
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def codecs(pattern):
+    files = [f for f in glob.glob(pattern, recursive=True) if f.endswith(".parquet")]
+    return {pq.ParquetFile(f).metadata.row_group(g).column(0).compression for f in files
+            for g in range(pq.ParquetFile(f).metadata.num_row_groups)}
+
+
+def test_shuffle_files_of_a_landing_go_with_its_job(spark, workdir):
+    before = shuffle_files(spark)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting)
+    spark.conf.set(setting, "false")   # Spark's own choice outside of tests
+    try:
+        write_csv(spark.range(5000), f"{workdir}/c", 4)
+        assert shuffle_files(spark) <= before and spark.conf.get(setting) == "false"
+    finally:
+        spark.conf.set(setting, was)
+    assert spark.read.option("header", "true").csv(f"{workdir}/c").count() == 5000
+
+
+def test_tables_of_a_run_are_small_on_disk_and_leave_no_shuffle_files(spark, workdir):
+    days = [f"2024-03-{d:02d} 10:00:00 EST" for d in range(1, 29)]
+    tx = spark.range(3000).select(F.col("id").cast("string").alias("order_id"), (F.col("id") % 40).cast("string").alias("item_id"),
+                                  F.lit("2 pcs").alias("quantity"), F.concat(F.lit("$"), F.col("id") % 90).alias("price"),
+                                  F.element_at(F.array(*map(F.lit, days)), (F.col("id") % 28 + 1).cast("int")).alias("order_timestamp"),
+                                  F.lit("N").alias("corrupted_flag"))
+    write_csv(tx, f"{workdir}/landing/transactions_raw")
+    write_csv(spark.range(40).selectExpr("string(id) item_id", "'a pen' product_name", "concat('c', id % 3) category"),
+              f"{workdir}/landing/products_raw")
+    people = spark.range(9).select(F.col("id").cast("string").alias("k"), F.to_json(F.struct(
+        F.concat(F.lit("C"), F.col("id")).alias("customer_id"), F.lit("n").alias("name"), F.lit("EU").alias("region"))).alias("obj"))
+    write_json_documents(people, "obj", "k", f"{workdir}/landing/customers_raw")
+    cfg = PipelineConfig(root=f"{workdir}/lake", landing=f"{workdir}/landing", prefix=f"z{uuid.uuid4().hex[:6]}_",
+                         now="2020-01-01 00:00:00")
+    before, settings = set(), {}
+
+    def step(name, done):
+        if name.endswith("daily_sales_fact") and not done:
+            before.update(shuffle_files(spark))
+        if name.endswith("daily_sales_fact"):
+            settings[done] = [spark.conf.get(k) for k in ("spark.sql.classic.shuffleDependency.fileCleanup.enabled",
+                                                          "spark.sql.execution.rangeExchange.sampleSizePerPartition")]
+    run_pipeline(spark, dataclasses.replace(cfg, on_step=step))
+    assert settings == {False: ["true", "25"], True: ["true", "25"]}
+    assert spark.conf.get("spark.sql.execution.rangeExchange.sampleSizePerPartition") == "100"
+    assert shuffle_files(spark) <= before   # neither the fact's nor the summary's
+    for table in ("silver.db/transactions", "silver.db/products", "silver.db/customers_scd2", "gold.db/daily_sales_fact",
+                  "gold.db/daily_sales_summary"):
+        assert codecs(f"{workdir}/lake/warehouse/{cfg.prefix}{table}.versions/**") == {"ZSTD"}, table
+    assert codecs(f"{workdir}/lake/bronze/transactions/**") == {"ZSTD"}
+    fact = spark.table(f"{cfg.prefix}gold.daily_sales_fact")
+    assert fact.count() == 27_000
+    by_file = fact.select(F.input_file_name().alias("f"), F.col("_metadata.row_index").alias("i"), *FACT_CLUSTER_KEYS).collect()
+    rows = [(r.f, str(r.order_date), r.product_category, r.customer_id) for r in sorted(by_file, key=lambda r: (r.f, r.i))]
+    assert rows == sorted(rows)
